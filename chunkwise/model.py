@@ -156,13 +156,15 @@ def compression_state(hypertables: DataFrame, side: str) -> DataFrame:
 def target_series(series: DataFrame) -> DataFrame:
     """Series that already exist on the target cluster (FIXTURES.md section 2).
 
-    Label sets with user % 3 = 0, numbered 1.. in md5-bucket order of labels.
+    Label sets with user % 3 = 0; their target ids are arbitrary but fixed:
+    the first 12 hex digits of md5(labels).
     """
-    from .operators.numbering import hash_ordered_ids
-
     user = F.get_json_object("labels", "$.user").cast("long")
-    existing = series.filter(user % 3 == 0).select("labels").distinct()
-    return hash_ordered_ids(existing, "labels", "series_id", start=F.lit(1))
+    return (
+        series.filter(user % 3 == 0)
+        .select("labels", md5_int(F.col("labels"), 12).alias("series_id"))
+        .distinct()
+    )
 
 
 # Inline parameter tables (FIXTURES.md section 3). These are literal

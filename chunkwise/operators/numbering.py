@@ -20,30 +20,14 @@ def md5_bucket(key: Column) -> Column:
 
 
 def hash_ordered_ids(df: DataFrame, key: str, out: str, start: Column | int = 1) -> DataFrame:
-    """Adds ``out`` = dense number of ``key`` (keys must be distinct in ``df``).
-
-    ``start`` may be a scalar aggregate column of another DataFrame only through
-    :func:`hash_ordered_ids_above`; here it is a literal.
-    """
+    """Adds ``out`` = dense number of ``key`` from ``start`` (keys must be
+    distinct in ``df``)."""
     start_col = start if isinstance(start, Column) else F.lit(start)
     keyed = df.withColumn("_bk", md5_bucket(F.col(key)))
     counts = keyed.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
     return _number(keyed, counts, key, out, start_col - 1)
 
 
-def hash_ordered_ids_above(df: DataFrame, key: str, out: str, base: DataFrame) -> DataFrame:
-    """Like :func:`hash_ordered_ids`, numbering from ``max + 1`` where ``base`` is a
-    one-row, one-column DataFrame holding the current maximum (null -> 0).
-
-    The base enters the offset running sum as an extra leading row, so no cross
-    join is needed.
-    """
-    keyed = df.withColumn("_bk", md5_bucket(F.col(key)))
-    counts = keyed.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    base_row = base.select(F.lit("").alias("_bk"), F.coalesce(F.col(base.columns[0]).cast("long"), F.lit(0)).alias("_n"))
-    return _number(keyed, counts.unionByName(base_row), key, out, F.lit(0))
-
-
 def _number(keyed: DataFrame, counts: DataFrame, key: str, out: str, shift: Column) -> DataFrame:
     # at most 4,097 rows: one small single-partition window
     running = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,3 +40,22 @@ def _number(keyed: DataFrame, counts: DataFrame, key: str, out: str, shift: Colu
         .withColumn(out, (shift + F.col("_off") + F.col("_rn")).cast("long"))
         .drop("_bk", "_off", "_rn")
     )
+
+
+def number_missing(df: DataFrame, key: str, id_col: str, base: DataFrame) -> DataFrame:
+    """Fill null ``id_col`` values with new ids above ``base`` (one-row maximum)
+    in one pass: rows keep their id, rows without one are numbered in
+    (md5 bucket, key) order. Adds a boolean ``_new``."""
+    keyed = df.withColumn("_bk", md5_bucket(F.col(key))).withColumn("_new", F.col(id_col).isNull())
+    counts = keyed.groupBy("_bk").agg(F.count(F.when(F.col("_new"), F.lit(1))).alias("_n"))
+    base_row = base.select(F.lit("").alias("_bk"), F.coalesce(F.col(base.columns[0]).cast("long"), F.lit(0)).alias("_n"))
+    running = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.unionByName(base_row).select("_bk", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy("_bk", "_new").orderBy(key)
+    ranked = keyed.withColumn("_rn", F.row_number().over(inner))
+    new_id = F.when(F.col("_new"), F.col("_off") + F.col("_rn")).otherwise(F.col(id_col))
+    return (
+        ranked.join(F.broadcast(offsets), "_bk")
+        .withColumn(id_col, new_id.cast("long"))
+        .drop("_bk", "_off", "_rn")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import canonical_labels
-from .numbering import hash_ordered_ids_above
+from .numbering import number_missing
 
 
 def samples_with_labels(samples: DataFrame, series: DataFrame) -> DataFrame:
@@ -41,12 +41,9 @@ def get_or_create_series(labels: DataFrame, target: DataFrame) -> tuple[DataFram
     wanted = labels.select(canonical_labels("labels").alias("labels")).distinct()
     tgt = target.select(canonical_labels("labels").alias("labels"), F.col("series_id").cast("long"))
     found = wanted.join(tgt, "labels", "left")
-    existing = found.filter(F.col("series_id").isNotNull()).withColumn("created", F.lit(False))
-    new = found.filter(F.col("series_id").isNull()).select("labels")
-    base = target.agg(F.max("series_id").alias("max_id"))
-    created = hash_ordered_ids_above(new, "labels", "series_id", base).withColumn("created", F.lit(True))
-    mapping = existing.unionByName(created)
-    new_target = tgt.unionByName(created.select("labels", "series_id"))
+    mapping = number_missing(found, "labels", "series_id", tgt.agg(F.max("series_id")))
+    mapping = mapping.withColumn("created", F.col("_new")).drop("_new")
+    new_target = tgt.unionByName(mapping.filter("created").select("labels", "series_id"))
     return mapping, new_target
 
 

@@ -22,8 +22,8 @@ FILTER_NAMES = ["click", "purchase", "node_load1"]
 
 SERIES_CTE = "series AS (SELECT DISTINCT series_id, metric, labels FROM samples)"
 MAPPING_CTES = (
-    "target AS (SELECT labels, row_number() OVER (ORDER BY substr(md5(labels), 1, 3), labels)::BIGINT AS series_id "
-    "FROM (SELECT DISTINCT labels FROM series WHERE CAST(json_extract_string(labels, '$.user') AS BIGINT) % 3 = 0) t),"
+    "target AS (SELECT DISTINCT labels, " + S.md5_num("labels", 12) + " AS series_id "
+    "FROM series WHERE CAST(json_extract_string(labels, '$.user') AS BIGINT) % 3 = 0),"
     "wanted AS (SELECT DISTINCT labels FROM series),"
     "created AS (SELECT labels, (SELECT coalesce(max(series_id), 0) FROM target) + "
     "row_number() OVER (ORDER BY substr(md5(labels), 1, 3), labels) AS series_id "
