@@ -11,6 +11,7 @@ from ..model import MIGRATION_METRICS, load_samples, series_dictionary, table, t
 from ..operators import batches as B
 from ..operators import series as J
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
+from ..sources.sinks import StubTransport
 from . import migrate as W
 from . import sql_common as S
 from .registry import register
@@ -207,9 +208,7 @@ def q_migration_status(spark, sf_dir):
     return run.status
 
 
-def _accept_all(metric: str, lines: list[str]) -> int:
-    """In-process stand-in for the metrics store: accepts every request."""
-    return 204
+_accept_all = StubTransport()
 
 
 @register("migrate_status")

@@ -70,3 +70,14 @@ def push_jsonl(lines: DataFrame, transport: Transport, lines_per_request: int =
 
 def failed_requests(status: DataFrame) -> DataFrame:
     return status.filter((F.col("status") < 200) | (F.col("status") >= 300))
+
+
+class StubTransport:
+    """In-process stand-in for a metrics store: answers every request with a
+    fixed status (``fail`` for the listed metrics); opens no connection."""
+
+    def __init__(self, ok: int = 204, fail: int = 500, failing_metrics: Iterable[str] = ()):
+        self.ok, self.fail, self.failing = ok, fail, frozenset(failing_metrics)
+
+    def __call__(self, metric: str, lines: list[str]) -> int:
+        return self.fail if metric in self.failing else self.ok
