@@ -25,9 +25,25 @@ def hypertable_sizes(chunks: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def node_sizes(chunks: DataFrame) -> DataFrame:
-    """Bytes per (node, table): what the per-node info function reports."""
+    """Bytes and chunk count per (node, table): what the per-node info function reports."""
     return chunks.groupBy(F.col("node_name").alias("data_node"), *KEY).agg(
-        F.sum("total_bytes").cast("long").alias("total_bytes")
+        F.sum("total_bytes").cast("long").alias("total_bytes"),
+        F.count(F.lit(1)).alias("num_chunks"),
+    )
+
+
+def catalog_from_node_sizes(sizes: DataFrame) -> DataFrame:
+    """The hypertable catalog rebuilt from :func:`node_sizes` (catalog-sized input),
+    so a report needing both reads the samples once.
+
+    Rows are unique per (node, table), so ``collect_list`` equals
+    ``collect_set`` here; unlike the set it is not duplicate-insensitive, which
+    keeps the optimizer from re-deriving this aggregate from the raw scan (a
+    second read of the samples) instead of reusing the per-node exchange.
+    """
+    return sizes.groupBy(*KEY).agg(
+        F.array_sort(F.collect_list("data_node")).alias("data_nodes"),
+        F.sum("num_chunks").cast("long").alias("num_chunks"),
     )
 
 
