@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 KEY = ["hypertable_schema", "hypertable_name"]
 MAX_RULE_TABLES = 10_000  # bound on the rule set collected to build a layout
+MAX_RECORDS_PER_FILE = 5_000_000  # keeps files near a few hundred MB
 
 
 def compressed_tables(states: DataFrame, schema: str, limit: int | None = None) -> DataFrame:
@@ -124,6 +125,7 @@ def apply_layout(samples: DataFrame, rules: DataFrame, path: str, compression: s
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("metric")
         .parquet(path)
     )

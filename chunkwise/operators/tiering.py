@@ -17,6 +17,7 @@ from .chunks import largest_chunk_one
 KEY = ["hypertable_schema", "hypertable_name"]
 LAYOUT = ["metric", "d", "node"]
 MAX_PLAN_ROWS = 10_000  # a move plan has at most one row per listed table
+MAX_RECORDS_PER_FILE = 5_000_000  # keeps files near a few hundred MB
 
 
 # --- stored layout ------------------------------------------------------------------
@@ -35,6 +36,7 @@ def store_samples(samples: DataFrame, path: str, compression: str = "zstd") -> N
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*LAYOUT)
         .parquet(path)
     )
@@ -153,6 +155,7 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
         moved.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*LAYOUT)
         .parquet(cold_path)
     )
