@@ -20,6 +20,20 @@ samples AS (
         FROM events) e
 )"""
 
+LINEITEM_SAMPLES_CTE = """
+li_samples AS (
+  SELECT 'lineitem_price' AS metric,
+         ('0x' || substr(md5(lbl), 1, 15))::BIGINT AS series_id,
+         l_suppkey AS user_id,
+         CAST(l_shipdate AS TIMESTAMP) AS ts,
+         l_extendedprice AS value,
+         'dn' || CAST(1 + l_suppkey % 4 AS VARCHAR) AS node,
+         lbl AS labels,
+         concat_ws('|', l_returnflag, l_linestatus, CAST(l_orderkey AS VARCHAR)) AS payload
+  FROM (SELECT *, json_object('__name__', 'lineitem_price', 'supplier', CAST(l_suppkey AS VARCHAR))::VARCHAR AS lbl
+        FROM lineitem) l
+)"""
+
 CHUNKS_CTE = """
 chunks AS (
   SELECT 'prom_data' AS hypertable_schema,
@@ -95,5 +109,10 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
+def chunks_over(src: str, name: str) -> str:
+    """The chunk CTE over another samples relation."""
+    return CHUNKS_CTE.replace("chunks AS (", f"{name} AS (", 1).replace("FROM samples GROUP BY", f"FROM {src} GROUP BY")
+
+
 BASE = with_ctes(SAMPLES_CTE, CHUNKS_CTE)
 CATALOG = with_ctes(SAMPLES_CTE, CHUNKS_CTE, HYPERTABLES_CTE, NODE_SIZES_CTE, PER_NODE_CTE)

@@ -49,6 +49,13 @@ def read_table(spark: SparkSession, spec: Mapping) -> DataFrame:
     return df
 
 
+def read_samples(spark: SparkSession, spec: Mapping, to_samples=None) -> DataFrame:
+    """S1 for sample tables: open by spec, then map to the canonical samples
+    columns with ``to_samples`` (e.g. :func:`chunkwise.model.samples_from_events`)."""
+    df = read_table(spark, spec)
+    return to_samples(df) if to_samples is not None else df
+
+
 def jdbc_options(url: str, table: str, *, user: str | None = None, password: str | None = None,
                  partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
                  partitions: int | None = None, fetchsize: int = 10000) -> dict:
