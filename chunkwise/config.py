@@ -56,17 +56,30 @@ class Params:
         return self.as_of - parse_interval(self.age)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder; a private one only when unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="chunkwise-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def materialize(df):
+    """Cut the lineage of a small, reused intermediate (a dictionary or id
+    table): written once to the reliable checkpoint folder, then read by every
+    branch that uses it; survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The folder comes from ``spark.checkpoint.dir``; only when the session has
     none (local tests) a private one is created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="chunkwise-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "chunkwise", uuid.uuid4().hex, *parts)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import materialize
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
 from ..operators.series import get_or_create_series, remap_samples
@@ -67,8 +68,11 @@ def migrate_sql(
     statement files (one folder per metric, rerun-safe)."""
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
-    sel_series = series.filter(F.col("metric").isin(names))
+    # the labels snapshot of the listed metrics and the id table are written once
+    # and read by every branch below (ids, statements, status)
+    sel_series = materialize(series.filter(F.col("metric").isin(names)))
     mapping, new_target = get_or_create_series(sel_series.select("labels"), target_series)
+    mapping = materialize(mapping)
     remapped = remap_samples(selected, sel_series, mapping)
     statements = insert_statements(remapped, size, schema)
     if path is not None:
@@ -98,7 +102,7 @@ def migrate_jsonl(
     the run folder only after ``status`` shows no rejected request."""
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
-    sel_series = series.filter(F.col("metric").isin(names))
+    sel_series = materialize(series.filter(F.col("metric").isin(names)))
     records = batch_records(selected, sel_series, size).join(sel_series.select("series_id", "metric"), "series_id")
     lines = json_lines(records)
     write_jsonl(lines, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import Params, work_dir
+from ..config import Params, materialize, work_dir
 from ..functions.labels import canonical_labels, labels_map
 from ..functions.scalar import epoch_ms, nan_to_null
 from ..model import MIGRATION_METRICS, load_samples, series_dictionary, table, target_series
@@ -48,14 +48,16 @@ RECORDS_CTE = (
 
 
 def _series(spark, sf_dir):
+    """Samples and their series dictionary, the dictionary materialised once
+    (the labels snapshot of the reference) for the branches that reuse it."""
     samples = load_samples(spark, sf_dir)
-    return samples, series_dictionary(samples)
+    return samples, materialize(series_dictionary(samples))
 
 
 def _mapping(spark, sf_dir):
     samples, series = _series(spark, sf_dir)
     mapping, _ = J.get_or_create_series(series.select("labels"), target_series(series))
-    return samples, series, mapping
+    return samples, series, materialize(mapping)
 
 
 # --- sources ----------------------------------------------------------------------
