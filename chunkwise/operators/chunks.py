@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CHUNK_SCHEMA, DEFAULT_SCHEMA, parse_interval
@@ -158,22 +158,26 @@ def old_chunks_with_size(listing: DataFrame, sizes: DataFrame) -> DataFrame:
 def largest_chunks(chunks: DataFrame) -> DataFrame:
     """Every chunk equal to the maximum size of its table (ties kept).
 
-    One window over (schema, table) instead of aggregate + self-join.
+    The per-table maximum is a hash aggregate (partial + final, so a table owning
+    most chunks is still spread over tasks), joined back on (schema, table, size)
+    like the reference's self-join; the maxima are one row per table.
     """
-    w = Window.partitionBy("hypertable_schema", "hypertable_name")
-    return (
-        chunks.withColumn("_max", F.max("total_bytes").over(w))
-        .filter(F.col("total_bytes") == F.col("_max"))
-        .drop("_max")
-    )
+    maxima = chunks.groupBy("hypertable_schema", "hypertable_name").agg(F.max("total_bytes").alias("total_bytes"))
+    return chunks.join(maxima, ["hypertable_schema", "hypertable_name", "total_bytes"], "left_semi")
 
 
 def largest_chunk_one(chunks: DataFrame) -> DataFrame:
-    """The single chosen chunk per table: largest, ties by chunk name."""
-    w = Window.partitionBy("hypertable_schema", "hypertable_name").orderBy(
-        F.col("total_bytes").desc_nulls_last(), F.col("chunk_name")
-    )
-    return chunks.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """The single chosen chunk per table: largest, ties by chunk name.
+
+    ``min`` over a struct ordered as (-size, chunk name) is an algebraic
+    aggregate, so no table's chunks have to meet in one task; unknown sizes sort
+    last.
+    """
+    cols = [c for c in chunks.columns if c not in ("hypertable_schema", "hypertable_name")]
+    rank = F.coalesce(-F.col("total_bytes"), F.lit(2**63 - 1))
+    best = F.min(F.struct(rank.alias("_r"), F.col("chunk_name").alias("_n"), *[F.col(c) for c in cols])).alias("_b")
+    out = chunks.groupBy("hypertable_schema", "hypertable_name").agg(best)
+    return out.select("hypertable_schema", "hypertable_name", *[F.col("_b." + c).alias(c) for c in cols]).select(*chunks.columns)
 
 
 def with_qualified_name(hypertables: DataFrame) -> DataFrame:
