@@ -49,10 +49,17 @@ def migration_status(selected: DataFrame, series: DataFrame, remapped: DataFrame
 
 @dataclass
 class SqlMigration:
-    statements: DataFrame
+    remapped: DataFrame
     status: DataFrame
     new_target: DataFrame
     mapping: DataFrame
+    size: int
+    schema: str
+
+    @property
+    def statements(self) -> DataFrame:
+        """The batched INSERT statements (planned on first use)."""
+        return insert_statements(self.remapped, self.size, self.schema)
 
 
 def migrate_sql(
@@ -74,11 +81,10 @@ def migrate_sql(
     mapping, new_target = get_or_create_series(sel_series.select("labels"), target_series)
     mapping = materialize(mapping)
     remapped = remap_samples(selected, sel_series, mapping)
-    statements = insert_statements(remapped, size, schema)
+    run = SqlMigration(remapped, migration_status(selected, sel_series, remapped, names), new_target, mapping, size, schema)
     if path is not None:
-        write_insert_sql(statements, path)
-    status = migration_status(selected, sel_series, remapped, names)
-    return SqlMigration(statements, status, new_target, mapping)
+        write_insert_sql(run.statements, path)
+    return run
 
 
 @dataclass
