@@ -24,10 +24,14 @@ def hypertable_sizes(chunks: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy(F.col("total_bytes").desc_nulls_last(), *KEY) if ordered else out
 
 
+SIZE_COLUMNS = ["table_bytes", "index_bytes", "toast_bytes", "total_bytes"]
+
+
 def node_sizes(chunks: DataFrame) -> DataFrame:
-    """Bytes and chunk count per (node, table): what the per-node info function reports."""
+    """Bytes (table, index, toast, total) and chunk count per (node, table):
+    what the per-node info function reports."""
     return chunks.groupBy(F.col("node_name").alias("data_node"), *KEY).agg(
-        F.sum("total_bytes").cast("long").alias("total_bytes"),
+        *[F.sum(c).cast("long").alias(c) for c in SIZE_COLUMNS],
         F.count(F.lit(1)).alias("num_chunks"),
     )
 
@@ -54,7 +58,8 @@ def node_hypertables(hypertables: DataFrame, sizes: DataFrame) -> DataFrame:
     A listed node without data keeps its row with null bytes.
     """
     pairs = hypertables.select(*KEY, F.explode("data_nodes").alias("data_node"))
-    return pairs.join(sizes, ["data_node", *KEY], "left").select("data_node", *KEY, "total_bytes")
+    size_cols = [c for c in SIZE_COLUMNS if c in sizes.columns]
+    return pairs.join(sizes, ["data_node", *KEY], "left").select("data_node", *KEY, *size_cols)
 
 
 def node_distribution(per_node: DataFrame, ordered: bool = True) -> DataFrame:

@@ -65,13 +65,16 @@ hypertables AS (
 NODE_SIZES_CTE = """
 node_sizes AS (
   SELECT node_name AS data_node, hypertable_schema, hypertable_name,
+         CAST(sum(table_bytes) AS BIGINT) AS table_bytes,
+         CAST(sum(index_bytes) AS BIGINT) AS index_bytes,
+         CAST(sum(toast_bytes) AS BIGINT) AS toast_bytes,
          CAST(sum(total_bytes) AS BIGINT) AS total_bytes
   FROM chunks GROUP BY node_name, hypertable_schema, hypertable_name
 )"""
 
 PER_NODE_CTE = """
 per_node AS (
-  SELECT t.data_node, t.hypertable_schema, t.hypertable_name, s.total_bytes
+  SELECT t.data_node, t.hypertable_schema, t.hypertable_name, s.table_bytes, s.index_bytes, s.toast_bytes, s.total_bytes
   FROM (SELECT hypertable_schema, hypertable_name, unnest(data_nodes) AS data_node FROM hypertables) t
   LEFT JOIN node_sizes s USING (data_node, hypertable_schema, hypertable_name)
 )"""

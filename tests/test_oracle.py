@@ -31,4 +31,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["data_node", "hypertable_schema", "hypertable_name", "total_bytes", "max_total_bytes_dn", "highest_loaded_dn"]
+    assert df.columns == [
+        "data_node", "hypertable_schema", "hypertable_name", "table_bytes", "index_bytes", "toast_bytes",
+        "total_bytes", "max_total_bytes_dn", "highest_loaded_dn",
+    ]
