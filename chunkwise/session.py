@@ -38,3 +38,17 @@ def ensure_utc(spark: SparkSession) -> None:
     """Timestamp text and epoch math assume a UTC session."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def cluster_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run: initial shuffle partitions sized from the
+    biggest expected shuffle (at least two per core), adaptive coalescing down
+    to ``partition_bytes`` and skew splitting. Pass them to the session builder."""
+    parts = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        **{k: v for k, v in ENGINE_CONF.items() if k != "spark.ui.enabled"},
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
