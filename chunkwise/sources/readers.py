@@ -82,6 +82,19 @@ def read_nodes(spark: SparkSession, specs: Mapping[str, Mapping], node_col: str
     return out
 
 
+def read_nodes_jdbc(spark: SparkSession, url: str, table: str, node_predicates: Mapping[str, str],
+                    properties: Mapping[str, str] | None = None, node_col: str = "node") -> DataFrame:
+    """S2 when the nodes' data sits behind one server: a single JDBC read with one
+    partition per predicate, tagged with the node the predicate selects."""
+    nodes = list(node_predicates)
+    tagged = [f"({node_predicates[n]})" for n in nodes]
+    df = spark.read.jdbc(url, table, predicates=tagged, properties=dict(properties or {}))
+    node = F.lit(None).cast("string")
+    for n in reversed(nodes):
+        node = F.when(F.expr(node_predicates[n]), F.lit(n)).otherwise(node)
+    return df.withColumn(node_col, node)
+
+
 def metrics_dictionary(samples: DataFrame) -> DataFrame:
     """``metrics(metric_id, metric)``: ids in md5-bucket order of the name."""
     from ..operators.numbering import hash_ordered_ids

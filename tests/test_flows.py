@@ -53,3 +53,11 @@ def test_jdbc_spec_validation(spark):
     assert spec["numPartitions"] == 4 and spec["fetchsize"] == 10000
     with pytest.raises(ValueError):
         read_table(spark, {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "partitionColumn": "id"})
+
+
+def test_cli_inventory(spark, tmp_dir):
+    from chunkwise.__main__ import main
+
+    main(["inventory", "--samples", f"{SF_SMALL}/events.parquet", "--events", "--out", tmp_dir])
+    got = spark.read.parquet(tmp_dir)
+    assert got.count() == C.chunk_inventory(load_samples(spark, SF_SMALL)).count()
