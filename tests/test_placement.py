@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from chunkwise.operators import placement as P
 
 
@@ -51,4 +49,3 @@ def test_place_new_chunks_only_allowed(spark):
     a_nodes = {r.assigned_node for r in rows if r.hypertable_name == "a"}
     assert a_nodes == {"dn1", "dn4"}
     assert [r.assigned_node for r in rows if r.hypertable_name == "z"] == [None]
-    assert F is not None
