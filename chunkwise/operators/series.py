@@ -60,7 +60,11 @@ def remap_samples(samples: DataFrame, series: DataFrame, mapping: DataFrame) ->
     The labels join runs on the dictionary; the samples take a single join on
     the old id.
     """
-    m = id_map(series, mapping)
-    return samples.select("metric", "series_id", "ts", "value").join(m, "series_id").select(
+    return remap_with(samples, id_map(series, mapping))
+
+
+def remap_with(samples: DataFrame, ids: DataFrame) -> DataFrame:
+    """J5 with a prepared ``(series_id, new_series_id)`` map."""
+    return samples.select("metric", "series_id", "ts", "value").join(ids, "series_id").select(
         "metric", "ts", "value", "series_id", "new_series_id"
     )

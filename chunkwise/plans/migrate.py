@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import materialize
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
-from ..operators.series import get_or_create_series, remap_samples
+from ..operators.series import get_or_create_series, id_map, remap_with
 from ..sources.sinks import Transport, failed_requests, push_jsonl, write_insert_sql, write_jsonl
 
 
@@ -23,27 +23,20 @@ def _names_df(samples: DataFrame, names: list[str]) -> DataFrame:
     return samples.sparkSession.createDataFrame([(n,) for n in names], "metric string")
 
 
-def migration_status(selected: DataFrame, series: DataFrame, remapped: DataFrame, names: list[str]) -> DataFrame:
-    """One row per listed metric: rows in, rows out (remapped), samples whose
-    series has no labels, and non-finite values (sent as null / NaN text)."""
-    known = selected.join(series.select("series_id").distinct().withColumn("_known", F.lit(1)), "series_id", "left")
-    stats = known.groupBy("metric").agg(
+def migration_status(selected: DataFrame, ids: DataFrame, names: list[str]) -> DataFrame:
+    """One row per listed metric: rows in, rows out (with a target id), samples
+    whose series has no labels (so no target id), and non-finite values (sent
+    as NaN text / null). One pass: samples left-joined to the id map."""
+    j = selected.select("metric", "series_id", "value").join(ids, "series_id", "left")
+    stats = j.groupBy("metric").agg(
         F.count(F.lit(1)).alias("rows_in"),
-        F.sum(F.when(F.col("_known").isNull(), 1).otherwise(0)).cast("long").alias("n_missing_labels"),
-        F.sum(F.when(is_non_finite("value"), 1).otherwise(0)).cast("long").alias("n_non_finite"),
+        F.count("new_series_id").alias("rows_out"),
+        F.count(F.when(F.col("new_series_id").isNull(), F.lit(1))).alias("n_missing_labels"),
+        F.count(F.when(is_non_finite("value"), F.lit(1))).alias("n_non_finite"),
     )
-    out = remapped.groupBy("metric").agg(F.count(F.lit(1)).alias("rows_out"))
-    return (
-        _names_df(selected, names)
-        .join(stats, "metric", "left")
-        .join(out, "metric", "left")
-        .select(
-            "metric",
-            F.coalesce("rows_in", F.lit(0)).cast("long").alias("rows_in"),
-            F.coalesce("rows_out", F.lit(0)).cast("long").alias("rows_out"),
-            F.coalesce("n_missing_labels", F.lit(0)).cast("long").alias("n_missing_labels"),
-            F.coalesce("n_non_finite", F.lit(0)).cast("long").alias("n_non_finite"),
-        )
+    return _names_df(selected, names).join(stats, "metric", "left").select(
+        "metric",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_in", "rows_out", "n_missing_labels", "n_non_finite")],
     )
 
 
@@ -75,13 +68,13 @@ def migrate_sql(
     statement files (one folder per metric, rerun-safe)."""
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
-    # the labels snapshot of the listed metrics and the id table are written once
-    # and read by every branch below (ids, statements, status)
+    # the labels snapshot of the listed metrics and the old -> new id table are
+    # written once and read by every branch below (statements, status)
     sel_series = materialize(series.filter(F.col("metric").isin(names)))
     mapping, new_target = get_or_create_series(sel_series.select("labels"), target_series)
-    mapping = materialize(mapping)
-    remapped = remap_samples(selected, sel_series, mapping)
-    run = SqlMigration(remapped, migration_status(selected, sel_series, remapped, names), new_target, mapping, size, schema)
+    ids = materialize(id_map(sel_series, mapping))
+    remapped = remap_with(selected, ids)
+    run = SqlMigration(remapped, migration_status(selected, ids, names), new_target, mapping, size, schema)
     if path is not None:
         write_insert_sql(run.statements, path)
     return run

@@ -47,17 +47,19 @@ RECORDS_CTE = (
 )
 
 
-def _series(spark, sf_dir):
-    """Samples and their series dictionary, the dictionary materialised once
-    (the labels snapshot of the reference) for the branches that reuse it."""
+def _series(spark, sf_dir, reused: bool = True):
+    """Samples and their series dictionary; a dictionary that several branches
+    read is materialised once (the labels snapshot of the reference) instead of
+    being derived from the samples per branch."""
     samples = load_samples(spark, sf_dir)
-    return samples, materialize(series_dictionary(samples))
+    series = series_dictionary(samples)
+    return samples, materialize(series) if reused else series
 
 
 def _mapping(spark, sf_dir):
     samples, series = _series(spark, sf_dir)
     mapping, _ = J.get_or_create_series(series.select("labels"), target_series(series))
-    return samples, series, materialize(mapping)
+    return samples, series, mapping
 
 
 # --- sources ----------------------------------------------------------------------
@@ -80,7 +82,7 @@ def q_metric_filter(spark, sf_dir):
 
 @register("series_snapshot", SERIES_BASE + f"SELECT series_id, metric, labels FROM series WHERE metric = '{METRIC}'")
 def q_series_snapshot(spark, sf_dir):
-    _, series = _series(spark, sf_dir)
+    _, series = _series(spark, sf_dir, reused=False)
     path = work_dir(spark, "series_snapshot")
     snapshot_series(spark, series, path, [METRIC])
     # a second call finds the partition present and keeps it as it is
@@ -95,7 +97,7 @@ def q_series_snapshot(spark, sf_dir):
     SERIES_BASE + "SELECT s.ts, s.series_id, s.metric, d.labels FROM samples s JOIN series d USING (series_id)",
 )
 def q_samples_with_labels(spark, sf_dir):
-    samples, series = _series(spark, sf_dir)
+    samples, series = _series(spark, sf_dir, reused=False)
     return J.samples_with_labels(samples, series).select("ts", "series_id", "metric", "labels")
 
 
@@ -205,7 +207,7 @@ def q_insert_sql_export(spark, sf_dir):
     + ") n(metric) LEFT JOIN stats st USING (metric) LEFT JOIN outs o USING (metric)",
 )
 def q_migration_status(spark, sf_dir):
-    samples, series = _series(spark, sf_dir)
+    samples, series = _series(spark, sf_dir, reused=False)  # the flow snapshots its metrics itself
     run = W.migrate_sql(samples, series, target_series(series), MIGRATION_METRICS, SIZE, PRM.schema)
     return run.status
 
@@ -215,14 +217,14 @@ _accept_all = StubTransport()
 
 @register("migrate_status")
 def q_migrate_status(spark, sf_dir):
-    samples, series = _series(spark, sf_dir)
+    samples, series = _series(spark, sf_dir, reused=False)
     run = W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, work_dir(spark, "jsonl"), _accept_all)
     return run.status
 
 
 @register("push_status")
 def q_push_status(spark, sf_dir):
-    samples, series = _series(spark, sf_dir)
+    samples, series = _series(spark, sf_dir, reused=False)
     run = W.migrate_jsonl(samples, series, [METRIC], SIZE, work_dir(spark, "jsonl"), _accept_all, lines_per_request=100)
     return run.push_status
 
