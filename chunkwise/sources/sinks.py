@@ -7,12 +7,18 @@ metric's files instead of appending duplicates.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The push runs Python on the executors. Functions and classes of this module
+# travel by value, so executors need no copy of the package to run them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _write_text(df: DataFrame, col: str, path: str, partition: str = "metric") -> None:
     (

@@ -119,3 +119,14 @@ def test_chunk_files(spark):
     files = T.chunk_files(spark, path)
     assert files.count() == C.chunk_inventory(s).count()
     assert files.filter(F.col("file_bytes") <= 0).count() == 0
+
+
+def test_push_needs_no_package_on_workers():
+    """The push closure and the stub transport are pickled by value."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    blob = cloudpickle.dumps(StubTransport(failing_metrics=["x"]))
+    assert b"chunkwise.sources.sinks\nStubTransport" not in blob
+    assert pickle.loads(blob)("x", []) == 500
