@@ -121,12 +121,17 @@ def test_chunk_files(spark):
     assert files.filter(F.col("file_bytes") <= 0).count() == 0
 
 
-def test_push_needs_no_package_on_workers():
-    """The push closure and the stub transport are pickled by value."""
-    import pickle
+def test_push_needs_no_package_on_workers(tmp_path):
+    """The stub transport is pickled by value: a process without the package
+    on its path can load and call it."""
+    import subprocess
+    import sys
 
     from pyspark import cloudpickle
 
-    blob = cloudpickle.dumps(StubTransport(failing_metrics=["x"]))
-    assert b"chunkwise.sources.sinks\nStubTransport" not in blob
-    assert pickle.loads(blob)("x", []) == 500
+    blob = tmp_path / "t.pkl"
+    blob.write_bytes(cloudpickle.dumps(StubTransport(failing_metrics=["x"])))
+    code = "import pickle,sys; t=pickle.load(open(sys.argv[1],'rb')); print(t('x', []), t('y', []))"
+    out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=str(tmp_path), capture_output=True, text=True,
+                         env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert out.stdout.split() == ["500", "204"], out.stderr[-500:]
