@@ -93,6 +93,24 @@ def chunk_inventory(
     return chunks
 
 
+def save_catalog(chunks: DataFrame, path: str) -> None:
+    """Store a chunk inventory (one folder per table, dynamic overwrite), so the
+    reports run on the catalog instead of rescanning the samples."""
+    (
+        chunks.select(*CHUNK_COLUMNS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("hypertable_name")
+        .parquet(path)
+    )
+
+
+def load_catalog(spark, path: str) -> DataFrame:
+    """A stored chunk inventory (from :func:`save_catalog` or the streaming
+    inventory's :func:`chunkwise.streaming.inventory.read_inventory`)."""
+    return spark.read.parquet(path).select(*CHUNK_COLUMNS)
+
+
 def hypertable_catalog(chunks: DataFrame) -> DataFrame:
     """S3: one row per hypertable with its sorted array of data nodes and chunk count."""
     return chunks.groupBy("hypertable_schema", "hypertable_name").agg(

@@ -95,3 +95,25 @@ def test_no_old_chunk_no_move_row(spark):
     rows = plan.collect()
     assert [r.hypertable_name for r in rows] == ["old"]
     assert rows[0].reorder_index is None
+
+
+def test_stored_catalog_serves_reports(spark, tmp_dir):
+    s = load_samples(spark, SF_SMALL)
+    live = C.chunk_inventory(s)
+    C.save_catalog(live, tmp_dir)
+    stored = C.load_catalog(spark, tmp_dir)
+    cols = sorted(live.columns)
+    assert sorted(map(tuple, stored.select(*cols).collect())) == sorted(map(tuple, live.select(*cols).collect()))
+    a = P.node_distribution(P.node_sizes(stored).drop("num_chunks"), ordered=False)
+    b = P.node_distribution(P.node_sizes(live).drop("num_chunks"), ordered=False)
+    assert sorted(map(tuple, a.select(*sorted(a.columns)).collect())) == sorted(map(tuple, b.select(*sorted(b.columns)).collect()))
+
+
+def test_sub_day_chunks(spark):
+    s = samples_df(spark, [("m", "dn1", 3, 1, 2, "x"), ("m", "dn1", 3, 7, 1, "x"), ("m", "dn1", 3, 13, 1, "x")])
+    rows = sorted(C.chunk_inventory(s, every="6 hours").collect(), key=lambda r: r.range_start)
+    assert [r.chunk_name for r in rows] == [
+        "_hyper_m_20240103000000_dn1_chunk", "_hyper_m_20240103060000_dn1_chunk", "_hyper_m_20240103120000_dn1_chunk"
+    ]
+    assert [r.n_rows for r in rows] == [2, 1, 1]
+    assert rows[0].range_end - rows[0].range_start == dt.timedelta(hours=6)
