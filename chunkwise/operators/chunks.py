@@ -61,13 +61,29 @@ def chunk_inventory(
         rows = rows.filter(older_than_pred("ts", older_than, every))
     if newer_than is not None:
         rows = rows.filter(newer_than_pred("ts", newer_than, every))
-    grouped = rows.groupBy("metric", "node", F.window("ts", every).alias("w")).agg(
+    chunks = chunks_from_groups(chunk_groups(rows, every), every, schema, chunk_schema)
+    # exact bounds on the chunk ranges (the raw predicate above already implies them)
+    if older_than is not None:
+        chunks = chunks.filter(F.col("range_end") <= ntz_lit(older_than))
+    if newer_than is not None:
+        chunks = chunks.filter(F.col("range_start") >= ntz_lit(newer_than))
+    return chunks
+
+
+def chunk_groups(rows: DataFrame, every: str) -> DataFrame:
+    """(metric, node, bucket ``w``) -> n_rows, toast_bytes: the aggregate under C1
+    (also used by the streaming inventory, where it is the stateful part)."""
+    return rows.groupBy("metric", "node", F.window("ts", every).alias("w")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).cast("long").alias("toast_bytes"),
     )
+
+
+def chunks_from_groups(grouped: DataFrame, every: str, schema: str, chunk_schema: str) -> DataFrame:
+    """Chunk rows (names, range, logical sizes) from :func:`chunk_groups` output."""
     table_bytes = (F.col("n_rows") * TABLE_BYTES_PER_ROW).cast("long")
     index_bytes = (F.col("n_rows") * INDEX_BYTES_PER_ROW).cast("long")
-    chunks = grouped.select(
+    return grouped.select(
         F.lit(schema).alias("hypertable_schema"),
         F.col("metric").alias("hypertable_name"),
         F.lit(chunk_schema).alias("chunk_schema"),
@@ -85,12 +101,6 @@ def chunk_inventory(
         F.col("toast_bytes"),
         (table_bytes + index_bytes + F.col("toast_bytes")).alias("total_bytes"),
     )
-    # exact bounds on the chunk ranges (the raw predicate above already implies them)
-    if older_than is not None:
-        chunks = chunks.filter(F.col("range_end") <= ntz_lit(older_than))
-    if newer_than is not None:
-        chunks = chunks.filter(F.col("range_start") >= ntz_lit(newer_than))
-    return chunks
 
 
 def save_catalog(chunks: DataFrame, path: str) -> None:

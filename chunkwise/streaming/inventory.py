@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CHUNK_SCHEMA, DEFAULT_SCHEMA
-from ..operators.chunks import CHUNK_COLUMNS, INDEX_BYTES_PER_ROW, TABLE_BYTES_PER_ROW, _name_format
+from ..operators.chunks import CHUNK_COLUMNS, chunk_groups, chunks_from_groups
 
 CHUNK_KEY = ["hypertable_schema", "hypertable_name", "node_name", "range_start"]
 
@@ -25,32 +25,7 @@ def chunk_partials(samples: DataFrame, every: str = "1 day", watermark: str | No
     """Streaming C1 aggregate: (metric, node, bucket) -> n_rows, toast_bytes."""
     if watermark is not None:
         samples = samples.withWatermark("ts", watermark)
-    return samples.groupBy("metric", "node", F.window("ts", every).alias("w")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).cast("long").alias("toast_bytes"),
-    )
-
-
-def _to_chunks(partials: DataFrame, every: str, schema: str, chunk_schema: str) -> DataFrame:
-    table_bytes = (F.col("n_rows") * TABLE_BYTES_PER_ROW).cast("long")
-    index_bytes = (F.col("n_rows") * INDEX_BYTES_PER_ROW).cast("long")
-    return partials.select(
-        F.lit(schema).alias("hypertable_schema"),
-        F.col("metric").alias("hypertable_name"),
-        F.lit(chunk_schema).alias("chunk_schema"),
-        F.concat(
-            F.lit("_hyper_"), F.col("metric"), F.lit("_"), F.date_format(F.col("w.start"), _name_format(every)),
-            F.lit("_"), F.col("node"), F.lit("_chunk"),
-        ).alias("chunk_name"),
-        F.col("node").alias("node_name"),
-        F.col("w.start").alias("range_start"),
-        F.col("w.end").alias("range_end"),
-        F.col("n_rows").cast("long").alias("n_rows"),
-        table_bytes.alias("table_bytes"),
-        index_bytes.alias("index_bytes"),
-        F.col("toast_bytes"),
-        (table_bytes + index_bytes + F.col("toast_bytes")).alias("total_bytes"),
-    )
+    return chunk_groups(samples, every)
 
 
 def run_incremental_inventory(
@@ -70,7 +45,7 @@ def run_incremental_inventory(
     partials = chunk_partials(samples_stream, every, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        chunks = _to_chunks(batch, every, schema, chunk_schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        chunks = chunks_from_groups(batch, every, schema, chunk_schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
         (
             chunks.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -91,12 +66,13 @@ def run_incremental_inventory(
 def read_inventory(spark: SparkSession, table_path: str) -> DataFrame:
     """The current chunk inventory: newest row per chunk over all batches.
 
-    A chunk has at most one row per batch that touched it, so the window
-    partitions hold a handful of rows each.
+    ``max_by`` over the batch id is an algebraic aggregate (partial + final), so
+    a chunk touched by every batch is still reduced map-side.
     """
     log = spark.read.parquet(table_path)
-    w = Window.partitionBy(*CHUNK_KEY).orderBy(F.col("batch_id").desc())
-    return log.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(*CHUNK_COLUMNS)
+    rest = [c for c in CHUNK_COLUMNS if c not in CHUNK_KEY]
+    newest = log.groupBy(*CHUNK_KEY).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v"))
+    return newest.select(*CHUNK_KEY, *[F.col("_v." + c).alias(c) for c in rest]).select(*CHUNK_COLUMNS)
 
 
 def stream_events_as_samples(spark: SparkSession, folder: str, glob: str = "events*.parquet", max_files: int | None = None) -> DataFrame:
