@@ -64,9 +64,10 @@ def batch_records(samples: DataFrame, series: DataFrame, size: int) -> DataFrame
     """Per (series, batch) the labels and parallel arrays of values and
     millisecond timestamps in time order.
 
-    Labels are joined after grouping, on the much smaller batch table.
+    Labels are joined after grouping, on the much smaller batch table; that
+    inner join also drops the batches of series without labels.
     """
-    rows = samples.select("series_id", "ts", "value").join(series.select("series_id"), "series_id", "left_semi")
+    rows = samples.select("series_id", "ts", "value")
     batched = with_batches(rows, ["series_id"], ["ts", "value"], size)
     grouped = batched.groupBy("series_id", "batch").agg(
         F.array_sort(F.collect_list(F.struct(F.col("ts").alias("t"), F.col("value").alias("v")))).alias("_p")
