@@ -12,13 +12,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import materialize
+from ..config import broadcast_if_small, materialize
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
 from ..operators.series import get_or_create_series, id_map, remap_with
 from ..sources.sinks import Transport, failed_requests, push_jsonl, write_insert_sql, write_jsonl
 
 
+# Largest id map / labels snapshot shipped to every executor (rows); above it
+# the joins shuffle.
+MAX_BROADCAST_IDS = 2_000_000
+MAX_BROADCAST_LABELS = 500_000
+
+
 def _names_df(samples: DataFrame, names: list[str]) -> DataFrame:
     return samples.sparkSession.createDataFrame([(n,) for n in names], "metric string")
 
@@ -72,7 +78,7 @@ def migrate_sql(
     # written once and read by every branch below (statements, status)
     sel_series = materialize(series.filter(F.col("metric").isin(names)))
     mapping, new_target = get_or_create_series(sel_series.select("labels"), target_series)
-    ids = materialize(id_map(sel_series, mapping))
+    ids = broadcast_if_small(materialize(id_map(sel_series, mapping)), MAX_BROADCAST_IDS)
     remapped = remap_with(selected, ids)
     run = SqlMigration(remapped, migration_status(selected, ids, names), new_target, mapping, size, schema)
     if path is not None:
@@ -101,7 +107,7 @@ def migrate_jsonl(
     the run folder only after ``status`` shows no rejected request."""
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
-    sel_series = materialize(series.filter(F.col("metric").isin(names)))
+    sel_series = broadcast_if_small(materialize(series.filter(F.col("metric").isin(names))), MAX_BROADCAST_LABELS)
     records = batch_records(selected, sel_series, size).join(sel_series.select("series_id", "metric"), "series_id")
     lines = json_lines(records)
     write_jsonl(lines, path)

@@ -43,3 +43,13 @@ def test_labels_join_is_equi_join(spark):
     df.count()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "Join" in final and "CartesianProduct" not in final and "NestedLoop" not in final
+
+
+def test_broadcast_only_below_bound(spark):
+    from chunkwise.config import broadcast_if_small
+
+    small = spark.range(5).checkpoint()
+    big = spark.range(100).checkpoint()
+    hint = "strategy=broadcast"
+    assert hint in broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString()
+    assert hint not in broadcast_if_small(big, 10)._jdf.queryExecution().analyzed().toString()
