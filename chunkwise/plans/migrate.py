@@ -101,6 +101,7 @@ def migrate_jsonl(
     path: str,
     transport: Transport | None = None,
     lines_per_request: int = 1000,
+    raise_on_reject: bool = False,
 ) -> JsonMigration:
     """Labels join, per-series batches, JSON lines written per metric, then
     pushed from the written files. Nothing is removed here; the caller drops
@@ -135,4 +136,8 @@ def migrate_jsonl(
             F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected"),
         )
     )
+    if raise_on_reject:
+        bad = [r["metric"] for r in status.filter(F.col("n_rejected") > 0).select("metric").collect()]
+        if bad:
+            raise RuntimeError(f"metrics store rejected lines of {sorted(bad)}; request outcomes kept in the push status")
     return JsonMigration(lines, push, status)

@@ -135,3 +135,12 @@ def test_push_needs_no_package_on_workers(tmp_path):
     out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=str(tmp_path), capture_output=True, text=True,
                          env={"PATH": "/usr/bin:/bin"}, timeout=120)
     assert out.stdout.split() == ["500", "204"], out.stderr[-500:]
+
+
+def test_migrate_jsonl_raises_on_reject(spark):
+    import pytest
+
+    s = load_samples(spark, SF_SMALL)
+    with pytest.raises(RuntimeError, match="error"):
+        W.migrate_jsonl(s, series_dictionary(s), ["click", "error"], 4, work_dir(spark, "j"), _fail_error_metric,
+                        raise_on_reject=True)
