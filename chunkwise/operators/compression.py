@@ -108,13 +108,12 @@ def apply_layout(samples: DataFrame, rules: DataFrame, path: str, compression: s
     groups: dict[tuple, list[str]] = {}
     for r in listed:
         groups.setdefault((tuple(r["segmentby"]), tuple(r["orderby"])), []).append(r["hypertable_name"])
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     branches = []
     for (seg, order), names in sorted(groups.items()):
         keys = [F.col(c).asc_nulls_first() for c in seg] + _sort_exprs(list(order))
         part = samples.filter(F.col("metric").isin(names))
         if keys:
-            part = part.repartitionByRange(nparts, "metric", *keys).sortWithinPartitions("metric", *keys)
+            part = part.repartitionByRange("metric", *keys).sortWithinPartitions("metric", *keys)
         branches.append(part)
     if not branches:
         return samples.limit(0)

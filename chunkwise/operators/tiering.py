@@ -26,12 +26,11 @@ MAX_RECORDS_PER_FILE = 5_000_000  # keeps files near a few hundred MB
 def store_samples(samples: DataFrame, path: str, compression: str = "zstd") -> None:
     """Write samples in the chunk layout (dynamic overwrite: a rerun replaces
     only the chunks it writes). Rows are range-partitioned on (layout, ts) so a
-    hot chunk is split over several tasks and files."""
-    spark = samples.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot chunk is split over several tasks and files, each covering a contiguous
+    time range; no fixed partition count, so adaptive execution sizes them."""
     rows = samples.withColumn("d", F.to_date("ts"))
     (
-        rows.repartitionByRange(nparts, *LAYOUT, "ts")
+        rows.repartitionByRange(*LAYOUT, "ts")
         .sortWithinPartitions(*LAYOUT, "ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -139,7 +138,6 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
     groups: dict[tuple, list] = {}
     for r in rows:
         groups.setdefault(tuple(r["reorder_columns"] or ()), []).append(r)
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     branches = []
     for cols, rs in sorted(groups.items()):
         pred = chunk_pred(rs[0])
@@ -147,7 +145,7 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
             pred = pred | chunk_pred(r)
         part = hot.filter(pred)
         keys = list(cols) or ["ts"]
-        branches.append(part.repartitionByRange(nparts, *LAYOUT, *keys).sortWithinPartitions(*LAYOUT, *keys))
+        branches.append(part.repartitionByRange(*LAYOUT, *keys).sortWithinPartitions(*LAYOUT, *keys))
     moved = branches[0]
     for b in branches[1:]:
         moved = moved.unionByName(b)
