@@ -28,6 +28,8 @@ def store_samples(samples: DataFrame, path: str, compression: str = "zstd") -> N
     only the chunks it writes). Rows are range-partitioned on (layout, ts) so a
     hot chunk is split over several tasks and files."""
     spark = samples.sparkSession
+    # writer parallelism = shuffle partitions (size it with session.cluster_conf);
+    # adaptive coalescing could only merge them and would serialise small writes
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = samples.withColumn("d", F.to_date("ts"))
     (
