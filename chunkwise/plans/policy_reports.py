@@ -189,8 +189,17 @@ def q_moved_rows(spark, sf_dir):
     return T.read_chunks(spark, cold, plan).select("metric", "ts", "user_id", "node")
 
 
-@register("chunk_files")
+@register(
+    "chunk_files",
+    S.with_ctes(S.SAMPLES_CTE) + "SELECT DISTINCT metric, CAST(ts AS DATE) AS d, node, true AS has_files, "
+    "true AS has_bytes FROM samples",
+)
 def q_chunk_files(spark, sf_dir):
+    """Stored chunk folders found by C2; file counts and bytes depend on the
+    writer, so the checked result is the folder keys and that each holds data."""
     path = work_dir(spark, "stored")
     T.store_samples(load_samples(spark, sf_dir), path)
-    return T.chunk_files(spark, path)
+    files = T.chunk_files(spark, path)
+    return files.select(
+        "metric", "d", "node", (F.col("n_files") > 0).alias("has_files"), (F.col("file_bytes") > 0).alias("has_bytes")
+    )

@@ -215,18 +215,40 @@ def q_migration_status(spark, sf_dir):
 _accept_all = StubTransport()
 
 
-@register("migrate_status")
+_LINES_SQL = (
+    S.with_ctes(S.SAMPLES_CTE) + BATCHED_CTE
+    + ", lines AS (SELECT s.metric, count(DISTINCT (b.series_id, b.batch))::BIGINT AS n_lines FROM batched b "
+    "JOIN (SELECT DISTINCT series_id, metric FROM samples) s USING (series_id) GROUP BY s.metric)"
+    + ", rows_in AS (SELECT metric, count(*)::BIGINT AS rows_in FROM samples GROUP BY metric) "
+)
+
+
+@register(
+    "migrate_status",
+    _LINES_SQL + "SELECT n.metric, coalesce(r.rows_in, 0)::BIGINT AS rows_in, coalesce(l.n_lines, 0)::BIGINT AS n_lines, "
+    "0::BIGINT AS n_rejected FROM (VALUES " + ", ".join(f"('{m}')" for m in MIGRATION_METRICS)
+    + ") n(metric) LEFT JOIN rows_in r USING (metric) LEFT JOIN lines l USING (metric)",
+)
 def q_migrate_status(spark, sf_dir):
     samples, series = _series(spark, sf_dir, reused=False)
     run = W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, work_dir(spark, "jsonl"), _accept_all)
     return run.status
 
 
-@register("push_status")
+@register(
+    "push_status",
+    _LINES_SQL + f"SELECT metric, n_lines AS lines_sent, 0::BIGINT AS failed_requests FROM lines WHERE metric = '{METRIC}'",
+)
 def q_push_status(spark, sf_dir):
+    """Per metric: JSON lines sent and requests answered outside 2xx (request
+    keys themselves depend on the partitioning, so they are summed away)."""
     samples, series = _series(spark, sf_dir, reused=False)
     run = W.migrate_jsonl(samples, series, [METRIC], SIZE, work_dir(spark, "jsonl"), _accept_all, lines_per_request=100)
-    return run.push_status
+    ok = (F.col("status") >= 200) & (F.col("status") < 300)
+    return run.push_status.groupBy("metric").agg(
+        F.sum("n_lines").cast("long").alias("lines_sent"),
+        F.count(F.when(~ok, F.lit(1))).cast("long").alias("failed_requests"),
+    )
 
 
 # --- scalar functions over the samples ------------------------------------------------
