@@ -39,7 +39,9 @@ def with_batches(
     key = list(key)
     width = int(parse_interval(sub).total_seconds() * 1_000_000)
     us = epoch_us(F.col(ts))
-    sb = ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
+    # rows without a time get their own first bucket (nulls sort first, as in the
+    # one-level window) instead of vanishing in the offsets join
+    sb = F.coalesce(((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long"), F.lit(-(2**63)))
     keyed = df.withColumn("_sb", sb)
     counts = keyed.groupBy(*key, "_sb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)

@@ -104,3 +104,12 @@ def test_batch_plan(spark):
     got = {r.metric: (r.n_rows, r.n_batches) for r in B.batch_plan(s, 7).collect()}
     for n, k in got.values():
         assert k == -(-n // 7)
+
+
+def test_batches_keep_rows_without_time(spark):
+    rows = [(1, None, 1.0), (1, "2024-01-01 00:00:00", 2.0), (1, "2024-01-01 03:00:00", 3.0), (2, None, 4.0)]
+    s = spark.createDataFrame(rows, "series_id long, t string, value double").select(
+        "series_id", F.col("t").cast("timestamp_ntz").alias("ts"), "value"
+    )
+    got = sorted((r.series_id, r.value, r.batch) for r in B.with_batches(s, ["series_id"], ["ts", "value"], 2).collect())
+    assert got == [(1, 1.0, 0), (1, 2.0, 0), (1, 3.0, 1), (2, 4.0, 0)]
