@@ -9,53 +9,48 @@ inside each bucket. The result equals
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_HEX_DIGITS = 3  # 16^3 = 4,096 buckets
 
 
-def md5_bucket(key: Column) -> Column:
+def md5_bucket(key):
     return F.substring(F.md5(key), 1, BUCKET_HEX_DIGITS)
 
 
-def hash_ordered_ids(df: DataFrame, key: str, out: str, start: Column | int = 1) -> DataFrame:
+def _offsets(counts: DataFrame) -> DataFrame:
+    """(_bk, _n) -> (_bk, _off = sum of _n over earlier buckets). At most 4,097
+    rows, so the single-partition window and the broadcast are bounded."""
+    running = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(counts.select("_bk", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off")))
+
+
+def hash_ordered_ids(df: DataFrame, key: str, out: str, start: int = 1) -> DataFrame:
     """Adds ``out`` = dense number of ``key`` from ``start`` (keys must be
     distinct in ``df``)."""
-    start_col = start if isinstance(start, Column) else F.lit(start)
     keyed = df.withColumn("_bk", md5_bucket(F.col(key)))
     counts = keyed.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    return _number(keyed, counts, key, out, start_col - 1)
-
-
-def _number(keyed: DataFrame, counts: DataFrame, key: str, out: str, shift: Column) -> DataFrame:
-    # at most 4,097 rows: one small single-partition window
-    running = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bk", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_bk").orderBy(key)
-    ranked = keyed.withColumn("_rn", F.row_number().over(inner))
-    # bounded by 4,097 rows -> safe to broadcast
-    return (
-        ranked.join(F.broadcast(offsets), "_bk")
-        .withColumn(out, (shift + F.col("_off") + F.col("_rn")).cast("long"))
-        .drop("_bk", "_off", "_rn")
-    )
+    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_bk").orderBy(key)))
+    number = F.lit(start - 1) + F.col("_off") + F.col("_rn")
+    return ranked.join(_offsets(counts), "_bk").withColumn(out, number.cast("long")).drop("_bk", "_off", "_rn")
 
 
 def number_missing(df: DataFrame, key: str, id_col: str, base: DataFrame) -> DataFrame:
-    """Fill null ``id_col`` values with new ids above ``base`` (one-row maximum)
-    in one pass: rows keep their id, rows without one are numbered in
-    (md5 bucket, key) order. Adds a boolean ``_new``."""
+    """Fill null ``id_col`` values with new ids above ``base`` (a one-row,
+    one-column maximum; null counts as 0) in one pass: rows keep their id, rows
+    without one are numbered in (md5 bucket, key) order. Adds a boolean ``_new``.
+
+    The base enters the running sum as an extra leading row, so no cross join
+    is needed to add it.
+    """
     keyed = df.withColumn("_bk", md5_bucket(F.col(key))).withColumn("_new", F.col(id_col).isNull())
     counts = keyed.groupBy("_bk").agg(F.count(F.when(F.col("_new"), F.lit(1))).alias("_n"))
     base_row = base.select(F.lit("").alias("_bk"), F.coalesce(F.col(base.columns[0]).cast("long"), F.lit(0)).alias("_n"))
-    running = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.unionByName(base_row).select("_bk", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_bk", "_new").orderBy(key)
-    ranked = keyed.withColumn("_rn", F.row_number().over(inner))
+    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_bk", "_new").orderBy(key)))
     new_id = F.when(F.col("_new"), F.col("_off") + F.col("_rn")).otherwise(F.col(id_col))
     return (
-        ranked.join(F.broadcast(offsets), "_bk")
+        ranked.join(_offsets(counts.unionByName(base_row)), "_bk")
         .withColumn(id_col, new_id.cast("long"))
         .drop("_bk", "_off", "_rn")
     )
