@@ -29,7 +29,9 @@ def _params(args) -> Params:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="chunkwise")
-    ap.add_argument("command", choices=["inventory", "distribution", "sizes", "move", "migrate-sql", "migrate-jsonl"])
+    ap.add_argument(
+        "command", choices=["inventory", "stream-inventory", "distribution", "sizes", "move", "migrate-sql", "migrate-jsonl"]
+    )
     ap.add_argument("--samples", required=True, help="Parquet path of the samples (or events with --events)")
     ap.add_argument("--events", action="store_true")
     ap.add_argument("--out", help="output folder")
@@ -43,6 +45,8 @@ def main(argv=None) -> None:
     ap.add_argument("--cold", help="cold tier folder (move)")
     ap.add_argument("--attachments", help="JSON list of [table, tier]")
     ap.add_argument("--indexes", help="JSON list of [schema, table, index, [columns]]")
+    ap.add_argument("--checkpoint", help="streaming checkpoint folder (stream-inventory)")
+    ap.add_argument("--glob", default="*.parquet", help="file name pattern of new sample files (stream-inventory)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"chunkwise-{args.command}").getOrCreate()
@@ -56,6 +60,14 @@ def main(argv=None) -> None:
         run.plan.show(truncate=False)
         run.status.show(truncate=False)
         return
+    if args.command == "stream-inventory":
+        from .streaming.inventory import run_incremental_inventory, stream_events_as_samples
+
+        if not args.events:
+            raise SystemExit("stream-inventory reads events-shaped files (--events)")
+        stream = stream_events_as_samples(spark, args.samples, args.glob)
+        run_incremental_inventory(stream, args.out, args.checkpoint, every=prm.every, schema=prm.schema)
+        return
     samples = _samples(spark, args)
     if args.command == "inventory":
         C.chunk_inventory(samples, every=prm.every, schema=prm.schema).write.mode("overwrite").parquet(args.out)

@@ -75,6 +75,16 @@ def read_inventory(spark: SparkSession, table_path: str) -> DataFrame:
     return newest.select(*CHUNK_KEY, *[F.col("_v." + c).alias(c) for c in rest]).select(*CHUNK_COLUMNS)
 
 
+def compact_inventory(spark: SparkSession, table_path: str, out_path: str) -> DataFrame:
+    """Write the current inventory (newest row per chunk) to ``out_path`` as one
+    batch, so readers of a long-running log scan one row per chunk. The caller
+    swaps the paths once the write succeeded; the log itself is left as it is."""
+    current = read_inventory(spark, table_path)
+    top = spark.read.parquet(table_path).agg(F.max("batch_id")).first()[0]
+    current.withColumn("batch_id", F.lit(top).cast("long")).write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
+    return read_inventory(spark, out_path)
+
+
 def stream_events_as_samples(spark: SparkSession, folder: str, glob: str = "events*.parquet", max_files: int | None = None) -> DataFrame:
     """File stream over the events files of a folder, as canonical samples."""
     from ..model import samples_from_events

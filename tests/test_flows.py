@@ -61,3 +61,12 @@ def test_cli_inventory(spark, tmp_dir):
     main(["inventory", "--samples", f"{SF_SMALL}/events.parquet", "--events", "--out", tmp_dir])
     got = spark.read.parquet(tmp_dir)
     assert got.count() == C.chunk_inventory(load_samples(spark, SF_SMALL)).count()
+
+
+def test_cli_reports_run(spark, capsys):
+    from chunkwise.__main__ import main
+
+    main(["distribution", "--samples", f"{SF_SMALL}/events.parquet", "--events"])
+    main(["sizes", "--samples", f"{SF_SMALL}/events.parquet", "--events"])
+    out = capsys.readouterr().out
+    assert "highest_loaded_dn" in out and "size_pretty" in out
