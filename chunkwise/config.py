@@ -67,12 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
-def materialize(df):
+def materialize(df, name: str = "table"):
     """Cut the lineage of a small, reused intermediate (a dictionary or id
-    table): written once to the reliable checkpoint folder, then read by every
-    branch that uses it; survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    table): written once as Parquet under the shared checkpoint folder and read
+    back by every branch that uses it; survives executor loss.
+
+    A written table rather than ``checkpoint()``: an eager RDD checkpoint
+    computes its input twice (count, then the checkpoint write), and the
+    Parquet read gives adaptive execution real sizes for its join choices.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "materialized", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df, max_rows: int):
