@@ -70,3 +70,18 @@ def test_cli_reports_run(spark, capsys):
     main(["sizes", "--samples", f"{SF_SMALL}/events.parquet", "--events"])
     out = capsys.readouterr().out
     assert "highest_loaded_dn" in out and "size_pretty" in out
+
+
+def test_cluster_conf_sizes_partitions():
+    from chunkwise.session import cluster_conf
+
+    conf = cluster_conf(100 * 10**12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(cluster_conf(10**6, 64)["spark.sql.shuffle.partitions"]) == 128
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true" and "spark.ui.enabled" not in conf
+
+
+def test_work_dir_under_checkpoint_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    a, b = work_dir(spark, "x"), work_dir(spark, "x")
+    assert a.startswith(base) and b.startswith(base) and a != b
