@@ -13,14 +13,14 @@ import json
 from pyspark.sql import SparkSession
 
 from .config import Params
-from .model import attachments_df, indexes_df, samples_from_events, series_dictionary
+from .model import attachments_df, indexes_df, require_samples, samples_from_events, series_dictionary
 from .operators import chunks as C
 from .operators import placement as P
 
 
 def _samples(spark: SparkSession, args):
     df = spark.read.parquet(args.samples)
-    return samples_from_events(df) if args.events else df
+    return samples_from_events(df) if args.events else require_samples(df)
 
 
 def _params(args) -> Params:

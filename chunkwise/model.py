@@ -21,6 +21,14 @@ N_NODES = 4
 SAMPLE_COLUMNS = ["metric", "series_id", "user_id", "ts", "value", "node", "labels", "payload"]
 
 
+def require_samples(df: DataFrame, needed=("metric", "series_id", "ts", "value", "node", "labels", "payload")) -> DataFrame:
+    """Fail early, with the missing names, when a table is not shaped as samples."""
+    missing = [c for c in needed if c not in df.columns]
+    if missing:
+        raise ValueError(f"not a samples table, missing columns {missing}; map it with a samples_from_* function")
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -85,3 +85,10 @@ def test_work_dir_under_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a.startswith(base) and b.startswith(base) and a != b
+
+
+def test_cli_rejects_non_samples_table(spark):
+    from chunkwise.__main__ import main
+
+    with pytest.raises(ValueError, match="missing columns"):
+        main(["sizes", "--samples", f"{SF_SMALL}/events.parquet"])
