@@ -7,7 +7,6 @@ Every time-dependent operation takes an explicit ``as_of`` instead of
 from __future__ import annotations
 
 import datetime as dt
-import os
 import re
 import tempfile
 import uuid
@@ -57,13 +56,19 @@ class Params:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a private one only when unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The session's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    A local session without one gets a private folder; a cluster session
+    without one is an error, because executors would each write to their own disk.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="chunkwise-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base
 
 
@@ -95,8 +100,7 @@ def broadcast_if_small(df, max_rows: int):
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    The folder comes from ``spark.checkpoint.dir``; only when the session has
-    none (local tests) a private one is created and registered.
+    The folder comes from ``spark.checkpoint.dir``; see ``ensure_checkpoint_dir``.
     """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "chunkwise", uuid.uuid4().hex, *parts)
+    return "/".join([base.rstrip("/"), "chunkwise", uuid.uuid4().hex, *parts])

@@ -25,13 +25,9 @@ def spark():
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="chunkwise-test-"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # tests only: a private checkpoint folder when the session names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="chunkwise-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
 
