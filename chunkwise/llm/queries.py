@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import token_counts
-from .common import table
+from chunkwise.config import work_dir
+
+from . import ann, decontamination, langid, packing, pii, token_counts, toxicity, url_filter, warc
+from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +32,96 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@_query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.find_leaks(docs, benchmark, error_share=0.1)
+
+
+@_query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(f"base.{k}").cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    base, spans = pii.span_text(F.col("base")), pii.span_text(F.col("found"))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    remainder = id_remainder(F.col("doc_id"), 5)
+    model = toxicity.train(docs, labels, learn=remainder != 0, rows_per_class=4000)
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", (remainder == 0).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = id_remainder(F.col("doc_id"), 4)
+    model = langid.train(docs, learn=remainder != 2, docs_per_language=1500)
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (remainder == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@_query
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    records = warc.read_archive(spark, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+@_query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=False)
+
+
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+
+
+@_query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    model = url_filter.train(url_filter.labelled_by_rules(pages, URL_RULES, rows_kept=4000))
+    return url_filter.judge(pages, URL_RULES, model)
+
+
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
+
+
+@_query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0, k=20)
+
+
+# Every page is a record; of equal payloads the smallest page id is the response.
+# Base32 of a SHA-1: five hexadecimal digits are four base-32 ones.
+ORACLES["op5_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id,
+         octet_length(encode(payload)) AS payload_bytes,
+         array_to_string([
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+           for i in range(32)], '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY payload) AS leader
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> leader THEN leader END AS refers_to,
+       true AS intact
+FROM d
+"""
