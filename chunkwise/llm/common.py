@@ -52,3 +52,26 @@ class WordCache:
             self.old, self.young = young, {}
         self.young.update((w, v) for w, v in found.items() if len(w) <= self.longest)
         return [found[w] if v is None else v for w, v in zip(words, got, strict=True)]
+
+
+#: How many buckets of ids ``in_buckets`` tells apart; it broadcasts at most so many numbers.
+ID_BUCKETS = 1 << 20
+
+
+def _bucketed(docs: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    name = "__bucket"
+    number = F.pmod(F.xxhash64(F.col(key)), F.lit(ID_BUCKETS)).cast("int")
+    used = ids.select(number.alias(name)).distinct()
+    return docs.withColumn(name, number).join(F.broadcast(used), name, how).select(docs.columns)
+
+
+def in_buckets(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """A superset of the rows whose ``key`` is among ``ids``, found without a shuffle of the rows."""
+    return _bucketed(docs, key, ids, "left_semi")
+
+
+def drop_ids(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` isn't among ``ids`` (distinct, not null). Only rows in a
+    bucket with such an id are shuffled."""
+    clear = _bucketed(docs, key, ids, "left_anti")
+    return clear.unionAll(in_buckets(docs, key, ids).join(ids, key, "left_anti").select(docs.columns))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import work_dir
 
-from . import ann, decontamination, langid, packing, pii, token_counts, toxicity, url_filter, warc
+from . import ann, decontamination, langid, near_dedup, packing, pii, token_counts, toxicity, url_filter, warc
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,11 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+@_query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, threshold=80)
+
+
 @_query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
