@@ -87,16 +87,6 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df, max_rows: int):
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` (a
-    shuffle join, whose hot keys adaptive execution splits). Counting is cheap
-    only on materialised input, so call it on checkpointed DataFrames."""
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 

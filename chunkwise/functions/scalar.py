@@ -48,15 +48,28 @@ def size_pretty(b: ColumnOrName) -> Column:
 
 
 # --- F2 qualified_name ------------------------------------------------------
+# The database's key words that can't be names without quotes
+# (reserved, function or type names, column names).
+KEY_WORDS = """
+all analyse analyze and any array as asc asymmetric both case cast check collate column constraint create
+current_catalog current_date current_role current_time current_timestamp current_user default deferrable desc distinct
+do else end except false fetch for foreign from grant group having in initially intersect into lateral leading limit
+localtime localtimestamp not null offset on only or order placing primary references returning select session_user some
+symmetric system_user table then to trailing true union unique user using variadic when where window with
+authorization binary collation concurrently cross current_schema freeze full ilike inner is isnull join left like
+natural notnull outer overlaps right similar tablesample verbose
+between bigint bit boolean char character coalesce dec decimal exists extract float greatest grouping inout int integer
+interval json json_array json_arrayagg json_exists json_object json_objectagg json_query json_scalar json_serialize
+json_table json_value least merge_action national nchar none normalize nullif numeric out overlay position precision
+real row setof smallint substring time timestamp treat trim values varchar xmlattributes xmlconcat xmlelement xmlexists
+xmlforest xmlnamespaces xmlparse xmlpi xmlroot xmlserialize xmltable
+""".split()
 
 
 def quote_ident(name: ColumnOrName) -> Column:
-    """Identifier quoting of ``format('%I')``: plain lower-case names stay bare.
-
-    Key words are not quoted (documented limitation).
-    """
+    """Identifier quoting of ``format('%I')``: plain lower-case names that are no key word stay bare."""
     n = _c(name)
-    return F.when(n.rlike(r"^[a-z_][a-z0-9_]*$"), n).otherwise(
+    return F.when(n.rlike(r"\A[a-z_][a-z0-9_]*\z") & ~n.isin(*KEY_WORDS), n).otherwise(
         F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"'))
     )
 

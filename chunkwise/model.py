@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import DEFAULT_SCHEMA
+from .functions.labels import canonical_labels
 from .functions.scalar import md5_int
 
 N_NODES = 4
@@ -90,12 +91,21 @@ def load_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_dictionary(samples: DataFrame) -> DataFrame:
-    """``series(series_id, metric, labels)``: one row per series id.
-
-    A plain distinct; the partial aggregate collapses every series map-side,
-    so a hot series costs one row per task in the shuffle.
+    """``series(series_id, metric, labels)``: one row per series id, labels in canonical
+    form (invalid text as it is). The distinct collapses every series map-side, so a
+    hot series costs one row per task in the shuffle; what follows has dictionary
+    size. Ids whose labels truly differ get the smallest (see :func:`label_conflicts`).
     """
-    return samples.select("series_id", "metric", "labels").distinct()
+    rows = samples.select("series_id", "metric", "labels").distinct()
+    labels = F.coalesce(canonical_labels("labels"), F.col("labels"))
+    return rows.groupBy("series_id").agg(F.min("metric").alias("metric"), F.min(labels).alias("labels"))
+
+
+def label_conflicts(samples: DataFrame) -> DataFrame:
+    """``(series_id, n_label_sets)`` of the ids that carry more than one label set."""
+    rows = samples.select("series_id", "labels").distinct()
+    counted = rows.groupBy("series_id").agg(F.countDistinct(F.coalesce(canonical_labels("labels"), F.col("labels"))).alias("n_label_sets"))
+    return counted.where("n_label_sets > 1")
 
 
 # --- derived catalogs of the test fixtures ------------------------------------

@@ -11,48 +11,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import parse_interval
-from ..functions.scalar import double_text, epoch_ms, epoch_us, nan_to_null, sql_quote
-
-
-def with_batches(
-    df: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    size: int,
-    ts: str = "ts",
-    sub: str = "1 hour",
-    out: str = "batch",
-) -> DataFrame:
+from ..config import materialize
+from ..functions.scalar import double_text, epoch_ms, nan_to_null, sql_quote
+from .series import one_label_set
+
+
+def with_batches(df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, out: str = "batch") -> DataFrame:
     """B1: ``batch = (row_number() over (partition by key order by order) - 1) div size``.
 
-    Two-level form so one huge key is not numbered in one task: rows are counted
-    per (key, time sub-bucket); a running sum over those counts gives each
-    sub-bucket its offset; ``row_number`` runs within (key, sub-bucket). ``order``
-    must start with the ``ts`` column (so sub-buckets are ordered like rows) and
-    should make the order total.
+    The rows are written once, range-partitioned and sorted on (key, order), with their
+    number in the partition; so a huge key spreads over many tasks, however its rows
+    lie in time. Counts per (key, partition) give each run of a key its offset, and
+    batch numbers follow by arithmetic. ``order`` should make the order total; rows with
+    a null key form a group like any other, null order values come first.
     """
     if size < 1:
         raise ValueError("size must be >= 1")
-    if not order or order[0] != ts:
-        raise ValueError(f"order must start with {ts!r}")
-    key = list(key)
-    width = int(parse_interval(sub).total_seconds() * 1_000_000)
-    us = epoch_us(F.col(ts))
-    # rows without a time get their own first bucket (nulls sort first, as in the
-    # one-level window) instead of vanishing in the offsets join
-    sb = F.coalesce(((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long"), F.lit(-(2**63)))
-    keyed = df.withColumn("_sb", sb)
-    counts = keyed.groupBy(*key, "_sb").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*key, "_sb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy(*key, "_sb").orderBy(*order)
-    ranked = keyed.withColumn("_rn", F.row_number().over(inner))
-    return (
-        ranked.join(offsets, [*key, "_sb"])
-        .withColumn(out, ((F.col("_off") + F.col("_rn") - 1) / F.lit(size)).cast("long"))
-        .drop("_sb", "_off", "_rn")
-    )
+    if not order:
+        raise ValueError("order must name a column")
+    key, columns = list(key), list(dict.fromkeys([*key, *order]))
+    rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("_m", F.monotonically_increasing_id())
+    # the number's upper bits are the partition, its lower 33 the row in it
+    rows = materialize(rows.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m"), "sorted_rows")
+    runs = rows.groupBy(*key, "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
+    before = Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    runs = runs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.col("_p").alias("_q"), offset.alias("_off"))
+    same = F.col("_p") == F.col("_q")
+    for i, c in enumerate(key):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    number = F.floor((F.col("_off") + F.col("_i")) / F.lit(size)).cast("long")
+    return rows.join(runs, same).withColumn(out, number).select(*df.columns, out)
 
 
 def batch_plan(samples: DataFrame, size: int, key: str = "metric") -> DataFrame:
@@ -80,7 +69,7 @@ def batch_records(samples: DataFrame, series: DataFrame, size: int) -> DataFrame
         F.transform("_p", lambda p: nan_to_null(p["v"])).alias("values"),
         F.transform("_p", lambda p: epoch_ms(p["t"])).alias("timestamps"),
     )
-    return recs.join(series.select("series_id", "labels"), "series_id")
+    return recs.join(one_label_set(series), "series_id")
 
 
 def json_lines(records: DataFrame) -> DataFrame:

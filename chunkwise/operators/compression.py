@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import quote_ident
+from .layout import MAX_RECORDS_PER_FILE, TERM, ascending, masked_sort_keys
+
 KEY = ["hypertable_schema", "hypertable_name"]
-MAX_RULE_TABLES = 10_000  # bound on the rule set collected to build a layout
-MAX_RECORDS_PER_FILE = 5_000_000  # keeps files near a few hundred MB
+NO_TERMS = f"array<{TERM}>"
 
 
 def compressed_tables(states: DataFrame, schema: str, limit: int | None = None) -> DataFrame:
@@ -46,15 +48,19 @@ def orderby_term(attname, asc, nulls_first):
 
 
 def orderby_rules(settings: DataFrame) -> DataFrame:
-    """Ordered list of order-by terms per table (one aggregation for all tables)."""
+    """Ordered order-by terms per table (one aggregation for all tables), as structs
+    (``orderby_terms``) and as text (``orderby``)."""
     s = settings.filter(F.col("orderby_column_index").isNotNull())
-    term = orderby_term(F.col("attname"), F.coalesce("orderby_asc", F.lit(True)), F.coalesce("orderby_nullsfirst", F.lit(False)))
-    return s.groupBy(*KEY).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col("orderby_column_index").alias("i"), term.alias("t")))),
-            lambda x: x["t"],
-        ).alias("orderby")
+    term = F.struct(
+        F.col("orderby_column_index").alias("i"),
+        F.col("attname").alias("column"),
+        F.coalesce("orderby_asc", F.lit(True)).alias("asc"),
+        F.coalesce("orderby_nullsfirst", F.lit(False)).alias("nulls_first"),
     )
+    grouped = s.groupBy(*KEY).agg(F.array_sort(F.collect_list(term)).alias("_t"))
+    terms = F.transform("_t", lambda x: F.struct(x["column"].alias("column"), x["asc"].alias("asc"), x["nulls_first"].alias("nulls_first")))
+    text = F.transform("_t", lambda x: orderby_term(x["column"], x["asc"], x["nulls_first"]))
+    return grouped.select(*KEY, text.alias("orderby"), terms.alias("orderby_terms"))
 
 
 def segmentby_rules(settings: DataFrame) -> DataFrame:
@@ -75,52 +81,46 @@ def compression_rules(tables: DataFrame, settings: DataFrame) -> DataFrame:
         tables.select(*KEY)
         .join(orderby_rules(settings), KEY, "left")
         .join(segmentby_rules(settings), KEY, "left")
-        .select(*KEY, F.coalesce("orderby", empty).alias("orderby"), F.coalesce("segmentby", empty).alias("segmentby"))
+        .select(
+            *KEY,
+            F.coalesce("orderby", empty).alias("orderby"),
+            F.coalesce("segmentby", empty).alias("segmentby"),
+            F.coalesce("orderby_terms", F.array().cast(NO_TERMS)).alias("orderby_terms"),
+        )
     )
 
 
-def _sort_exprs(terms: list[str]):
-    out = []
-    for t in terms:
-        parts = t.split()
-        col, rest = F.col(parts[0]), " ".join(parts[1:]).upper()
-        if rest.startswith("DESC"):
-            out.append(col.desc_nulls_last() if rest.endswith("NULLS LAST") else col.desc_nulls_first())
-        else:
-            out.append(col.asc_nulls_first() if rest.endswith("NULLS FIRST") else col.asc_nulls_last())
-    return out
+def compression_ddl(rules: DataFrame) -> DataFrame:
+    """One ALTER TABLE text per table that sets its compression from the rules (column
+    names quoted where they have to be); options without columns are left out."""
+
+    def listed(terms, render):
+        return F.array_join(F.transform(terms, render), ", ")
+
+    # single quotes inside the option's text are doubled
+    option = lambda name, text: F.when(text != "", F.concat(F.lit(f"timescaledb.{name} = '"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'")))
+    segment = listed("segmentby", quote_ident)
+    order = listed("orderby_terms", lambda t: orderby_term(quote_ident(t["column"]), t["asc"], t["nulls_first"]))
+    options = F.concat_ws(", ", F.lit("timescaledb.compress"), option("compress_segmentby", segment), option("compress_orderby", order))
+    target = F.concat(quote_ident("hypertable_schema"), F.lit("."), quote_ident("hypertable_name"))
+    return rules.select(*KEY, F.concat(F.lit("ALTER TABLE "), target, F.lit(" SET ("), options, F.lit(");")).alias("statement"))
 
 
 def apply_layout(samples: DataFrame, rules: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
     """Write each ruled table clustered by its segment-by columns and sorted
     by its order-by terms (one folder per metric, dynamic overwrite).
 
-    The rule set is catalog metadata (one row per table, at most
-    ``MAX_RULE_TABLES``); it is read once to build the sort expressions. Tables
-    sharing a rule share one branch; each branch is range-partitioned on
-    (segment-by, order-by), so a large segment is split over tasks, and sorted
-    within partitions. Returns the written rows read back.
+    ``rules``: hypertable_name, segmentby, orderby_terms; best a written table, whose
+    size decides how it is joined. All tables are written in one pass: rows are
+    range-partitioned on (metric, segment-by, order-by), so a large segment is split
+    over tasks, and sorted within partitions. Returns the written rows read back.
     """
     spark = samples.sparkSession
-    listed = rules.select("hypertable_name", "orderby", "segmentby").limit(MAX_RULE_TABLES + 1).collect()
-    if len(listed) > MAX_RULE_TABLES:
-        raise ValueError(f"more than {MAX_RULE_TABLES} tables in the rule set")
-    groups: dict[tuple, list[str]] = {}
-    for r in listed:
-        groups.setdefault((tuple(r["segmentby"]), tuple(r["orderby"])), []).append(r["hypertable_name"])
+    own = rules.select(F.col("hypertable_name").alias("metric"), F.concat(ascending(F.col("segmentby")), "orderby_terms").alias("_order"))
+    keys = masked_sort_keys(own.select("_order"), F.col("_order"), samples.columns)
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    branches = []
-    for (seg, order), names in sorted(groups.items()):
-        keys = [F.col(c).asc_nulls_first() for c in seg] + _sort_exprs(list(order))
-        part = samples.filter(F.col("metric").isin(names))
-        if keys:
-            part = part.repartitionByRange(nparts, "metric", *keys).sortWithinPartitions("metric", *keys)
-        branches.append(part)
-    if not branches:
-        return samples.limit(0)
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
+    rows = samples.join(own, "metric")
+    out = rows.repartitionByRange(nparts, "metric", *keys).sortWithinPartitions("metric", *keys).select(samples.columns)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -129,4 +129,4 @@ def apply_layout(samples: DataFrame, rules: DataFrame, path: str, compression: s
         .partitionBy("metric")
         .parquet(path)
     )
-    return spark.read.parquet(path)
+    return spark.read.schema(samples.schema).parquet(path)

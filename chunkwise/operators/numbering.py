@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import materialize
+
 BUCKET_HEX_DIGITS = 3  # 16^3 = 4,096 buckets
 
 
@@ -36,6 +38,21 @@ def hash_ordered_ids(df: DataFrame, key: str, out: str, start: int = 1) -> DataF
     return ranked.join(_offsets(counts), "_bk").withColumn(out, number.cast("long")).drop("_bk", "_off", "_rn")
 
 
+def key_ordered_ids(df: DataFrame, key: str, out: str, start: int = 1) -> DataFrame:
+    """Adds ``out`` = dense number of ``key`` in key order, from ``start``:
+    ``start - 1 + row_number() over (order by key)``. Keys must be distinct.
+
+    A range-partitioned copy is written once, so that partition numbers stay what
+    they are; rows are counted per partition, and the running sum over those counts
+    (one row per partition) gives each partition its offset.
+    """
+    rows = materialize(df.repartitionByRange(F.col(key)).withColumn("_bk", F.spark_partition_id()), "by_key")
+    counts = rows.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("_bk").orderBy(key)))
+    number = F.lit(start - 1) + F.col("_off") + F.col("_rn")
+    return ranked.join(_offsets(counts), "_bk").withColumn(out, number.cast("long")).drop("_bk", "_off", "_rn")
+
+
 def number_missing(df: DataFrame, key: str, id_col: str, base: DataFrame) -> DataFrame:
     """Fill null ``id_col`` values with new ids above ``base`` (a one-row,
     one-column maximum; null counts as 0) in one pass: rows keep their id, rows

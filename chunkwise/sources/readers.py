@@ -5,11 +5,14 @@ Connection options are passed in; nothing is opened at import time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import materialize
+
 # JDBC options understood by S1; partitioned reads need all four bounds.
 _JDBC_PARTITION_KEYS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
@@ -96,10 +99,12 @@ def read_nodes_jdbc(spark: SparkSession, url: str, table: str, node_predicates:
 
 
 def metrics_dictionary(samples: DataFrame) -> DataFrame:
-    """``metrics(metric_id, metric)``: ids in md5-bucket order of the name."""
+    """``metrics(metric_id, metric, n_samples)``: ids in md5-bucket order of the name, and
+    the metric's samples; one pass over the samples, written once."""
     from ..operators.numbering import hash_ordered_ids
 
-    return hash_ordered_ids(samples.select("metric").distinct(), "metric", "metric_id", start=1)
+    per_metric = materialize(samples.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples")), "metrics")
+    return hash_ordered_ids(per_metric.where("metric IS NOT NULL"), "metric", "metric_id", start=1)
 
 
 def metric_filter(samples: DataFrame, metrics: DataFrame, names: Iterable[str]) -> tuple[DataFrame, DataFrame]:
@@ -115,10 +120,10 @@ def metric_filter(samples: DataFrame, metrics: DataFrame, names: Iterable[str])
         raise ValueError("empty metric list")
     selected = samples.filter(F.col("metric").isin(names))
     wanted = samples.sparkSession.createDataFrame([(n,) for n in names], "metric string")
-    counts = selected.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples"))
+    if "n_samples" not in metrics.columns:
+        metrics = metrics.join(selected.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples")), "metric", "left")
     status = (
         wanted.join(metrics, "metric", "left")
-        .join(counts, "metric", "left")
         .select("metric_id", "metric", F.coalesce("n_samples", F.lit(0)).cast("long").alias("n_samples"))
     )
     return selected, status
@@ -131,21 +136,57 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+SNAPSHOT_SCHEMA = "series_id long, labels string, metric string"
+
+
+def _metric_folder(spark: SparkSession, path: str, metric: str) -> str:
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(metric)
+    return f"{path.rstrip('/')}/metric={escaped}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a run's folder (a snapshot, written lines) once it isn't needed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def clear_metrics(spark: SparkSession, path: str, metrics: Iterable[str]) -> None:
+    """Remove the ``metric=`` folders of the listed metrics."""
+    for m in metrics:
+        drop_folder(spark, _metric_folder(spark, path, m))
+
+
+def drop_snapshot(spark: SparkSession, path: str, metrics: Iterable[str] | None = None) -> None:
+    """S6's counterpart, for the caller after a successful run: drop the snapshot, or
+    the listed metrics' part of it."""
+    if metrics is None:
+        drop_folder(spark, path)
+    else:
+        clear_metrics(spark, path, metrics)
+
+
 def snapshot_series(spark: SparkSession, series: DataFrame, path: str, metrics: Iterable[str] | None = None) -> DataFrame:
     """Materialise the label dictionary of some (or all) metrics once.
 
     Partitions ``metric=...`` that already exist are kept as they are (create if
-    absent, fill only if empty); missing ones are appended. Returns the snapshot
-    read back. Dropping it is the caller's cleanup of its run folder.
+    absent, fill only if empty). Missing ones are written aside and each is moved in
+    by a rename, so a crash leaves no half-written one. Returns the snapshot read back
+    (empty for unknown metrics). :func:`drop_snapshot` removes it.
     """
     wanted = series if metrics is None else series.filter(F.col("metric").isin(list(metrics)))
-    if _path_exists(spark, path):
-        have = spark.read.parquet(path).select("metric").distinct()
-        missing = wanted.join(have, "metric", "left_anti")
-        missing.write.mode("append").partitionBy("metric").parquet(path)
-    else:
-        wanted.write.mode("errorifexists").partitionBy("metric").parquet(path)
-    snap = spark.read.parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)
+    have = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).select("metric").distinct()
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_aside_{uuid.uuid4().hex}")
+    wanted.select("series_id", "labels", "metric").join(have, "metric", "left_anti").write.partitionBy("metric").parquet(aside.toString())
+    for entry in fs.listStatus(aside):
+        if entry.isDirectory():
+            fs.rename(entry.getPath(), jvm.org.apache.hadoop.fs.Path(folder, entry.getPath().getName()))
+    fs.delete(aside, True)
+    snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
     if metrics is not None:
         snap = snap.filter(F.col("metric").isin(list(metrics)))
     return snap.select("series_id", "metric", "labels")
