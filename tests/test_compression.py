@@ -59,7 +59,8 @@ def test_policy_drift_statuses(spark):
 def test_apply_layout_keeps_rows_and_sorts(spark, tmp_dir):
     s = samples_df(spark, [("m1", "dn1", 1, 0, 30, "x"), ("m1", "dn2", 2, 0, 30, "y"), ("m2", "dn1", 1, 0, 10, "z")])
     rules = spark.createDataFrame(
-        [("m1", ["value DESC"], ["node"]), ("m2", ["ts"], [])], "hypertable_name string, orderby array<string>, segmentby array<string>"
+        [("m1", [("value", False, True)], ["node"]), ("m2", [("ts", True, False)], [])],
+        "hypertable_name string, orderby_terms array<struct<column:string,asc:boolean,nulls_first:boolean>>, segmentby array<string>",
     )
     out = G.apply_layout(s, rules, tmp_dir)
     cols = ["metric", "series_id", "ts", "value", "node"]
@@ -72,3 +73,24 @@ def test_apply_layout_keeps_rows_and_sorts(spark, tmp_dir):
     # a rerun replaces the files instead of adding rows
     out2 = G.apply_layout(s, rules, tmp_dir)
     assert out2.count() == s.count()
+
+
+def test_layout_takes_any_column_name_and_rejects_unknown_ones(spark, tmp_dir):
+    import pytest
+
+    s = samples_df(spark, [("m1", "dn1", 1, 0, 5, "x")]).withColumn("my col", F.col("value") * -1)
+    schema = "hypertable_name string, orderby_terms array<struct<column:string,asc:boolean,nulls_first:boolean>>, segmentby array<string>"
+    out = G.apply_layout(s, spark.createDataFrame([("m1", [("my col", True, False)], [])], schema), tmp_dir)
+    assert [r.value for r in out.select("value").collect()] == [4.0, 3.0, 2.0, 1.0, 0.0]
+    with pytest.raises(ValueError, match="no such column"):
+        G.apply_layout(s, spark.createDataFrame([("m1", [("nope", True, False)], [])], schema), tmp_dir)
+
+
+def test_compression_statements(spark):
+    tables = spark.createDataFrame([("s", "t"), ("s", "order")], "hypertable_schema string, hypertable_name string")
+    got = {r.hypertable_name: r.statement for r in G.compression_ddl(G.compression_rules(tables, _settings(spark))).collect()}
+    assert got["order"] == 'ALTER TABLE s."order" SET (timescaledb.compress);'
+    assert got["t"] == (
+        "ALTER TABLE s.t SET (timescaledb.compress, timescaledb.compress_segmentby = 'seg1, seg2', "
+        "timescaledb.compress_orderby = 'a, b NULLS FIRST, c DESC, d DESC NULLS LAST');"
+    )

@@ -63,13 +63,31 @@ def test_cli_inventory(spark, tmp_dir):
     assert got.count() == C.chunk_inventory(load_samples(spark, SF_SMALL)).count()
 
 
-def test_cli_reports_run(spark, capsys):
+def test_cli_writes_whole_reports(spark, tmp_dir):
     from chunkwise.__main__ import main
 
-    main(["distribution", "--samples", f"{SF_SMALL}/events.parquet", "--events"])
-    main(["sizes", "--samples", f"{SF_SMALL}/events.parquet", "--events"])
-    out = capsys.readouterr().out
-    assert "highest_loaded_dn" in out and "size_pretty" in out
+    events = ["--samples", f"{SF_SMALL}/events.parquet", "--events", "--as-of", "2024-01-31T00:00:00"]
+    for command, columns in (("distribution", "highest_loaded_dn"), ("sizes", "size_pretty"), ("old-chunks", "chunk_full_name"), ("largest-old", "total_bytes")):
+        main([command, *events, "--out", f"{tmp_dir}/{command}"])
+        assert columns in spark.read.parquet(f"{tmp_dir}/{command}").columns
+    main(["placement", *events, "--block", '[[0, "dn1"]]', "--allow", "[]", "--out", f"{tmp_dir}/p"])
+    assert spark.read.parquet(f"{tmp_dir}/p/block").count() == 5
+
+
+def test_cli_migrates_per_metric_tables(spark, tmp_dir):
+    from chunkwise.__main__ import main
+
+    s = load_samples(spark, SF_SMALL)
+    for m in ("click", "view"):
+        s.filter(F.col("metric") == m).drop("metric").write.parquet(f"{tmp_dir}/{m}")
+    spark.createDataFrame([], "labels string, series_id long").write.parquet(f"{tmp_dir}/target")
+    for m in ("click", "view"):
+        main(["migrate-sql", "--table", f"{m}={tmp_dir}/{m}", "--metric", m, "--target-series", f"{tmp_dir}/target", "--out", f"{tmp_dir}/out_{m}"])
+        assert spark.read.parquet(f"{tmp_dir}/out_{m}/status").first().state == "ok"
+    ids = [r.series_id for r in spark.read.parquet(f"{tmp_dir}/target").collect()]
+    assert len(ids) == len(set(ids)) == s.filter(F.col("metric").isin("click", "view")).select("labels").distinct().count()
+    main(["migrate-jsonl", "--table", f"click={tmp_dir}/click", "--metric", "click", "--transport", "chunkwise.sources.sinks:StubTransport", "--out", f"{tmp_dir}/j"])
+    assert spark.read.parquet(f"{tmp_dir}/j/status").first().n_rejected == 0
 
 
 def test_cluster_conf_sizes_partitions():
@@ -91,4 +109,4 @@ def test_cli_rejects_non_samples_table(spark):
     from chunkwise.__main__ import main
 
     with pytest.raises(ValueError, match="missing columns"):
-        main(["sizes", "--samples", f"{SF_SMALL}/events.parquet"])
+        main(["sizes", "--samples", f"{SF_SMALL}/events.parquet", "--out", "unused"])

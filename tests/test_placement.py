@@ -34,18 +34,3 @@ def test_effective_placement(spark):
     all_blocked = P.block_plan(ht, [(0, "dn1"), (0, "dn2"), (0, "dn3")])
     got = {r.hypertable_name: r.allowed_nodes for r in P.effective_placement(ht, all_blocked).collect()}
     assert got == {"a": [], "b": []}
-
-
-def test_place_new_chunks_only_allowed(spark):
-    chunks = spark.createDataFrame(
-        [("prom_data", "a", f"_hyper_a_{d}_chunk") for d in range(40)] + [("prom_data", "z", "_hyper_z_chunk")],
-        "hypertable_schema string, hypertable_name string, chunk_name string",
-    )
-    placement = spark.createDataFrame(
-        [("prom_data", "a", ["dn1", "dn4"]), ("prom_data", "z", [])],
-        "hypertable_schema string, hypertable_name string, allowed_nodes array<string>",
-    )
-    rows = P.place_new_chunks(chunks, placement).collect()
-    a_nodes = {r.assigned_node for r in rows if r.hypertable_name == "a"}
-    assert a_nodes == {"dn1", "dn4"}
-    assert [r.assigned_node for r in rows if r.hypertable_name == "z"] == [None]

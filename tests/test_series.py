@@ -113,3 +113,20 @@ def test_batches_keep_rows_without_time(spark):
     )
     got = sorted((r.series_id, r.value, r.batch) for r in B.with_batches(s, ["series_id"], ["ts", "value"], 2).collect())
     assert got == [(1, 1.0, 0), (1, 2.0, 0), (1, 3.0, 1), (2, 4.0, 0)]
+
+
+def test_batches_keep_null_keys_and_need_no_time_first(spark):
+    rows = [(None, 3), (None, 1), (1, 2), (1, 5), (1, 4)]
+    got = B.with_batches(spark.createDataFrame(rows, "k long, v int"), ["k"], ["v"], 2)
+    assert sorted(((r.k or 0), r.v, r.batch) for r in got.collect()) == [(0, 1, 0), (0, 3, 0), (1, 2, 0), (1, 4, 0), (1, 5, 1)]
+
+
+def test_dictionary_has_one_row_per_id(spark):
+    from chunkwise.model import label_conflicts
+
+    rows = [(1, "m", '{"a":"1","b":"2"}'), (1, "m", '{"b":"2","a":"1"}'), (2, "m", '{"a":"2"}'), (2, "m", '{"a":"3"}'), (3, "m", "broken")]
+    s = spark.createDataFrame(rows, "series_id long, metric string, labels string")
+    got = {r.series_id: r.labels for r in series_dictionary(s).collect()}
+    assert got == {1: '{"a":"1","b":"2"}', 2: '{"a":"2"}', 3: "broken"}
+    assert [tuple(r) for r in label_conflicts(s).collect()] == [(2, 2)]
+    assert J.samples_with_labels(s.select("series_id", "metric"), s).count() == len(rows)
