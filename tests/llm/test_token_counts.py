@@ -5,7 +5,7 @@ import pytest
 sentencepiece = pytest.importorskip("sentencepiece")
 tokenizers = pytest.importorskip("tokenizers")
 
-from chunkwise.llm.packing import minimum_slack_patterns, pack, slot_table  # noqa: E402
+from chunkwise.llm.packing import fullest, minimum_slack_patterns, pack, slot_table  # noqa: E402
 from chunkwise.llm.queries import tokenizer_file  # noqa: E402
 from chunkwise.llm.token_counts import PrefixCounter, count_tokens  # noqa: E402
 
@@ -84,9 +84,27 @@ def test_patterns_fill_windows_as_full_as_they_can():
         for n, k in pattern.items():
             used[n] = used.get(n, 0) + k * times
     assert used == histogram
-    windows = sum(times for _, times in patterns)
-    assert windows <= -(-sum(n * c for n, c in histogram.items()) // 64) + 1
+    # each pattern is the fullest that its longest length allowed: no first fit is better
+    windows, room = sum(times for _, times in patterns), []
+    for n in sorted((n for n, c in histogram.items() for _ in range(c)), reverse=True):
+        k = next((k for k, r in enumerate(room) if r >= n), None)
+        if k is None:
+            room.append(64 - n)
+        else:
+            room[k] -= n
+    assert windows <= len(room)
     slots = slot_table(patterns)
     for n, c in histogram.items():
         spans = sorted((first, first + ranks) for length, first, ranks, *_ in slots if length == n)
         assert spans[0][0] == 0 and spans[-1][1] == c and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_fullest_is_the_best_subset_sum():
+    rng = random.Random(4)
+    for _ in range(60):
+        counts = {rng.randint(1, 20): rng.randint(1, 3) for _ in range(4)}
+        items = [n for n, c in counts.items() for _ in range(c)]
+        room = rng.randint(0, 50)
+        best = max(t for m in range(1 << len(items)) if (t := sum(n for i, n in enumerate(items) if m >> i & 1)) <= room)
+        used = fullest(counts, room)
+        assert sum(n * k for n, k in used.items()) == best and all(k <= counts[n] for n, k in used.items())
