@@ -144,6 +144,15 @@ def _metric_folder(spark: SparkSession, path: str, metric: str) -> str:
     return f"{path.rstrip('/')}/metric={escaped}"
 
 
+def metric_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``metric=`` folders under a path, which may be missing."""
+    if not _path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return [e.getPath().getName() for e in entries if e.isDirectory() and e.getPath().getName().startswith("metric=")]
+
+
 def drop_folder(spark: SparkSession, path: str) -> bool:
     """Remove a run's folder (a snapshot, written lines) once it isn't needed."""
     jvm = spark.sparkContext._jvm

@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .readers import clear_metrics
+from .readers import clear_metrics, metric_folders
 
 # The push runs Python on the executors. Functions and classes of this module
 # travel by value, so executors need no copy of the package to run them.
@@ -41,6 +41,8 @@ def _write_text(df: DataFrame, col: str, path: str, metrics: Iterable[str] | Non
 def read_text(spark: SparkSession, path: str, metrics: Iterable[str] | None = None) -> DataFrame:
     """Lines that were written, of the listed metrics: (metric, value). The schema is
     given, so that nothing written reads as an empty table and names stay text."""
+    if not metric_folders(spark, path):  # without one, the reader knows no metric column
+        return spark.createDataFrame([], TEXT_SCHEMA)
     rows = spark.read.schema(TEXT_SCHEMA).text(path)
     return rows if metrics is None else rows.filter(F.col("metric").isin(list(metrics)))
 

@@ -171,7 +171,7 @@ def test_a_metric_with_bad_labels_fails_alone(spark):
         W.migrate_jsonl(s, series_dictionary(s), ["good", "bad"], 5, work_dir(spark, "lines")),
     ):
         got = {r.metric: (r.rows_in, r.rows_out, r.n_bad_labels, r.state) for r in run.status.collect()}
-        assert got == {"good": (3, 3, 0, "ok"), "bad": (3, 0, 1, "failed")}
+        assert got == {"good": (3, 3, 0, "ok"), "bad": (6, 0, 1, "failed")}
     ids = W.migrate_sql(s, series_dictionary(s), target, ["good", "bad"], 5, "p")
     assert [r.labels for r in ids.rejected.collect()] == ["not json"]
     assert {r.series_id for r in ids.mapping.collect()} == {7}  # a label set held twice keeps its smallest id
