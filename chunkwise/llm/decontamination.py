@@ -29,9 +29,10 @@ either side gives an empty result. Extra columns are never read.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,28 +45,38 @@ from chunkwise.config import materialize
 from .ngrams import code_points
 
 LEAK = "struct<item_id:bigint,start:bigint,end:bigint,edits:int>"
-_GAP = re.compile(r"[\W_]+")
+_SPACE = 32
+_MARK = 10  # between documents that are searched together; no plain character
 _TOKEN = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_TABLE_BITS = 22
+_TABLE_BITS = 20
+_FINE_Q = 3
 _WINDOW = 1 << 19  # characters hashed at a time
 
 
-def lowered(text: str) -> str:
-    """Lower case, character by character where the whole would change the length."""
-    low = text.lower()
-    return low if len(low) == len(text) else "".join([c if len(c.lower()) > 1 else c.lower() for c in text])
+@lru_cache(maxsize=1)
+def _plain_codes() -> np.ndarray:
+    """For every code point the one in its place: lower case, or a space."""
+    codes = np.full(sys.maxunicode + 1, _SPACE, dtype=np.uint32)
+    for m in _TOKEN.finditer("".join(map(chr, range(sys.maxunicode + 1)))):
+        for c in m.group():
+            low = c.lower()
+            codes[ord(c)] = ord(low) if len(low) == 1 else ord(c)
+    return codes
 
 
-def plain(text: str) -> str:
-    return _GAP.sub(" ", lowered(text)).strip()
-
-
-def positions(text: str) -> np.ndarray:
-    """The place in ``text`` of every character of its plain form."""
-    spans = [m.span() for m in _TOKEN.finditer(lowered(text))]
-    parts = [np.arange(a, b + (k < len(spans) - 1)) for k, (a, b) in enumerate(spans)]
-    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+def plain(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of the plain form, and the place in ``text`` of each."""
+    codes = _plain_codes()[code_points(text)]
+    word = codes != _SPACE
+    keep = word.copy()
+    keep[1:] |= word[:-1]  # the first space of each run
+    places = np.flatnonzero(keep)
+    if len(places) and not word[places[0]]:
+        places = places[1:]
+    if len(places) and not word[places[-1]]:
+        places = places[:-1]
+    return codes[places], places
 
 
 def rolling(codes: np.ndarray, q: int) -> np.ndarray:
@@ -113,7 +124,7 @@ def largest_q(size: int, budget: int, max_q: int) -> int:
 
 @dataclass
 class Index:
-    """The q-grams of a block of items that share one ``q``."""
+    """The q-grams of items of similar length that share one ``q``."""
 
     ids: list
     items: list[np.ndarray]
@@ -142,12 +153,10 @@ class Index:
         self.bounds = self.sizes + 1 - self.q * (self.budgets + 1)
         self.reach = int((self.sizes + self.budgets).max())  # no occurrence is longer
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of every shared q-gram, less those in places with too few of them."""
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, diagonal) of every shared q-gram of the hashes ``h``, less those in
+        places with too few of them."""
         none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        if len(codes) < self.q:
-            return none
-        h = rolling(codes, self.q)
         at = np.flatnonzero(self.present[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         sure = self.grams[place] == h[at]
@@ -164,91 +173,132 @@ class Index:
         entry = np.arange(times.sum()) + np.repeat(self.first[place] - (np.cumsum(times) - times), times)
         return self.item[entry], np.repeat(at, times) - self.position[entry]
 
-    def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+    def regions(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, lowest diagonal, highest diagonal) of every band that meets its bound."""
-        found = set()
-        for begin in range(0, max(1, len(codes)), _WINDOW):
-            item, diagonal = self.hits(codes[begin : begin + _WINDOW + 2 * self.reach])
-            half = self.budgets[item] + 1
-            # a band is two neighbouring halves, so the half-bands' counts are added
-            key, count = np.unique(item.astype(np.int64) << 40 | (diagonal // half + (1 << 30)), return_counts=True)
-            bands = np.unique(np.concatenate([key, key - 1]))
-            total = np.zeros(len(bands), dtype=np.int64)
-            total[np.searchsorted(bands, key)] += count
-            total[np.searchsorted(bands, key - 1)] += count
-            for band in bands[total >= self.bounds[np.minimum(bands >> 40, len(self.items) - 1)]] if len(bands) else ():
-                i = int(band >> 40)
-                wide = int(self.budgets[i]) + 1
-                low = (int(band & ((1 << 40) - 1)) - (1 << 30)) * wide + begin
-                found.add((i, low, low + 2 * wide - 1))
-        return sorted(found)
-
-    def occurrences(self, codes: np.ndarray, low: int, high: int, i: int) -> tuple[int, int, int] | None:
-        """The best occurrence of item ``i`` on these diagonals, if it keeps to the budget."""
-        best = alignment(self.items[i], codes, low, high)
-        return best if best and best[0] <= self.budgets[i] else None
+        item, diagonal = self.hits(h)
+        if not len(item):
+            return []
+        half = self.budgets[item] + 1
+        # a band is two neighbouring halves, so the half-bands' counts are added
+        key, count = np.unique(item.astype(np.int64) << 40 | (diagonal // half + (1 << 30)), return_counts=True)
+        bands = np.unique(np.concatenate([key, key - 1]))
+        total = np.zeros(len(bands), dtype=np.int64)
+        total[np.searchsorted(bands, key)] += count
+        total[np.searchsorted(bands, key - 1)] += count
+        found = []
+        for band in bands[total >= self.bounds[np.minimum(bands >> 40, len(self.items) - 1)]]:
+            i = int(band >> 40)
+            wide = int(self.budgets[i]) + 1
+            low = (int(band & ((1 << 40) - 1)) - (1 << 30)) * wide
+            found.append((i, low, low + 2 * wide - 1))
+        return found
+
+    def occurrence(self, codes: np.ndarray, low: int, high: int, i: int) -> tuple[int, int, int] | None:
+        """The best occurrence of item ``i`` on these diagonals, if it keeps to the budget.
+
+        Before the alignment the bound is checked again for short q-grams, exactly: how
+        many of the item's positions start one that the text has on a diagonal of the
+        band. A diagonal that agrees throughout is the alignment."""
+        item, budget = self.items[i], int(self.budgets[i])
+        padded = np.full(high - low + len(item), _MARK, dtype=codes.dtype)
+        begin, end = max(0, low), min(len(codes), high + len(item))
+        if end > begin:
+            padded[begin - low : end - low] = codes[begin:end]
+        same = np.lib.stride_tricks.sliding_window_view(padded, len(item)) == item
+        whole = np.flatnonzero(same.all(axis=1))
+        if len(whole):
+            return 0, low + int(whole[0]), low + int(whole[0]) + len(item)
+        q = largest_q(len(item), budget, _FINE_Q)
+        runs = same[:, : len(item) - q + 1].copy()
+        for k in range(1, q):
+            runs &= same[:, k : len(item) - q + 1 + k]
+        if int(runs.any(axis=0).sum()) < len(item) + 1 - q * (budget + 1):
+            return None
+        best = alignment(item, codes, low, high)
+        return best if best and best[0] <= budget else None
+
+
+@dataclass
+class Block:
+    """The indexes of a part of the benchmark, one for each class of lengths."""
+
+    classes: list[Index]
+
+    @classmethod
+    def build(cls, rows: list[tuple[int | None, np.ndarray]], error_share: float, max_q: int) -> Block:
+        """``rows``: (item id, plain characters). A class ends where an item is a fifth
+        longer than its shortest, or takes another ``q``."""
+        classes: list[tuple[int, list]] = []
+        for key, item in sorted(rows, key=lambda r: (len(r[1]), r[0] is None, r[0])):
+            budget = int(len(item) * error_share)
+            q = largest_q(len(item), budget, max_q)
+            if not classes or classes[-1][0] != q or len(item) > 1.2 * len(classes[-1][1][0][1]):
+                classes.append((q, []))
+            classes[-1][1].append((key, item, budget))
+        return cls([Index.build(*map(list, zip(*members, strict=True)), q) for q, members in classes])
 
     def leaks(self, texts: list[str]) -> list[list[dict]]:
         """For each text its occurrences, by start, end and item."""
         out: list[list[dict]] = [[] for _ in texts]
-        forms = [plain(t) for t in texts]
         begin = 0
         while begin < len(texts):
-            end, held = begin, 0
-            while end < len(texts) and (end == begin or held + len(forms[end]) < _WINDOW):
-                held += len(forms[end]) + 1
-                end += 1
-            self._leaks_of(forms[begin:end], texts[begin:end], out[begin:end])
-            begin = end
+            forms, held = [], 0
+            while begin + len(forms) < len(texts) and (not forms or held < _WINDOW):
+                forms.append(plain(texts[begin + len(forms)]))
+                held += len(forms[-1][0]) + 1
+            self._leaks_of(forms, out[begin : begin + len(forms)])
+            begin += len(forms)
         return out
 
-    def _leaks_of(self, forms: list[str], texts: list[str], out: list[list[dict]]) -> None:
+    def _leaks_of(self, forms: list[tuple[np.ndarray, np.ndarray]], out: list[list[dict]]) -> None:
         """Several texts are searched as one, with a mark between them that no item has."""
-        codes = code_points("\n".join(forms))
-        starts = np.cumsum([0] + [len(f) + 1 for f in forms])
-        found: dict[tuple[int, int], set] = {}
-        for i, low, high in self.regions(codes):
-            last = min(len(codes), high + self.sizes[i] + int(self.budgets[i]))
-            for d in range(np.searchsorted(starts, max(0, low), side="right") - 1, np.searchsorted(starts, last, side="left")):
-                if d < len(forms):
-                    own = codes[starts[d] : starts[d] + len(forms[d])]
-                    if got := self.occurrences(own, low - int(starts[d]), high - int(starts[d]), i):
-                        found.setdefault((d, i), set()).add(got)
-        places: dict[int, np.ndarray] = {}
-        for (d, i), spans in sorted(found.items()):
-            if d not in places:
-                places[d] = positions(texts[d])
+        mark = np.array([_MARK], dtype=np.uint32)
+        codes = np.concatenate([part for form, _ in forms for part in (form, mark)])
+        starts = np.cumsum([0] + [len(form) + 1 for form, _ in forms])
+        found: dict[tuple[int, int, int], set] = {}
+        reach = max((c.reach for c in self.classes), default=0)
+        for begin in range(0, max(1, len(codes)), _WINDOW):
+            part = codes[begin : begin + _WINDOW + 2 * reach]
+            hashes = {q: rolling(part, q) for q in {c.q for c in self.classes} if len(part) >= q}
+            for n, index in enumerate(self.classes):
+                for i, low, high in index.regions(hashes[index.q]) if index.q in hashes else ():
+                    low, high = low + begin, high + begin
+                    last = min(len(codes), high + index.sizes[i] + int(index.budgets[i]))
+                    for d in range(np.searchsorted(starts, max(0, low), side="right") - 1, np.searchsorted(starts, last, side="left")):
+                        if d < len(forms):
+                            own = forms[d][0]
+                            if got := index.occurrence(own, low - int(starts[d]), high - int(starts[d]), i):
+                                found.setdefault((d, n, i), set()).add(got)
+        for (d, n, i), spans in sorted(found.items()):
+            places = forms[d][1]
             kept: list[tuple[int, int, int]] = []
             for edits, start, stop in sorted(spans):
                 if all(stop <= a or start >= b for _, a, b in kept):
                     kept.append((edits, start, stop))
-                    out[d].append({"item_id": self.ids[i], "start": int(places[d][start]), "end": int(places[d][stop - 1]) + 1, "edits": edits})
+                    out[d].append({"item_id": self.classes[n].ids[i], "start": int(places[start]), "end": int(places[stop - 1]) + 1, "edits": edits})
         for rows in out:
             rows.sort(key=lambda r: (r["start"], r["end"], r["item_id"] is None, r["item_id"]))
 
 
-def indexes(benchmark: DataFrame, error_share: float, max_q: int, min_chars: int, block_chars: int, id_col: str, text_col: str) -> Iterator[Index]:
-    """Indexes of blocks of items, one block in memory at a time."""
+def blocks_of(benchmark: DataFrame, error_share: float, max_q: int, min_chars: int, block_chars: int, id_col: str, text_col: str) -> Iterator[Block]:
+    """The benchmark in blocks, one in memory at a time."""
     rows = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    blocks: dict[int, tuple[list, list, list]] = {}
+    held, chars = [], 0
     for r in rows.toLocalIterator():
-        item = code_points(plain(r["text"]))
-        budget = int(len(item) * error_share)
+        item = plain(r["text"])[0]
         if len(item) < max(1, min_chars):
             continue
-        q = largest_q(len(item), budget, max_q)
-        ids, items, budgets = blocks.setdefault(q, ([], [], []))
-        ids.append(r["item_id"])
-        items.append(item)
-        budgets.append(budget)
-        if sum(map(len, items)) >= block_chars:
-            yield Index.build(*blocks.pop(q), q)
-    for q in sorted(blocks):
-        yield Index.build(*blocks[q], q)
+        held.append((r["item_id"], item))
+        chars += len(item)
+        if chars >= block_chars:
+            yield Block.build(held, error_share, max_q)
+            held, chars = [], 0
+    if held:
+        yield Block.build(held, error_share, max_q)
 
 
-def leaks_in(text: Column, index: Broadcast) -> Column:
-    """array of the occurrences of the index's items in the text."""
+def leaks_in(text: Column, block: Broadcast) -> Column:
+    """array of the occurrences of the block's items in the text."""
 
     @F.arrow_udf(f"array<{LEAK}>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -256,7 +306,7 @@ def leaks_in(text: Column, index: Broadcast) -> Column:
         for batch in batches:
             out = []
             for k in range(0, len(batch), 256):  # a few texts at a time are copied from the batch
-                out += index.value.leaks(batch.slice(k, 256).to_pylist())
+                out += block.value.leaks(batch.slice(k, 256).to_pylist())
             yield pa.array(out, pa.list_(kind))
 
     return search(F.coalesce(text, F.lit("")))
@@ -278,11 +328,11 @@ def find_leaks(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     parts, pending = [], None
-    for index in indexes(benchmark, error_share, max_q, min_chars, block_chars, item_id_col, item_text_col):
+    for block in blocks_of(benchmark, error_share, max_q, min_chars, block_chars, item_id_col, item_text_col):
         if pending is not None:  # more than one block: each is searched, stored and given up in turn
             parts.append(materialize(pending[0], "leaks"))
             pending[1].unpersist()
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(block)
         found = rows.select("doc_id", F.explode(leaks_in(F.col("text"), shared)).alias("leak"))
         pending = found.select("doc_id", "leak.item_id", "leak.start", "leak.end", "leak.edits"), shared
     if pending is None:
@@ -294,6 +344,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The documents, all columns, in which no benchmark item occurs."""
     spark = docs.sparkSession
     options = {"error_share": 0.1, "max_q": 8, "min_chars": 20, "block_chars": 4_000_000, **options}
-    for index in indexes(benchmark, **options, id_col="item_id", text_col="text"):
-        docs = docs.where(F.size(leaks_in(docs[text_col], spark.sparkContext.broadcast(index))) == 0)
+    for block in blocks_of(benchmark, **options, id_col="item_id", text_col="text"):
+        docs = docs.where(F.size(leaks_in(docs[text_col], spark.sparkContext.broadcast(block))) == 0)
     return docs
