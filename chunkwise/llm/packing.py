@@ -24,8 +24,10 @@ never read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -49,40 +51,43 @@ class WordEncoder:
 
     The vocabulary's pre-tokeniser never crosses a space or a newline, so the
     ids of a text are the ids of its words, joined. Special strings hold no
-    space either and stay what the library makes of them.
+    space either and stay what the library makes of them. Words of Latin letters,
+    with or without marks behind them, go straight to the library's byte-pair
+    model, in lower case and with their bytes spelled as the vocabulary spells
+    them; all others go through the whole tokeniser.
     """
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.cores = WordCache(self._library, limit=300_000)
-        self.words = WordCache(self._encode, limit=250_000)
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()]
+        self.spelling = str.maketrans({c: spell.pre_tokenize_str(c)[0][0] for c in letters})
+        self.words = WordCache(self._encode, limit=450_000)
+        self.marks = WordCache(self._library, limit=1000)
 
     def _library(self, words: list[str]) -> list[bytes]:
-        got: list[bytes] = []
-        for k in range(0, len(words), 4000):
-            for e in self.tokenizer.encode_batch_fast(words[k : k + 4000], add_special_tokens=False):
-                got.append(b"".join([i.to_bytes(4, "little") for i in e.ids]))
-        return got
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        """Letters with marks behind them are two pre-tokens, and case is dropped."""
-        parts: list[str] = []
-        spans = []
+        out, odd, marks, model = {}, [], self.marks, self.tokenizer.model
         for w in words:
-            if m := _LETTERS.fullmatch(w):
-                parts.append(m[1].lower())
-                if m[2]:
-                    parts.append(m[2])
-                spans.append(1 + bool(m[2]))
-            else:
-                parts.append(w)
-                spans.append(1)
-        values = iter(self.cores.values(parts))
-        return [next(values) if n == 1 else next(values) + next(values) for n in spans]
+            m = _LETTERS.fullmatch(w)
+            if m is None:
+                odd.append(w)
+                continue
+            letters, after = m.groups()
+            letters = letters.lower()
+            ids = array("I", [t.id for t in model.tokenize(letters if letters.isascii() else letters.translate(self.spelling))]).tobytes()
+            out[w] = ids + marks.values([after])[0] if after else ids
+        for k in range(0, len(odd), 4000):
+            out.update(zip(odd[k : k + 4000], self._library(odd[k : k + 4000]), strict=True))
+        return [out[w] for w in words]
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
