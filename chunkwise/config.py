@@ -46,8 +46,8 @@ class Params:
     as_of: dt.datetime = dt.datetime(2024, 1, 31)
     age: str = "10 days"  # older_than / newer_than argument
     batch_size: int = 5
-    tier: str = "dbspace"
-    index_tier: str = "dbspace"
+    tier: str = "cold_space"
+    index_tier: str = "cold_space"
     extra: dict = field(default_factory=dict)
 
     @property

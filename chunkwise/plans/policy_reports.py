@@ -7,18 +7,19 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..config import Params, materialize, work_dir
-from ..model import ATTACHMENTS, INDEXES, attachments_df, compression_settings, compression_state, indexes_df, load_samples
+from ..model import attachments_df, indexes_df, load_samples
 from ..operators import chunks as C
 from ..operators import compression as G
 from ..operators import tiering as T
 from . import mover as M
 from . import sql_common as S
 from .chunk_reports import CUTOFF, CUTOFF_SQL
+from .fixtures import ATTACHMENTS, INDEXES, compression_settings, compression_state
 from .registry import register
 
 PRM = Params()
 KEY = ["hypertable_schema", "hypertable_name"]
-MOVE_TABLES = ["click", "error", "signup", "view", "fanState"]
+MOVE_TABLES = ["click", "error", "signup", "view", "nosuch"]
 
 _H = S.md5_num("hypertable_name")
 SETTINGS_CTE = (
@@ -173,14 +174,14 @@ def _plan(spark, sf_dir):
     """Samples and the reviewed plan, written once. Only tables with an old chunk can be
     planned, so the catalog of the old chunks serves and the age limit reaches the scan."""
     samples = load_samples(spark, sf_dir)
-    plan = M.plan_moves(samples, MOVE_TABLES, attachments_df(spark), indexes_df(spark), PRM)
+    plan = M.plan_moves(samples, MOVE_TABLES, attachments_df(spark, ATTACHMENTS), indexes_df(spark, INDEXES), PRM)
     return samples, materialize(plan, "move_plan")
 
 
 @register("attached_tables", MOVE_BASE + "SELECT hypertable_name, tier FROM att")
 def q_attached_tables(spark, sf_dir):
     _, ht = _catalog(spark, sf_dir)
-    return T.attached_tables(ht, attachments_df(spark), PRM.tier).select("hypertable_name", "tier")
+    return T.attached_tables(ht, attachments_df(spark, ATTACHMENTS), PRM.tier).select("hypertable_name", "tier")
 
 
 @register(
@@ -213,7 +214,7 @@ def _move(spark, sf_dir, every: str):
     samples = load_samples(spark, sf_dir)
     hot, cold = work_dir(spark, "hot"), work_dir(spark, "cold")
     T.store_samples(samples, hot, every=every)
-    run = M.run_chunk_mover(spark, hot, cold, MOVE_TABLES, attachments_df(spark), indexes_df(spark), replace(PRM, every=every))
+    run = M.run_chunk_mover(spark, hot, cold, MOVE_TABLES, attachments_df(spark, ATTACHMENTS), indexes_df(spark, INDEXES), replace(PRM, every=every))
     bad = run.status.filter(~F.col("ok")).count()
     if bad:
         raise RuntimeError(f"{bad} chunks differ between plan and tiers")

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 from ..config import Params, materialize, work_dir
 from ..functions.labels import canonical_labels, labels_map
 from ..functions.scalar import epoch_ms, nan_to_null
-from ..model import MIGRATION_METRICS, load_samples, samples_from_lineitem, series_dictionary, table, target_series
+from ..model import load_samples, samples_from_lineitem, series_dictionary, table
 from ..operators import batches as B
 from ..operators import series as J
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
 from ..sources.sinks import StubTransport, read_text, write_insert_sql
 from . import migrate as W
 from . import sql_common as S
+from .fixtures import MIGRATION_METRICS, target_series
 from .registry import register
 
 PRM = Params()
 METRIC = "click"
 SIZE = PRM.batch_size
-FILTER_NAMES = ["click", "purchase", "node_load1"]
+FILTER_NAMES = ["click", "purchase", "nosuch"]
 
 SERIES_CTE = "series AS (SELECT DISTINCT series_id, metric, labels FROM samples)"
 MAPPING_CTES = (

@@ -4,8 +4,6 @@ from pyspark.sql import functions as F
 from chunkwise.config import Params, work_dir
 from chunkwise.model import (
     attachments_df,
-    compression_settings,
-    compression_state,
     indexes_df,
     load_samples,
     samples_from_events,
@@ -13,6 +11,7 @@ from chunkwise.model import (
 from chunkwise.operators import chunks as C
 from chunkwise.operators import tiering as T
 from chunkwise.plans.alignment import align_compression
+from chunkwise.plans.fixtures import ATTACHMENTS, INDEXES, compression_settings, compression_state
 from chunkwise.plans.mover import run_chunk_mover
 from chunkwise.sources.readers import jdbc_options, read_samples, read_table
 
@@ -23,7 +22,7 @@ def test_chunk_mover_end_to_end(spark):
     s = load_samples(spark, SF_SMALL)
     hot, cold = work_dir(spark, "hot"), work_dir(spark, "cold")
     T.store_samples(s, hot)
-    run = run_chunk_mover(spark, hot, cold, ["click", "error", "signup"], attachments_df(spark), indexes_df(spark))
+    run = run_chunk_mover(spark, hot, cold, ["click", "error", "signup"], attachments_df(spark, ATTACHMENTS), indexes_df(spark, INDEXES))
     plan = run.plan.collect()
     assert {r.hypertable_name for r in plan} == {"click", "error", "signup"}
     assert all(r.range_start < Params().cutoff for r in plan)

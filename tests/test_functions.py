@@ -39,12 +39,12 @@ def test_size_pretty_null(spark):
 
 
 def test_qualified_name_quoting(spark):
-    rows = [("prom_data", "fanState"), ("prom_data", "node_cpu_seconds_total"), ("My Schema", 'we"ird'), ("s", "1abc")]
+    rows = [("prom_data", "coreTemp"), ("prom_data", "cpu_seconds_total"), ("My Schema", 'we"ird'), ("s", "1abc")]
     df = spark.createDataFrame(rows, "s string, n string")
     got = [r.q for r in df.select(qualified_name("s", "n").alias("q")).collect()]
     assert got == [
-        'prom_data."fanState"',
-        "prom_data.node_cpu_seconds_total",
+        'prom_data."coreTemp"',
+        "prom_data.cpu_seconds_total",
         '"My Schema"."we""ird"',
         's."1abc"',
     ]

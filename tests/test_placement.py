@@ -16,10 +16,10 @@ def test_numbering_is_dense(spark):
 def test_block_plan_rules(spark):
     ht = _ht(spark, ["a", "b", "c"])
     num = {r.hypertable_name: r.num for r in P.numbered_tables(ht).collect()}
-    plan = P.block_plan(ht, [(0, "dn5"), (2, "dn3")]).collect()
-    dn5 = sorted(r.hypertable_name for r in plan if r.dn == "dn5")
+    plan = P.block_plan(ht, [(0, "dn7"), (2, "dn3")]).collect()
+    dn7 = sorted(r.hypertable_name for r in plan if r.dn == "dn7")
     dn3 = sorted(r.hypertable_name for r in plan if r.dn == "dn3")
-    assert dn5 == ["a", "b", "c"]  # rule 0 matches every table
+    assert dn7 == ["a", "b", "c"]  # rule 0 matches every table
     assert dn3 == sorted(n for n, k in num.items() if k != 2)  # rule k exempts table k
     assert P.block_plan(ht, []).count() == 0
 

@@ -1,10 +1,11 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chunkwise.model import load_samples, series_dictionary, target_series
+from chunkwise.model import load_samples, series_dictionary
 from chunkwise.operators import batches as B
 from chunkwise.operators import series as J
 from chunkwise.operators.numbering import hash_ordered_ids, md5_bucket
+from chunkwise.plans.fixtures import target_series
 
 from conftest import SF_SMALL
 

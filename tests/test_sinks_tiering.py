@@ -4,10 +4,11 @@ import os
 from pyspark.sql import functions as F
 
 from chunkwise.config import work_dir
-from chunkwise.model import attachments_df, indexes_df, load_samples, series_dictionary, target_series
+from chunkwise.model import attachments_df, indexes_df, load_samples, series_dictionary
 from chunkwise.operators import chunks as C
 from chunkwise.operators import tiering as T
 from chunkwise.plans import migrate as W
+from chunkwise.plans.fixtures import ATTACHMENTS, INDEXES, target_series
 from chunkwise.sources.sinks import StubTransport
 from chunkwise.sources.readers import metric_filter, metrics_dictionary, read_nodes, read_table, snapshot_series
 
@@ -42,10 +43,10 @@ def test_migrate_sql_files_and_status(spark):
     s = load_samples(spark, SF_SMALL)
     series = series_dictionary(s)
     path = work_dir(spark, "sql")
-    run = W.migrate_sql(s, series, target_series(series), ["click", "node_load1"], 50, "prom_data", path)
+    run = W.migrate_sql(s, series, target_series(series), ["click", "nosuch"], 50, "prom_data", path)
     st = {r.metric: r for r in run.status.collect()}
     assert st["click"].rows_in == st["click"].rows_out > 0
-    assert st["node_load1"].rows_in == 0
+    assert st["nosuch"].rows_in == 0
     assert os.path.isdir(os.path.join(path, "metric=click"))
     stmts = [r.value for r in spark.read.text(path).collect()]
     assert all(x.startswith('INSERT INTO prom_data."click" values (TIMESTAMPTZ ') and x.endswith(");") for x in stmts)
@@ -93,8 +94,8 @@ def test_move_chunks_preserves_rows(spark):
     ch = C.chunk_inventory(s)
     ht = C.hypertable_catalog(ch)
     plan = T.move_plan(
-        C.chunk_inventory(s, older_than=CUT), ht, indexes_df(spark), attachments_df(spark),
-        ["click", "error", "signup"], "prom_data", "dbspace", "dbspace",
+        C.chunk_inventory(s, older_than=CUT), ht, indexes_df(spark, INDEXES), attachments_df(spark, ATTACHMENTS),
+        ["click", "error", "signup"], "prom_data", "cold_space", "cold_space",
     )
     hot, cold = work_dir(spark, "hot"), work_dir(spark, "cold")
     T.store_samples(s, hot)
@@ -224,7 +225,7 @@ def test_incomplete_move_is_not_ok(spark):
     from chunkwise.config import Params
     from chunkwise.plans.mover import plan_moves
 
-    plan = plan_moves(s, ["click"], attachments_df(spark), indexes_df(spark), Params(every="7 days"))
+    plan = plan_moves(s, ["click"], attachments_df(spark, ATTACHMENTS), indexes_df(spark, INDEXES), Params(every="7 days"))
     short = plan.withColumn("n_rows", F.col("n_rows") + 1)
     assert [r.ok for r in T.move_chunks(spark, hot, cold, short).collect()] == [False]
     assert [r.ok for r in T.move_chunks(spark, hot, cold, plan).collect()] == [True]
