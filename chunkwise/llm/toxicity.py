@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features (operator 3).
 
-Two lexicons are learned from labelled rows: whole words, and the first letters
-of words (for families of inflected words). A text's features are the densities
+Two lexicons are learned from labelled rows: whole words, and the first four to
+six letters of words (for families of inflected words). A text's features are the densities
 and counts of both, of their words after undoing disguises (``1di0t``,
 ``s-t-u-p-i-d``), how near they stand to a second-person pronoun, and the rates of
 capitals, exclamation marks, other marks and disguised words. Boosted trees score
@@ -34,7 +34,7 @@ from chunkwise.config import materialize
 from .boosting import Trees, fit_isotonic, fit_trees, sigmoid
 from .common import WordCache
 
-STEM = 5
+STEMS = (4, 5, 6)  # letters
 # Second-person pronouns of the languages at hand, and the
 # characters that commonly stand in for letters.
 SECOND_PERSON = frozenset(
@@ -82,7 +82,7 @@ class Features:
         for row, w in zip(out, words, strict=True):
             c = core(w)
             row[WORD] = self.words.get(c, 0.0)
-            row[STEMMED] = self.stems.get(c[:STEM], 0.0) if len(c) > STEM else 0.0
+            row[STEMMED] = max([self.stems.get(c[:n], 0.0) for n in STEMS if len(c) > n], default=0.0)
             row[YOU] = c in SECOND_PERSON
             letters = sum(map(str.isalpha, w))
             row[LETTERS], row[UPPER] = letters, sum(map(str.isupper, w))
@@ -139,17 +139,22 @@ class Model:
         return np.clip(np.interp(self.trees.raw(x), *self.knots), 0.0, 1.0)
 
 
-def learn_lexicon(sample: DataFrame, words_kept: int = 3000, least_docs: int = 3, least_odds: float = 1.5) -> tuple[dict, dict]:
-    """Words and stems (with their log odds) that toxic rows of the bounded sample use more than others do."""
+def learn_lexicon(sample: DataFrame, words_kept: int = 3000, least_docs: int = 3, least_odds: float = 1.0) -> tuple[dict, dict]:
+    """Words and stems that toxic rows of the bounded sample use more than others do, with
+    the lower end of their log odds (1.64 standard errors down). Equal texts count once."""
+    sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bare = F.regexp_replace(F.lower("text"), r"(?U)(?<=^|\s)[\W_]+|[\W_]+(?=\s|$)", " ")
     words = sample.select("toxic", F.monotonically_increasing_id().alias("doc"), F.explode(F.array_distinct(F.split(bare, r"\s+"))).alias("word"))
     words = words.where("word <> ''")
-    stems = words.where(F.length("word") > STEM).select("toxic", "doc", F.substring("word", 1, STEM).alias("word")).distinct()
+    starts = F.filter(F.array(*[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEMS]), lambda s: s.isNotNull())
+    stems = words.select("toxic", "doc", F.explode(starts).alias("word")).distinct()
 
     def odds(rows: DataFrame) -> dict[str, float]:
         counted = rows.groupBy("word").agg(F.sum((F.col("toxic") == 1).cast("long")).alias("hit"), F.sum((F.col("toxic") == 0).cast("long")).alias("miss"))
-        value = F.log((F.col("hit") + 0.5) / (sizes[1] - F.col("hit") + 0.5)) - F.log((F.col("miss") + 0.5) / (sizes[0] - F.col("miss") + 0.5))
+        cells = [F.col("hit") + 0.5, sizes[1] - F.col("hit") + 0.5, F.col("miss") + 0.5, sizes[0] - F.col("miss") + 0.5]
+        error = F.sqrt(1 / cells[0] + 1 / cells[1] + 1 / cells[2] + 1 / cells[3])
+        value = F.log(cells[0] * cells[3] / (cells[1] * cells[2])) - 1.64 * error
         kept = counted.where(F.col("hit") >= least_docs).withColumn("odds", value).where(F.col("odds") >= least_odds)
         return {r["word"]: r["odds"] for r in kept.orderBy(F.desc("odds"), "word").limit(words_kept).collect()}
 
