@@ -18,11 +18,13 @@ of depth 8 with 3e-3.
 best predecessor (in order of node number) among those with an estimate of at
 least ``LEAST_ESTIMATE`` (five standard errors under 0.8) is its candidate. The
 candidates of all trees give one link per node at most, checked on the full
-sets. What that leaves apart is completed: pairs of one region whose nodes are in
-different components are all checked; in regions that had to be cut below depth 8
-the nodes outside the largest component are compared with the whole region, block
-by block. So no pair that shares a region of depth 8 is left out, while copies of
-one text are never expanded into pairs.
+sets. What that leaves apart is completed: nodes of one region in different
+components that are similar by estimate are all checked; in regions that had to be
+cut below depth 8 the nodes outside the largest component are compared with the
+whole region, block by block. For the check the full sets are dealt into blocks, and
+a node visits each block with the list of those it asks there; only links come out.
+So no pair that shares a region of depth 8 is left out, while neither copies of one
+text nor the members of a loose group are ever expanded into rows of pairs.
 
 *Components* are found by contraction (``components``).
 
@@ -52,6 +54,7 @@ from .components import connected_components, roots
 HASHES, TREES, FIRST_DEPTH = 128, 32, 4
 REGION = 512
 BLOCK = 512
+BLOCK_ELEMENTS = 4_000_000
 LEAST_ESTIMATE = 0.62
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _seeds = np.random.default_rng(20240101).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64)
@@ -113,15 +116,17 @@ def sketch(text: Column, shingle: int) -> Column:
 def keyed_set(text: Column, shingle: int) -> Column:
     """struct(key, elements) of the set, in full."""
 
-    @F.arrow_udf("struct<key:binary,elements:binary>")
+    @F.arrow_udf("struct<key:binary,elements:array<bigint>>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             keys, sets = [], []
             for value in batch:
                 elements = shingle_set(value.as_py() or "", shingle)
                 keys.append(_key(elements))
-                sets.append(elements.tobytes())
-            yield pa.StructArray.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "elements"])
+                sets.append(elements.astype(np.int64))
+            offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets])))
+            yield pa.StructArray.from_arrays([pa.array(keys, pa.binary()), lists], ["key", "elements"])
 
     return make(F.coalesce(text, F.lit("")))
 
@@ -247,34 +252,75 @@ def best_predecessors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             )
 
 
-def crossing_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, nid, root, asks, sig) sorted by cell -> (a, b): similar by estimate, in
-    different components, and one of them asks."""
-    for rows in _whole_cells(batches):
-        nid, root, asks = (rows.column(c).to_numpy() for c in ("nid", "root", "asks"))
-        sig = _matrix(rows.column("sig").combine_chunks())
-        for i, j in _pairs_in_cells(rows):
-            apart = (root[i] != root[j]) & (asks[i] | asks[j])
-            i, j = i[apart], j[apart]
-            good = _estimates(sig, i, j) >= LEAST_ESTIMATE
-            a, b = nid[i[good]], nid[j[good]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+ASK = pa.schema([("block", pa.int32()), ("x", pa.int64()), ("ys", pa.list_(pa.int64()))])
+
+
+def crossing_asks(blocks: int):
+    """Rows (cell, nid, root, asks, sig) sorted by cell -> (block, x, ys): nodes ``ys`` of
+    one block (``nid % blocks``) that are similar to ``x`` by estimate but in other
+    components, where one side asks. ``x`` is on the side that the cell has less of."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches):
+            cell, nid, root, asks = (rows.column(c).to_numpy() for c in ("cell", "nid", "root", "asks"))
+            sig = _matrix(rows.column("sig").combine_chunks())
+            _, member, sizes = np.unique(np.stack([cell, root]), axis=1, return_inverse=True, return_counts=True)
+            size = sizes[member.ravel()]
+            for i, j in _pairs_in_cells(rows):
+                apart = (root[i] != root[j]) & (asks[i] | asks[j])
+                i, j = i[apart], j[apart]
+                good = _estimates(sig, i, j) >= LEAST_ESTIMATE
+                i, j = i[good], j[good]
+                if not len(i):
+                    continue
+                swap = size[i] > size[j]
+                x, y = nid[np.where(swap, j, i)], nid[np.where(swap, i, j)]
+                order = np.lexsort((y, y % blocks, x))
+                x, y = x[order], y[order]
+                first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] % blocks != y[:-1] % blocks)))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(y)), pa.int32()), pa.array(y))
+                yield pa.RecordBatch.from_arrays([pa.array((y[first] % blocks).astype(np.int32)), pa.array(x[first]), lists], schema=ASK)
+
+    return find
+
+
+def answered(threshold: int):
+    """Rows (block, nid, root, elements, ys) sorted by block, those without ``ys`` first: the
+    block's nodes, then the nodes that ask, with the nodes they ask. Gives (a, b): of every
+    asking node one link to each component that it is linked with, checked on full sets."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, {}
+        for batch in batches:
+            links = []
+            blocks, nids, roots_ = (batch.column(c).to_pylist() for c in ("block", "nid", "root"))
+            elements, asked = batch.column("elements"), batch.column("ys")
+            for k, own in enumerate(blocks):
+                if own != block:
+                    block, held = own, {}
+                x = np.sort(elements[k].values.to_numpy())
+                if not asked[k].is_valid:
+                    held[nids[k]] = (x, roots_[k])
+                    continue
+                found = [(y, *held[y]) for y in asked[k].as_py() if y in held]
+                if not found:
+                    continue
+                sizes = np.array([len(e) for _, e, _ in found])
+                every = np.concatenate([e for _, e, _ in found])
+                place = np.minimum(np.searchsorted(x, every), len(x) - 1)
+                both = np.add.reduceat((x[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+                near = np.flatnonzero(100 * both >= threshold * (len(x) + sizes - both))
+                links += [(nids[k], y) for y in {found[n][2]: found[n][0] for n in near}.values()]
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return check
 
 
 def _similar(threshold: int) -> Column:
     """Whether 100 * intersection >= threshold * union, for the columns of elements x and y."""
-
-    @F.arrow_udf("boolean")
-    def check(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out = []
-            for x, y in zip(left, right, strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                out.append(100 * both >= threshold * (len(a) + len(b) - both))
-            yield pa.array(out, pa.bool_())
-
-    return check("x", "y")
+    both = F.size(F.array_intersect("x", "y")).cast("bigint")
+    return 100 * both >= threshold * (F.size("x") + F.size("y") - both)
 
 
 class _Sets:
@@ -301,6 +347,21 @@ class _Sets:
         y = self.have.select(F.col("nid").alias("b"), F.col("elements").alias("y"))
         return materialize(pairs.join(x, "a").join(y, "b").where(_similar(self.threshold)).select("a", "b"), "links")
 
+    def blocks(self) -> int:
+        """So many blocks that the sets of one take about BLOCK_ELEMENTS elements."""
+        return max(1, -(-(self.have.agg(F.sum(F.size("elements").cast("bigint"))).first()[0] or 0) // BLOCK_ELEMENTS))
+
+    def answers(self, asks: DataFrame, trees: DataFrame, blocks: int) -> DataFrame:
+        """``asks``: (block, x, ys) with one row for each block and x. Links (a, b) between components."""
+        rooted = self.have.join(trees.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+        no_one = F.lit(None).cast("array<bigint>")
+        members = rooted.select((F.col("nid") % blocks).cast("int").alias("block"), "nid", "root", "elements", no_one.alias("ys"))
+        asking = asks.withColumnRenamed("x", "nid").join(rooted, "nid").select("block", "nid", "root", "elements", "ys")
+        # only blocks that someone asks
+        rows = members.join(asks.select("block").distinct(), "block", "left_semi").unionAll(asking)
+        rows = rows.repartition("block").sortWithinPartitions("block", F.col("ys").isNotNull(), "nid")
+        return materialize(rows.mapInArrow(answered(self.threshold), "a bigint, b bigint"), "links")
+
 
 def _sorted_cells(rows: DataFrame) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell", "nid")
@@ -339,15 +400,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_c
     shares = crowded.groupBy("cell", "root").agg(F.count("*").alias("n")).groupBy("cell")
     main = shares.agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("total"), F.count("*").alias("parts")).where("parts > 1")
     crowded = crowded.join(main, "cell").withColumn("asks", F.col("root") != F.col("main"))
-    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("nid"), blocks).cast("int")
-    crowded = crowded.withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    crowded = crowded.select(F.xxhash64("cell", "block").alias("cell"), "nid", "root", "asks")
+    parts = F.ceil(F.col("total") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("nid"), parts).cast("int")
+    crowded = crowded.withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(own))))
+    crowded = materialize(crowded.select(F.xxhash64("cell", "block").alias("cell"), "nid", "root", "asks"), "crowded")
+    sets.fetch(crowded.select("nid").distinct())
+    blocks = sets.blocks()
     both = open_cells.select("cell", "nid", "root", "asks").unionAll(crowded).join(sigs, "nid")
-    crossing = _sorted_cells(both).mapInArrow(crossing_pairs, "a bigint, b bigint").distinct()
-    crossing = materialize(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
-    sets.fetch(crossing.select(F.col("a").alias("nid")).unionAll(crossing.select("b")).distinct())
-    late = sets.linked(crossing)
+    asks = _sorted_cells(both).mapInArrow(crossing_asks(blocks), "block int, x bigint, ys array<bigint>")
+    asks = asks.groupBy("block", "x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))  # at most the block's nodes
+    late = sets.answers(materialize(asks, "asks"), trees, blocks)
     ends = late
     for c in "ab":
         ends = ends.join(trees.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left")
