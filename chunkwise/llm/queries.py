@@ -130,3 +130,34 @@ SELECT page_id, payload_bytes, payload_digest,
        true AS intact
 FROM d
 """
+
+# Links from counts of shared shingles, components by walking the links. The driver's
+# small table takes about a second; on large ones the shingle join is what the
+# forest avoids.
+ORACLES["op6_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+           ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  WHERE 100 * least(m.n, n.n) >= 80 * greatest(m.n, n.n)
+  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(m.n) + any_value(n.n) - count(*))
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x
+)
+SELECT r.x AS doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id, r.x = min(r.y) AS kept
+FROM reach r LEFT JOIN sizes z ON z.doc_id = r.x GROUP BY r.x
+"""
