@@ -13,7 +13,7 @@ from ..operators import compression as G
 from ..operators import tiering as T
 from . import mover as M
 from . import sql_common as S
-from .chunk_reports import CUTOFF, CUTOFF_SQL
+from .chunk_reports import CUTOFF_SQL
 from .fixtures import ATTACHMENTS, INDEXES, compression_settings, compression_state
 from .registry import register
 
