@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import gc
+from collections.abc import Callable, Hashable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,31 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows, chosen by the hash of ``key``: the same rows at every partitioning."""
-    return df.orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key)).limit(rows)
+#: Rows of an Arrow batch of whole texts; see ``short_batches``.
+ARROW_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Documents are long: fewer rows to a batch keep an executor and its Python workers
+    small. A setting of the session, lowered if it is higher."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
+
+
+_RESIDENT: dict[Hashable, object] = {}
+
+
+def resident(key: Hashable, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one object at a time. A worker that
+    turns to another operator, or another model, gives up what it kept before."""
+    found = _RESIDENT.get(key)
+    if found is None:
+        _RESIDENT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        found = _RESIDENT[key] = make()
+    return found
 
 
 class WordCache:

@@ -24,8 +24,9 @@ columns of the input are never read.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
-from .common import WordCache
+from .common import WordCache, resident
 from .ngrams import hashed_ngrams
 
 UNKNOWN = "und"
@@ -54,6 +55,7 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)  # workers know it by this
 
     def __post_init__(self):
         self._cache = None
@@ -73,7 +75,7 @@ class Model:
     def logits(self, text: str) -> np.ndarray | None:
         """None for a text without a letter."""
         if self._cache is None:
-            self._cache = WordCache(self._word_scores, limit=400_000)
+            self._cache = WordCache(self._word_scores, limit=200_000)
         words = _WORD.findall(text.lower())
         if not has_letter(words):
             return None
@@ -170,6 +172,7 @@ def train(docs: DataFrame, learn: Column, docs_per_language: int = 1500, id_col:
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = rows.groupBy("lang").agg((F.lit(float(docs_per_language)) / F.count("*")).alias("share"))
+    counts = materialize(counts, "langid_counts")  # its size is known to the join: the texts stay where they are
     draw = F.pmod(F.xxhash64(F.lit("langid"), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)
     picked = materialize(rows.join(counts, "lang").where(draw < F.col("share")).select("doc_id", "text", "lang"), "langid_sample").collect()
     picked.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
@@ -181,8 +184,9 @@ def language_of(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double,accepted:boolean>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = resident(("langid", model.key), lambda: model)
         for batch in batches:
-            rows = [model.predict(value.as_py() or "") for value in batch]
+            rows = [own.predict(value.as_py() or "") for value in batch]
             names, scores, accepted = zip(*rows, strict=True) if rows else ((), (), ())
             arrays = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
             yield pa.StructArray.from_arrays(arrays, ["lang_pred", "score", "accepted"])

@@ -48,13 +48,13 @@ from pyspark.sql.window import Window
 
 from chunkwise.config import materialize
 
-from .common import drop_ids, in_buckets
+from .common import drop_ids, in_buckets, resident
 from .components import connected_components, roots
 
 HASHES, TREES, FIRST_DEPTH = 128, 32, 4
 REGION = 512
 BLOCK = 512
-BLOCK_ELEMENTS = 4_000_000
+BLOCK_ELEMENTS = 1_000_000
 LEAST_ESTIMATE = 0.62
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _seeds = np.random.default_rng(20240101).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64)
@@ -101,6 +101,7 @@ def sketch(text: Column, shingle: int) -> Column:
 
     @F.arrow_udf("struct<n:bigint,key:binary,sig:binary>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        resident("near_dedup", dict)  # nothing is kept here, nor what came before
         for batch in batches:
             sizes, keys, sigs = [], [], []
             for value in batch:

@@ -29,7 +29,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,11 +37,11 @@ from pyspark.sql.window import Window
 
 from chunkwise.config import materialize
 
-from .common import WordCache
+from .common import WordCache, resident
 
 PIECE = "struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint,ids:binary>"
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_BLOCK_ROWS = 50_000  # pieces in a block; only those of one length and block are ranked together
+_BLOCK_ROWS = 500  # about so many pieces of one length are ranked together
 _WORDS_AT_ONCE = 200_000
 
 
@@ -68,7 +67,7 @@ class WordEncoder:
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()]
         self.spelling = str.maketrans({c: spell.pre_tokenize_str(c)[0][0] for c in letters})
-        self.words = WordCache(self._encode, limit=450_000)
+        self.words = WordCache(self._encode, limit=350_000)
         self.marks = WordCache(self._library, limit=1000)
 
     def _library(self, words: list[str]) -> list[bytes]:
@@ -94,10 +93,9 @@ class WordEncoder:
         return b"".join([b"".join(self.words.values(words[k : k + _WORDS_AT_ONCE])) for k in range(0, len(words), _WORDS_AT_ONCE)])
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer_file: str) -> WordEncoder:
-    """One encoder for each worker process and vocabulary."""
-    return WordEncoder(tokenizer_file)
+    """The worker's encoder."""
+    return resident(("packing", tokenizer_file), lambda: WordEncoder(tokenizer_file))
 
 
 def pieces_of(text: Column, tokenizer_file: str, capacity: int, end_id: int, keep_ids: bool) -> Column:
@@ -200,30 +198,28 @@ def pack(
     cut = docs.select(F.col(id_col).alias("doc_id"), F.explode(pieces_of(F.col(text_col), tokenizer_file, capacity, end_id, keep_ids)).alias("p"))
     cut = cut.select("doc_id", "p.*")
     pieces = materialize(cut if keep_ids else cut.drop("ids"), "pieces")
-    blocks = max(1, -(-pieces.count() // _BLOCK_ROWS))
-    # a block is fixed by the row's content, so that a task run again deals the same ranks
-    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(blocks)))
-
-    per_block = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    histogram = {r["length"]: r["n"] for r in per_block.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
-
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
+    sizes = dict(histogram)
     full = histogram.pop(capacity, 0)
     patterns = minimum_slack_patterns(histogram, capacity)
     rows = [(capacity, 0, full, 1, 0, 0)] if full else []
     rows += [(n, first, ranks, k, full + window, offset) for n, first, ranks, k, window, offset in slot_table(patterns)]
     schema = "length bigint, first_rank bigint, ranks bigint, per_window bigint, first_window bigint, slot_offset bigint"
-    # grouped by length: one row of arrays for each of at most ``capacity`` lengths
+    # grouped by length: one row for each of at most ``capacity`` lengths
     slots = (
         spark.createDataFrame(rows, schema)
         .groupBy("length")
         .agg(F.sort_array(F.collect_list(F.struct("first_rank", "ranks", "per_window", "first_window", "slot_offset"))).alias("slots"))
     )
-
+    blocks = spark.createDataFrame([(n, -(-c // _BLOCK_ROWS)) for n, c in sizes.items()], "length bigint, blocks bigint")
+    # a block is fixed by the row's content, so that a task run again deals the same ranks
+    pieces = pieces.join(F.broadcast(blocks), "length").withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("blocks")))
+    before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.groupBy("length", "block").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     order = Window.partitionBy("length", "block").orderBy("doc_id", "start", "ids_crc32")
-    ranked = pieces.withColumn("rank", F.row_number().over(order) - 1).join(F.broadcast(slots), "length")
+    ranked = pieces.withColumn("rank", F.row_number().over(order) - 1)
     ranked = ranked.join(offsets.select("length", "block", "before"), ["length", "block"]).withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = ranked.join(F.broadcast(slots), "length")
     slot = F.expr("element_at(filter(slots, s -> s.first_rank <= rank and rank < s.first_rank + s.ranks), 1)")
     placed = ranked.withColumn("s", slot).withColumn("r", F.col("rank") - F.col("s.first_rank"))
     return placed.select(

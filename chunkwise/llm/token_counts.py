@@ -26,14 +26,13 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache
+from .common import WordCache, resident
 
 SPACE = "▁"  # how the vocabulary writes a space
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -121,10 +120,9 @@ class PrefixCounter:
         return max(0, whole + inside - 1)  # less the added space
 
 
-@lru_cache(maxsize=2)
 def counter(model_file: str) -> PrefixCounter:
-    """One counter for each worker process and model."""
-    return PrefixCounter(model_file)
+    """The worker's counter."""
+    return resident(("token_counts", model_file), lambda: PrefixCounter(model_file))
 
 
 def token_stats(text: Column, model_file: str, budget: int) -> Column:

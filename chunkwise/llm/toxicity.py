@@ -21,6 +21,7 @@ share (0 without labels). Extra columns of the input are never read.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
-from .boosting import Trees, fit_isotonic, fit_trees, sigmoid
-from .common import WordCache
+from .boosting import Trees, fit_isotonic, fit_trees
+from .common import WordCache, resident
 
 STEMS = (4, 5, 6)  # letters
 # Second-person pronouns of the languages at hand, and the
@@ -73,6 +74,7 @@ class Features:
 
     def __post_init__(self):
         self._cache = None
+        self.key = uuid.uuid4().hex  # workers know it by this
 
     def __getstate__(self):
         return {**self.__dict__, "_cache": None}
@@ -97,7 +99,7 @@ class Features:
 
     def of(self, text: str) -> list[float]:
         if self._cache is None:
-            self._cache = WordCache(self._columns, limit=300_000)
+            self._cache = WordCache(self._columns, limit=100_000)
         words = text.split()
         n = len(words)
         if not n:
@@ -186,8 +188,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows_per_class: int
 
     @F.arrow_udf("array<double>")
     def rows_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = resident(("toxicity", features.key), lambda: features)
         for batch in texts:
-            yield pa.array([features.of(t) for t in batch.to_pylist()], pa.list_(pa.float64()))
+            yield pa.array([own.of(t) for t in batch.to_pylist()], pa.list_(pa.float64()))
 
     got = sample.select("doc_id", "toxic", fold.alias("fold"), rows_of("text").alias("x")).collect()
     got.sort(key=lambda r: (r["doc_id"], r["x"]))
@@ -208,8 +211,10 @@ def toxic_score(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model.features = resident(("toxicity", model.features.key), lambda: model.features)
         for batch in batches:
-            yield pa.array(model.scores([v.as_py() for v in batch]), pa.float64())
+            parts = [model.scores(batch.slice(k, 256).to_pylist()) for k in range(0, len(batch), 256)]  # few texts at a time
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 

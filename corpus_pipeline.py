@@ -16,31 +16,36 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import work_dir
 from chunkwise.llm import decontamination, near_dedup, packing, pii, toxicity
-from chunkwise.llm.common import table
+from chunkwise.llm.common import short_batches, table
 from chunkwise.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=F.lit(True), rows_per_class=4000)
     return docs.where(toxicity.toxic_score(docs["text"], model) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return near_dedup.one_of_each(docs, shingle=5, threshold=80)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"), error_share=0.1)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     masked = pii.redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=False)
 
 
