@@ -43,6 +43,7 @@ PIECE = "struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint,id
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 _BLOCK_ROWS = 500  # about so many pieces of one length are ranked together
 _WORDS_AT_ONCE = 200_000
+CACHE_WORDS = 350_000  # words that a worker keeps (twice as many at most), about 100 MB
 
 
 class WordEncoder:
@@ -56,7 +57,7 @@ class WordEncoder:
     them; all others go through the whole tokeniser.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -67,7 +68,7 @@ class WordEncoder:
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()]
         self.spelling = str.maketrans({c: spell.pre_tokenize_str(c)[0][0] for c in letters})
-        self.words = WordCache(self._encode, limit=350_000)
+        self.words = WordCache(self._encode, limit=cache_words)
         self.marks = WordCache(self._library, limit=1000)
 
     def _library(self, words: list[str]) -> list[bytes]:
@@ -93,17 +94,17 @@ class WordEncoder:
         return b"".join([b"".join(self.words.values(words[k : k + _WORDS_AT_ONCE])) for k in range(0, len(words), _WORDS_AT_ONCE)])
 
 
-def encoder(tokenizer_file: str) -> WordEncoder:
+def encoder(tokenizer_file: str, cache_words: int) -> WordEncoder:
     """The worker's encoder."""
-    return resident(("packing", tokenizer_file), lambda: WordEncoder(tokenizer_file))
+    return resident(("packing", tokenizer_file, cache_words), lambda: WordEncoder(tokenizer_file, cache_words))
 
 
-def pieces_of(text: Column, tokenizer_file: str, capacity: int, end_id: int, keep_ids: bool) -> Column:
+def pieces_of(text: Column, tokenizer_file: str, capacity: int, end_id: int, keep_ids: bool, cache_words: int) -> Column:
     """array of the pieces of one document: full windows, then the remainder."""
 
     @F.arrow_udf(f"array<{PIECE}>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc, end = encoder(tokenizer_file), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer_file, cache_words), end_id.to_bytes(4, "little")
         for batch in batches:
             offsets, starts, lengths, crcs, totals, ids = [0], [], [], [], [], []
             for value in batch:
@@ -189,13 +190,14 @@ def pack(
     capacity: int = 2048,
     end_id: int = 1,
     keep_ids: bool = True,
+    cache_words: int = CACHE_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Pieces with doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and,
     unless ``keep_ids`` is off, the ids as little-endian unsigned 32-bit bytes."""
     spark = docs.sparkSession
-    cut = docs.select(F.col(id_col).alias("doc_id"), F.explode(pieces_of(F.col(text_col), tokenizer_file, capacity, end_id, keep_ids)).alias("p"))
+    cut = docs.select(F.col(id_col).alias("doc_id"), F.explode(pieces_of(F.col(text_col), tokenizer_file, capacity, end_id, keep_ids, cache_words)).alias("p"))
     cut = cut.select("doc_id", "p.*")
     pieces = materialize(cut if keep_ids else cut.drop("ids"), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
