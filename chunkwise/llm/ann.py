@@ -149,7 +149,7 @@ def search(
     is_query: Column,
     k: int = 20,
     tables: int = 2,
-    probes: int = 48,
+    probes: int = 64,
     block_rows: int = 4000,
     exact_rows: int = 2000,
     seed: int = 5,

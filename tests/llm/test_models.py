@@ -125,3 +125,15 @@ def test_recall_of_probed_cells_and_split_blocks(spark):
     assert np.mean(shares) >= 0.9
     ties = [q for q in got if q < 1000]
     assert all(got[q] == set([i for i in kept if i < 1000 and i != q][:10]) for q in ties)
+
+
+def test_recall_of_default_probes_on_vectors_without_structure(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute(range(4000), vectors, 20)
+    assert np.mean([len(got[q] & {j for j, _ in near}) / 20 for q, near in want.items()]) >= 0.96
