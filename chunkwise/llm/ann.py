@@ -21,9 +21,11 @@ Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows with a null id; vectors of different length
 never meet; of rows that share an id a query gets the best, once, and rows that share
 a query id are answered as one query; a query never
-finds rows with its own id; ties go to the smaller id; a query with fewer than
-``k`` candidates gets those it has. If all rows of one dimension are at most
-``exact_rows``, every cell is probed: then all candidates are found.
+finds rows with its own id; ties go to the smaller id. A query whose probed cells
+hold fewer than ``k`` candidates is asked again in all cells, so that it gets
+``k``, or all if there are fewer. Every table is probed alike, whatever its size;
+only a caller that sets ``exact_rows`` has dimensions of at most so many rows
+searched in all cells.
 """
 
 from __future__ import annotations
@@ -144,6 +146,24 @@ def exact_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.einsum("qd,vd->qv", q, v, optimize=False)
 
 
+def _met(asked: DataFrame, filed: DataFrame, held: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` best of each query in the cells that it asks.
+    ``asked``, ``filed``: (dim, tbl, cell, vec_id, vector); ``held``: the blocks of each cell."""
+    cell = ["dim", "tbl", "cell"]
+    filed = filed.join(F.broadcast(held), cell).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    asked = asked.join(F.broadcast(held), cell).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = [*cell, "block"]
+    left, right = (x.select(*key, "vec_id", "vector").groupBy(*key) for x in (asked, filed))
+    found = left.cogroup(right).applyInArrow(best_of_block(k), "query_id bigint, vec_id bigint, score double")
+    return _best(found, k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
 def search(
     rows: DataFrame,
     is_query: Column,
@@ -151,7 +171,7 @@ def search(
     tables: int = 2,
     probes: int = 64,
     block_rows: int = 4000,
-    exact_rows: int = 2000,
+    exact_rows: int = 0,
     seed: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -162,22 +182,54 @@ def search(
     small = [d for d, n in sizes.items() if n <= exact_rows]
     everything = 2 << max(1, (max(sizes, default=1) - 1).bit_length())
     filed = index.withColumn("c", F.explode(cells_of(tables, 1, seed))).select("dim", "c.tbl", "c.cell", "vec_id", "vector")
-    asked = index.where(is_query).select(*[F.col(c).alias(c) for c in index.columns])
-    wide = asked.where(F.col("dim").isin(small))
-    near = asked.where(~F.col("dim").isin(small))
-    # a table holds every vector once, so all cells of one table are an exact search
-    wide = wide.withColumn("c", F.explode(cells_of(1, everything, seed)))
-    near = near.withColumn("c", F.explode(cells_of(tables, probes, seed)))
-    asked = wide.unionAll(near).select("dim", "c.tbl", "c.cell", "vec_id", "vector")
+    queries = index.where(is_query).select(*[F.col(c).alias(c) for c in index.columns])
+
+    def asking(part: DataFrame, tables: int, probes: int) -> DataFrame:
+        return part.withColumn("c", F.explode(cells_of(tables, probes, seed))).select("dim", "c.tbl", "c.cell", "vec_id", "vector")
 
+    # a table holds every vector once, so all cells of one table are an exact search
+    asked = asking(queries.where(~F.col("dim").isin(small)), tables, probes)
+    if small:
+        asked = asked.unionAll(asking(queries.where(F.col("dim").isin(small)), 1, everything))
     held = filed.groupBy("dim", "tbl", "cell").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
     held = materialize(held, "cells")  # a row for each cell
-    cell = ["dim", "tbl", "cell"]
-    filed = filed.join(F.broadcast(held), cell).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    asked = asked.join(F.broadcast(held), cell).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    key = [*cell, "block"]
-    left, right = (x.select(*key, "vec_id", "vector").groupBy(*key) for x in (asked, filed))
-    found = left.cogroup(right).applyInArrow(best_of_block(k), "query_id bigint, vec_id bigint, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = materialize(_met(asked, filed, held, k), "neighbours")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = materialize(queries.join(full, "vec_id", "left_anti").select(index.columns), "short_queries")
+    if not short.head(1):
+        return found
+    filed = filed.where("tbl = 0").join(F.broadcast(short.select("dim").distinct()), "dim", "left_semi")
+    again = _met(asking(short, 1, everything), filed, held, k)
+    return found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").select(again.columns).unionAll(again)
+
+
+def _exact(index: DataFrame, is_query: Column, k: int, sample: int) -> DataFrame:
+    """query_id, rank, vec_id, score: the true neighbours of at most ``sample`` queries of
+    each dimension, from all vectors. The sample is what every task keeps."""
+    order = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id"), "vec_id", "vector")
+    asked = index.where(is_query).select("dim", "vec_id", "vector").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
+    by_dim: dict[int, list] = {}
+    for r in asked.collect():
+        by_dim.setdefault(r["dim"], []).append((r["vec_id"], bytes(r["vector"])))
+    nearest = best_of_block(k)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for d in np.unique(dims):
+                vectors = pa.Table.from_batches([batch.take(pa.array(np.flatnonzero(dims == d)))])
+                ids, data = zip(*by_dim.get(int(d), ()), strict=True) if int(d) in by_dim else ((), ())
+                queries = pa.table({"vec_id": pa.array(ids, pa.int64()), "vector": pa.array(data, pa.binary())})
+                yield from nearest((), queries, vectors).to_batches()
+
+    return _best(index.select("dim", "vec_id", "vector").mapInArrow(compare, "query_id bigint, vec_id bigint, score double"), k)
+
+
+def recall(found: DataFrame, rows: DataFrame, is_query: Column, k: int = 20, sample: int = 200, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
+    """The share of the true neighbours, of at most ``sample`` queries of each dimension, that
+    ``found`` has; a vector as near as the last true one counts too. 1.0 without queries."""
+    true = materialize(_exact(clean_vectors(rows, id_col, vector_col), is_query, k, sample), "true_neighbours")
+    last = true.groupBy("query_id").agg(F.min("score").alias("edge"), F.count("*").alias("wanted"))
+    right = found.join(last, "query_id").where(F.col("score") >= F.col("edge")).groupBy("query_id").agg(F.count("*").alias("n"))
+    r = last.join(right, "query_id", "left").agg(F.sum(F.least(F.coalesce("n", F.lit(0)), "wanted")).alias("n"), F.sum("wanted").alias("wanted")).first()
+    return r["n"] / r["wanted"] if r["wanted"] else 1.0

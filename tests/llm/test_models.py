@@ -137,3 +137,22 @@ def test_recall_of_default_probes_on_vectors_without_structure(spark):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     want = brute(range(4000), vectors, 20)
     assert np.mean([len(got[q] & {j for j, _ in near}) / 20 for q, near in want.items()]) >= 0.96
+
+
+def test_short_queries_are_widened_and_small_tables_probed_alike(spark):
+    rng = np.random.default_rng(9)
+    axis = np.zeros(64)
+    axis[0] = 1.0
+    near = [(axis + 0.01 * rng.normal(size=64)).tolist() for _ in range(5)]  # all in few cells, far from the others
+    rows = [(20 * i, v) for i, v in enumerate(near)] + [(1001 + i, (-axis + 0.01 * rng.normal(size=64)).tolist()) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, k=20, probes=1).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = brute([i for i, _ in rows], [np.array(v) for _, v in rows], 20)
+    assert {q: sorted(n) for q, n in got.items()} == {q: sorted(j for j, _ in n) for q, n in want.items()}
+    few = rng.normal(size=(1000, 64)).tolist()
+    few = spark.createDataFrame(list(enumerate(few)), "vec_id long, embedding array<double>")
+    is_query = F.col("vec_id") % 20 == 0
+    assert ann.recall(ann.search(few, is_query, probes=8), few, is_query) < 0.9  # no exact search hides the probes
+    assert ann.recall(ann.search(few, is_query, probes=128), few, is_query) == 1.0
