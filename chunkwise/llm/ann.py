@@ -2,9 +2,18 @@
 
 A table rotates unit vectors with three rounds of random signs and a fast
 Hadamard transform and puts each into the cell of its nearest signed axis. A
-query looks into the ``probes`` cells whose axes are nearest to it, in each of
-``tables`` tables; what it meets there is reranked by the exact inner product of
-the original vectors, in double precision.
+query looks into the cells whose axes are nearest to it, ``SHARE`` of all cells in
+each of ``tables`` tables; what it meets there is reranked by the exact inner product
+of the original vectors, in double precision.
+
+A cell knows directions only, but a long vector is near at a wide angle too. So
+vectors are filed in bands of length (a factor of two each), every query searches
+every band, and a band may be searched in all its cells. Which ones are is measured:
+the true neighbours of a sample of queries are found by comparing them with all
+vectors, and the bands that lose most for their size are searched whole until the
+sample vouches for ``LEAST_RECALL`` (Wilson's lower bound, two standard errors).
+All cells of one table hold every vector once, so a band searched whole costs as
+much as half of the cells in two tables.
 
 In Spark a cell of a table is a key. A cell with more than ``block_rows`` vectors
 is dealt over several blocks by the hash of the vector's id, and a query goes to
@@ -23,7 +32,7 @@ never meet; of rows that share an id a query gets the best, once, and rows that
 a query id are answered as one query; a query never
 finds rows with its own id; ties go to the smaller id. A query whose probed cells
 hold fewer than ``k`` candidates is asked again in all cells, so that it gets
-``k``, or all if there are fewer. Every table is probed alike, whatever its size;
+``k``, or all if there are fewer. The number of rows decides nothing by itself;
 only a caller that sets ``exact_rows`` has dimensions of at most so many rows
 searched in all cells.
 """
@@ -40,7 +49,8 @@ from pyspark.sql.window import Window
 
 from chunkwise.config import materialize
 
-VECTOR = "vec_id bigint, dim int, vector binary, norm double"
+VECTOR = "vec_id bigint, dim int, vector binary, band int"
+SHARE, LEAST_RECALL, SAMPLE = 0.5, 0.95, 200
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -49,7 +59,7 @@ def clean_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, data, norms = [], [], [], []
+            ids, dims, data, bands = [], [], [], []
             for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vector"), strict=True):
                 values = vector.values
                 if key is None or values is None or not len(values) or values.null_count:
@@ -60,9 +70,10 @@ def clean_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                 ids.append(key)
                 dims.append(len(v))
                 data.append(v.astype("<f8").tobytes())
-                norms.append(float(np.linalg.norm(v / np.abs(v).max()) * np.abs(v).max()))
-            arrays = [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(data, pa.binary()), pa.array(norms, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "dim", "vector", "norm"])
+                most = np.abs(v).max()
+                bands.append(round(float(np.log2(np.linalg.norm(v / most)) + np.log2(most))))  # unit vectors lie inside a band
+            arrays = [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(data, pa.binary()), pa.array(bands, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "dim", "vector", "band"])
 
     return rows.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vector")).mapInArrow(clean, VECTOR)
 
@@ -90,10 +101,16 @@ def nearest_axes(y: np.ndarray, probes: int) -> np.ndarray:
     return np.argsort(-both, axis=1, kind="stable")[:, :probes]
 
 
-def cells_of(tables: int, probes: int, seed: int) -> Column:
-    """array<struct<tbl, cell>>: the ``probes`` nearest cells of the row's vector in every table."""
+def cells_in(dim: int) -> int:
+    """How many cells a table of vectors of this length has."""
+    return 2 << max(1, (dim - 1).bit_length())
 
-    @F.arrow_udf("array<struct<tbl:int,cell:int>>")
+
+def cells_of(tables: int, probes: dict[int, int] | int, seed: int) -> Column:
+    """array<struct<tbl, cell, place>>: the ``probes`` (by dimension) nearest cells of the row's
+    vector in every table; place 0 is the nearest."""
+
+    @F.arrow_udf("array<struct<tbl:int,cell:int,place:int>>")
     def cells(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for dims, vectors in batches:
             out: list = [None] * len(dims)
@@ -102,10 +119,10 @@ def cells_of(tables: int, probes: int, seed: int) -> Column:
                 rows = np.flatnonzero(dim == d)
                 x = np.stack([np.frombuffer(vectors[int(i)].as_buffer(), "<f8") for i in rows])
                 x = x / np.abs(x).max(axis=1, keepdims=True)
-                found = [nearest_axes(rotated(x, t, seed), probes) for t in range(tables)]
+                found = [nearest_axes(rotated(x, t, seed), probes if isinstance(probes, int) else probes[int(d)]) for t in range(tables)]
                 for k, i in enumerate(rows):
-                    out[i] = [{"tbl": t, "cell": int(c)} for t in range(tables) for c in found[t][k]]
-            yield pa.array(out, pa.list_(pa.struct([("tbl", pa.int32()), ("cell", pa.int32())])))
+                    out[i] = [{"tbl": t, "cell": int(c), "place": p} for t in range(tables) for p, c in enumerate(found[t][k])]
+            yield pa.array(out, pa.list_(pa.struct([("tbl", pa.int32()), ("cell", pa.int32()), ("place", pa.int32())])))
 
     return cells("dim", "vector")
 
@@ -148,10 +165,13 @@ def exact_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def _met(asked: DataFrame, filed: DataFrame, held: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best of each query in the cells that it asks.
-    ``asked``, ``filed``: (dim, tbl, cell, vec_id, vector); ``held``: the blocks of each cell."""
-    cell = ["dim", "tbl", "cell"]
-    filed = filed.join(F.broadcast(held), cell).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    asked = asked.join(F.broadcast(held), cell).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    ``asked``: (dim, tbl, cell, place, vec_id, vector); ``filed``: (dim, band, tbl, cell, vec_id,
+    vector); ``held``: of each cell in each band its blocks, and how many places ask it."""
+    held = held.where("probes > 0")
+    cell = ["dim", "band", "tbl", "cell"]
+    filed = filed.join(F.broadcast(held.drop("probes")), cell).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    asked = asked.join(F.broadcast(held), ["dim", "tbl", "cell"]).where("place < probes")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = [*cell, "block"]
     left, right = (x.select(*key, "vec_id", "vector").groupBy(*key) for x in (asked, filed))
     found = left.cogroup(right).applyInArrow(best_of_block(k), "query_id bigint, vec_id bigint, score double")
@@ -164,42 +184,87 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def vouched(missed: int, pairs: int) -> float:
+    """Wilson's lower bound, at two standard errors, of the recall of a sample."""
+    p, z2 = 1 - missed / pairs, 4.0
+    return (p + z2 / (2 * pairs) - 2 * np.sqrt(p * (1 - p) / pairs + z2 / (4 * pairs * pairs))) / (1 + z2 / pairs)
+
+
+def bands_searched_whole(reach: dict[int, dict[int, int]], sizes: dict[int, int], base: int, least: float) -> set[int]:
+    """``reach``: band -> place of a neighbour's cell -> how many; ``sizes``: band -> its vectors.
+    The bands that have to be searched whole so that the sample vouches for ``least``."""
+    pairs = sum(sum(c.values()) for c in reach.values())
+    missed = {b: sum(n for place, n in c.items() if place >= base) for b, c in reach.items()}
+    if not pairs:
+        return set()
+    if vouched(0, pairs) < least:  # too few neighbours to tell
+        return set(sizes)
+    whole, left = set(), sum(missed.values())
+    for b in sorted(missed, key=lambda b: (-missed[b] / sizes[b], b)):
+        if vouched(left, pairs) >= least:
+            break
+        whole.add(b)
+        left -= missed[b]
+    return whole
+
+
+def _reach(index: DataFrame, is_query: Column, k: int, tables: int, seed: int, every: dict[int, int]) -> dict[int, dict[int, dict[int, int]]]:
+    """dim -> band -> place -> how many true neighbours of the sample lie in a cell that
+    is, in the better table, at that place in the query's order."""
+    true = materialize(_exact(index, is_query, k, SAMPLE), "sample_neighbours").select("query_id", "vec_id")
+    asked = index.where(is_query).select("dim", F.col("vec_id").alias("query_id"), "vector").join(F.broadcast(true.select("query_id").distinct()), "query_id")
+    seen = asked.withColumn("c", F.explode(cells_of(tables, every, seed))).select("dim", "query_id", "c.tbl", "c.cell", "c.place")
+    lie = index.join(F.broadcast(true), "vec_id").withColumn("c", F.explode(cells_of(tables, 1, seed))).select("dim", "band", "query_id", "vec_id", "c.tbl", "c.cell")
+    pairs = lie.join(seen, ["dim", "query_id", "tbl", "cell"]).groupBy("dim", "band", "query_id", "vec_id").agg(F.min("place").alias("place"))
+    out: dict[int, dict[int, dict[int, int]]] = {}
+    for r in pairs.groupBy("dim", "band", "place").agg(F.count("*").alias("n")).collect():  # bands times cells at most
+        out.setdefault(r["dim"], {}).setdefault(r["band"], {})[r["place"]] = r["n"]
+    return out
+
+
 def search(
     rows: DataFrame,
     is_query: Column,
     k: int = 20,
     tables: int = 2,
-    probes: int = 64,
+    probes: int | None = None,
     block_rows: int = 4000,
     exact_rows: int = 0,
     seed: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """``is_query``: a condition on vec_id. Per query its ``k`` nearest found: query_id, rank, vec_id, score."""
+    """``is_query``: a condition on vec_id. Per query its ``k`` nearest found: query_id, rank, vec_id, score.
+    A caller that sets ``probes`` gets so many cells in each table, without a check of recall."""
     index = materialize(clean_vectors(rows, id_col, vector_col), "vectors")
-    sizes = {r["dim"]: r["n"] for r in index.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    small = [d for d, n in sizes.items() if n <= exact_rows]
-    everything = 2 << max(1, (max(sizes, default=1) - 1).bit_length())
-    filed = index.withColumn("c", F.explode(cells_of(tables, 1, seed))).select("dim", "c.tbl", "c.cell", "vec_id", "vector")
-    queries = index.where(is_query).select(*[F.col(c).alias(c) for c in index.columns])
-
-    def asking(part: DataFrame, tables: int, probes: int) -> DataFrame:
-        return part.withColumn("c", F.explode(cells_of(tables, probes, seed))).select("dim", "c.tbl", "c.cell", "vec_id", "vector")
-
-    # a table holds every vector once, so all cells of one table are an exact search
-    asked = asking(queries.where(~F.col("dim").isin(small)), tables, probes)
-    if small:
-        asked = asked.unionAll(asking(queries.where(F.col("dim").isin(small)), 1, everything))
-    held = filed.groupBy("dim", "tbl", "cell").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
-    held = materialize(held, "cells")  # a row for each cell
-    found = materialize(_met(asked, filed, held, k), "neighbours")
+    sizes: dict[int, dict[int, int]] = {}
+    for r in index.groupBy("dim", "band").agg(F.count("*").alias("n")).collect():
+        sizes.setdefault(r["dim"], {})[r["band"]] = r["n"]
+    every = {d: cells_in(d) for d in sizes}
+    base = {d: min(c, probes or int(np.ceil(SHARE * c))) for d, c in every.items()}
+    reach = _reach(index, is_query, k, tables, seed, every) if probes is None else {}
+    plan = []
+    for d, bands in sizes.items():
+        whole = set(bands) if sum(bands.values()) <= exact_rows else bands_searched_whole(reach.get(d, {}), bands, base[d], LEAST_RECALL)
+        # a table holds every vector once, so all cells of one table are an exact search
+        plan += [(d, b, t, (every[d] if t == 0 else 0) if b in whole else base[d]) for b in bands for t in range(tables)]
+    plan = rows.sparkSession.createDataFrame(plan, "dim int, band int, tbl int, probes int")
+    filed = index.withColumn("c", F.explode(cells_of(tables, 1, seed))).select("dim", "band", "c.tbl", "c.cell", "vec_id", "vector")
+    queries = index.where(is_query).select(*[F.col(c).alias(c) for c in ("dim", "vec_id", "vector")])
+
+    def asking(part: DataFrame, tables: int) -> DataFrame:
+        return part.withColumn("c", F.explode(cells_of(tables, every, seed))).select("dim", "c.tbl", "c.cell", "c.place", "vec_id", "vector")
+
+    held = filed.groupBy("dim", "band", "tbl", "cell").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
+    held = materialize(held.join(F.broadcast(plan), ["dim", "band", "tbl"]), "cells")  # a row for each cell of each band
+    found = materialize(_met(asking(queries, tables), filed, held, k), "neighbours")
     full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = materialize(queries.join(full, "vec_id", "left_anti").select(index.columns), "short_queries")
+    short = materialize(queries.join(full, "vec_id", "left_anti").select(queries.columns), "short_queries")
     if not short.head(1):
         return found
     filed = filed.where("tbl = 0").join(F.broadcast(short.select("dim").distinct()), "dim", "left_semi")
-    again = _met(asking(short, 1, everything), filed, held, k)
+    widest = held.withColumn("probes", F.when(F.col("tbl") == 0, F.lit(max(every.values()))).otherwise(0))
+    again = _met(asking(short, 1), filed, widest, k)
     return found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").select(again.columns).unionAll(again)
 
 
@@ -225,7 +290,7 @@ def _exact(index: DataFrame, is_query: Column, k: int, sample: int) -> DataFrame
     return _best(index.select("dim", "vec_id", "vector").mapInArrow(compare, "query_id bigint, vec_id bigint, score double"), k)
 
 
-def recall(found: DataFrame, rows: DataFrame, is_query: Column, k: int = 20, sample: int = 200, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
+def recall(found: DataFrame, rows: DataFrame, is_query: Column, k: int = 20, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
     """The share of the true neighbours, of at most ``sample`` queries of each dimension, that
     ``found`` has; a vector as near as the last true one counts too. 1.0 without queries."""
     true = materialize(_exact(clean_vectors(rows, id_col, vector_col), is_query, k, sample), "true_neighbours")

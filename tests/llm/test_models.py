@@ -156,3 +156,23 @@ def test_short_queries_are_widened_and_small_tables_probed_alike(spark):
     is_query = F.col("vec_id") % 20 == 0
     assert ann.recall(ann.search(few, is_query, probes=8), few, is_query) < 0.9  # no exact search hides the probes
     assert ann.recall(ann.search(few, is_query, probes=128), few, is_query) == 1.0
+
+
+def test_recall_holds_for_many_dimensions_and_unequal_lengths(spark):
+    rng = np.random.default_rng(10)
+    is_query = F.col("vec_id") % 20 == 0
+    flat = rng.normal(size=(2500, 128))
+    flat /= np.linalg.norm(flat, axis=1, keepdims=True)
+    uneven = rng.normal(size=(2500, 64))
+    uneven *= np.exp(rng.normal(size=(2500, 1))) / np.linalg.norm(uneven, axis=1, keepdims=True)
+    for vectors in (flat, uneven):
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        assert ann.recall(ann.search(table, is_query), table, is_query) >= 0.95
+
+
+def test_bands_that_lose_most_for_their_size_are_searched_whole():
+    reach = {0: {0: 800, 70: 10}, 5: {0: 40, 90: 150}}
+    assert ann.bands_searched_whole(reach, {0: 9000, 5: 50, -3: 4000}, 64, 0.95) == {5}
+    assert ann.bands_searched_whole({0: {3: 4000}}, {0: 9000}, 64, 0.95) == set()
+    assert ann.bands_searched_whole({0: {3: 20}}, {0: 21}, 64, 0.95) == {0}
+    assert ann.bands_searched_whole({}, {0: 1}, 64, 0.95) == set()
