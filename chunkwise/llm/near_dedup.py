@@ -11,19 +11,20 @@ of its own, starting with four values that no other tree starts with. Nodes that
 agree in the first four form a region of that tree; where a region holds more than
 ``REGION`` nodes it is cut at the first 8, 16, ... values until none does (adaptive
 depth); nodes that agree in all 128 are chained. Two documents at the least
-similarity of 0.8 share no region of depth 4 with a probability of 5e-8, and none
-of depth 8 with 3e-3.
+similarity of 0.8 share no region of depth 4 with a probability of 5e-8. At depth 8,
+where a tree's second four values are the next tree's first, it would be 1.1e-2; so
+regions that were cut are completed from depth 4.
 
 *Links.* Inside a region every node is compared with the others by signature; its
 best predecessor (in order of node number) among those with an estimate of at
 least ``LEAST_ESTIMATE`` (five standard errors under 0.8) is its candidate. The
 candidates of all trees give one link per node at most, checked on the full
 sets. What that leaves apart is completed: nodes of one region in different
-components that are similar by estimate are all checked; in regions that had to be
-cut below depth 8 the nodes outside the largest component are compared with the
+components that are similar by estimate are all checked; in regions of depth 4 that
+had to be cut the nodes outside the largest component are compared with the
 whole region, block by block. For the check the full sets are dealt into blocks, and
 a node visits each block with the list of those it asks there; only links come out.
-So no pair that shares a region of depth 8 is left out, while neither copies of one
+So no pair that shares a region of depth 4 is left out, while neither copies of one
 text nor the members of a loose group are ever expanded into rows of pairs.
 
 *Components* are found by contraction (``components``).
@@ -157,7 +158,7 @@ def regions(depth: int) -> Column:
 
 def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells (cell, nid) of 2 to REGION nodes, chains (nid, pred) of equal signatures,
-    crowds (cell, nid): regions of depth 8 that were too large)."""
+    crowds (cell, nid): regions of depth FIRST_DEPTH that were too large)."""
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
         sized = rows.withColumn("size", F.count("*").over(Window.partitionBy("region")))
@@ -167,12 +168,10 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = nodes.select("nid", F.explode(regions(depth)).alias("r")).select("nid", "r.tree", "r.region")
     level = counted(rows, "regions")
     cells = [level.where(F.col("size") <= REGION)]
-    crowds = level.limit(0)
+    crowds = level.where(F.col("size") > REGION)
     chains = level.limit(0).select("nid", F.lit(0).cast("bigint").alias("pred"))
     while level.where(F.col("size") > REGION).head(1):
         large = level.where(F.col("size") > REGION)
-        if depth == 2 * FIRST_DEPTH:
-            crowds = large
         if depth == HASHES:
             order = Window.partitionBy("region").orderBy("nid")
             chains = large.where("tree = 0").withColumn("pred", F.lag("nid").over(order)).where("pred IS NOT NULL").select("nid", "pred")
@@ -334,7 +333,7 @@ class _Sets:
         """``nids``: (nid), distinct."""
         wanted = nids if self.have is None else nids.join(self.have.select("nid"), "nid", "left_anti")
         wanted = materialize(wanted.join(self.nodes.select("nid", "rep", "key"), "nid"), "wanted")
-        if not wanted.head(1):
+        if self.have is not None and not wanted.head(1):
             return
         rows = in_buckets(self.docs, "doc_id", wanted.select(F.col("rep").alias("doc_id")))
         rows = rows.select(keyed_set(F.col("text"), self.shingle).alias("s")).select("s.key", "s.elements")
@@ -383,7 +382,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_c
     best = found.groupBy("nid").agg(F.max(F.when(F.col("pred").isNotNull(), F.struct("estimate", (-F.col("pred")).alias("lowest")))).alias("m"))
     best = materialize(best.select("nid", (-F.col("m.lowest")).alias("pred")), "best")
     sets = _Sets(docs, nodes, shingle, threshold)
-    if not best.head(1):
+    if not best.head(1) and not crowds.head(1):
         return _result(rows, nodes, rows.sparkSession.createDataFrame([], "node bigint, root bigint"))
     sets.fetch(best.select("nid"))
     tried = best.where("pred IS NOT NULL").select(F.col("pred").alias("a"), F.col("nid").alias("b"))

@@ -80,6 +80,23 @@ def test_large_groups_go_deeper_and_stay_whole(spark, monkeypatch):
     assert run(spark, rows, 2) == brute(rows, 2)
 
 
+def test_pairs_at_the_threshold_in_cut_regions_are_linked(spark, monkeypatch):
+    monkeypatch.setattr(nd, "REGION", 2)
+    rows = []
+    for i in range(260):
+        base = [f"p{i}w{k}" for k in range(90)]
+        fringe = base[:80] + [f"p{i}x{k}" for k in range(10)]  # shares 80 of 100 with base, less with the others
+        rows += [(4 * i + j, " ".join(t)) for j, t in enumerate([base, [*base, "y"], [*base, "z"], fringe])]
+    assert run(spark, rows, 1) == brute(rows, 1)
+
+
+def test_regions_that_are_all_cut(spark, monkeypatch):
+    monkeypatch.setattr(nd, "REGION", 1)
+    base = [f"w{k}" for k in range(90)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "y"])), (3, "a b c")]
+    assert run(spark, rows, 1) == brute(rows, 1)
+
+
 def test_one_of_each_keeps_columns_and_one_row(spark):
     rows = corpus(2)
     docs = spark.createDataFrame([(d, t, "s") for d, t in rows], "doc_id long, text string, nid string")
