@@ -80,7 +80,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=False)
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=True).drop("ids")
 
 
 URL_RULES = [

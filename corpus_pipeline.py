@@ -46,7 +46,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
-    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=False, cache_words=60_000)
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048, end_id=1, keep_ids=True, cache_words=60_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -1,9 +1,11 @@
 """The pipeline's stages on a small table with planted cases, against what each should do."""
 
 import random
+import zlib
 
 import corpus_pipeline
 from chunkwise.config import work_dir
+from chunkwise.llm import packing, queries
 
 
 def write(spark, path, name, rows, schema):
@@ -51,3 +53,13 @@ def test_stages_take_effect(spark):
     row = table.where("doc_id = 420").first()
     assert "<EMAIL>" in row["text"] and "me@x.org" not in row["text"] and row["n_chars"] == len(row["text"])
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, path).select("doc_id").collect()} == ids["pii"]
+
+
+def test_packing_gives_the_sequences(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word " * 30 * i) for i in range(8)], "doc_id long, text string")
+    rows = corpus_pipeline.pack_windows(spark, docs, "").collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    asked = []
+    monkeypatch.setattr(packing, "pack", lambda docs, *a, keep_ids=True, **kw: asked.append(keep_ids) or docs.withColumn("ids", docs["text"]))
+    monkeypatch.setattr(queries, "table", lambda *a: docs)
+    assert "ids" not in queries.op7_packing(spark, "").columns and asked == [True]
