@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import work_dir
 
-from . import ann, decontamination, langid, near_dedup, packing, pii, token_counts, toxicity, url_filter, warc
+from . import ann, bpe, conversations, cross_tokens, decontamination, langid, near_dedup, packing, pii, token_counts, toxicity, url_filter, warc
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,25 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0, k=20)
 
 
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@_query
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cross_tokens.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@_query
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokenizer_file("byte_bpe_50k.json")
+    done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"), decoded)
+
+
 # Every page is a record; of equal payloads the smallest page id is the response.
 # Base32 of a SHA-1: five hexadecimal digits are four base-32 ones.
 ORACLES["op5_warc_archive"] = """
