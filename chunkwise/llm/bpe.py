@@ -55,7 +55,7 @@ _RARE = re.compile("[\u0250-\U0010ffff]")
 _PAIRS_KEPT = 400_000
 _SLICE = 1 << 20  # characters of a text that are encoded at once
 _AT_ONCE = 1 << 21  # ids that are turned to text at once
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 200_000
 
 
 def slices(text: str, size: int = _SLICE) -> Iterator[str]:
@@ -99,13 +99,38 @@ class OffsetTable:
             parts.append(self.blob[places].tobytes())
         return b"".join(parts)
 
+    def text(self, ids: np.ndarray) -> str:
+        return self.gather(ids).decode("utf-8", "replace")
+
+
+def vocabulary_bytes(data: dict) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary file, added tokens as they are written."""
+    # a byte is spelled as itself where it is printable Latin-1, else from U+0100 on in order
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    spelled = {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(sorted(set(range(0x100)) - set(own)))}
+    vocab, special = data["model"]["vocab"], {t["content"]: t["id"] for t in data["added_tokens"]}
+    tokens = [b""] * (1 + max([*vocab.values(), *special.values()]))
+    for token, i in vocab.items():
+        tokens[i] = bytes(spelled[c] for c in token)
+    for token, i in special.items():
+        tokens[i] = token.encode()
+    return tokens
+
+
+def _read(tokenizer_file: str) -> dict:
+    with open(tokenizer_file, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def read_vocabulary(tokenizer_file: str) -> list[bytes]:
+    return vocabulary_bytes(_read(tokenizer_file))
+
 
 class TokenTable:
     """The vocabulary as bytes, its merges, and the pair-compatibility table."""
 
     def __init__(self, tokenizer_file: str):
-        with open(tokenizer_file, encoding="utf-8") as f:
-            data = json.load(f)
+        data = _read(tokenizer_file)
         model, words = data["model"], data["pre_tokenizer"] or {}
         if model["type"] != "BPE" or words.get("type") != "ByteLevel" or words.get("add_prefix_space") or not words.get("use_regex") or data["normalizer"]:
             raise ValueError("not a plain byte-level byte-pair vocabulary")
@@ -114,16 +139,9 @@ class TokenTable:
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in data["added_tokens"]):
             raise ValueError("added tokens that take their surroundings aren't supported")
-        # a byte is spelled as itself where it is printable Latin-1, else from U+0100 on in order
-        own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        spelled = {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(sorted(set(range(0x100)) - set(own)))}
         vocab = model["vocab"]
-        self.size = 1 + max([*vocab.values(), *self.special.values()])
-        self.bytes: list[bytes] = [b""] * self.size
-        for token, i in vocab.items():
-            self.bytes[i] = bytes(spelled[c] for c in token)
-        for token, i in self.special.items():
-            self.bytes[i] = token.encode()
+        self.bytes = vocabulary_bytes(data)
+        self.size = len(self.bytes)
         self.rank = [-1] * self.size  # when a token's last merge happens; -1 for single bytes
         self.parts: list[tuple[int, int]] = [(-1, -1)] * self.size
         self.merges: dict[int, int] = {}  # left << 32 | right -> rank
@@ -199,25 +217,27 @@ class BytePairCodec:
         found = self.whole.get(word)
         if found is not None:
             return [found]
-        n, length, shorter, fits = len(word), self.length, self.shorter, self.table.fits
-        longest = array("i", [-1]) * n
-        for back, token in self.automaton.iter(word[::-1]):
-            at = n - 1 - back
-            if longest[at] < 0 or length[token] > length[longest[at]]:
-                longest[at] = token
-        dead, ids, at, token = bytearray(n + 1), [], 0, longest[0]
+        n, length, shorter, known, fits = len(word), self.length, self.shorter, self.table.known.get, self.table.fits
+        # of the tokens that start at one byte the automaton reports the longest first; it counts from the end
+        longest = dict(list(self.automaton.iter(word[::-1]))[::-1])
+        dead: set[int] = set()
+        ids, at, token, last = [], 0, longest[n - 1], -1
         while at < n:
-            while token >= 0 and (dead[at + length[token]] or ids and not fits(ids[-1], token)):
+            while token >= 0:
+                end = at + length[token]
+                if last < 0 or (fit := known(last << 32 | token)) or fit is None and fits(last, token):
+                    if end not in dead:
+                        break
                 token = shorter[token]
             if token >= 0:
                 ids.append(token)
-                at += length[token]
-                token = longest[at] if at < n else -1
+                at, last = end, token
+                token = longest[n - 1 - at] if at < n else -1
             else:  # nothing goes on from here after what stands before
-                dead[at] = 1
-                token = ids.pop()
-                at -= length[token]
-                token = shorter[token]
+                dead.add(at)
+                at -= length[last]
+                token = shorter[ids.pop()]
+                last = ids[-1] if ids else -1
         return ids
 
     def encode_chunk(self, chunk: str) -> list[int]:
@@ -244,7 +264,7 @@ class BytePairCodec:
         return b"".join([array("I", [self.table.special[p]]).tobytes() if k % 2 else self._plain(p) for k, p in enumerate(parts) if p])
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.offsets.gather(ids).decode("utf-8", "replace")
+        return self.offsets.text(ids)
 
 
 def codec(tokenizer_file: str, special: bool = True) -> BytePairCodec:
@@ -252,6 +272,11 @@ def codec(tokenizer_file: str, special: bool = True) -> BytePairCodec:
     return resident(("bpe", tokenizer_file, special), lambda: BytePairCodec(tokenizer_file, special))
 
 
+def offset_table(tokenizer_file: str) -> OffsetTable:
+    """The worker's table for decoding: no more than the tokens' bytes."""
+    return resident(("bpe bytes", tokenizer_file), lambda: OffsetTable(read_vocabulary(tokenizer_file)))
+
+
 def _lists(batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets from 0 and values of a batch of lists of ids."""
     offsets = batch.offsets.to_numpy()
@@ -277,10 +302,10 @@ def decode(ids: Column, tokenizer_file: str) -> Column:
 
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(tokenizer_file)
+        table = offset_table(tokenizer_file)
         for batch in batches:
             offsets, values = _lists(batch)
-            yield pa.array([c.decode(values[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string())
+            yield pa.array([table.text(values[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string())
 
     return text_of(ids)
 

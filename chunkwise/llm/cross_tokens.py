@@ -31,6 +31,7 @@ result. Extra columns of the input are never read.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
-from .bpe import WHITE, BytePairCodec, OffsetTable, runs, slices
+from .bpe import WHITE, OffsetTable, read_vocabulary, runs, slices
 from .common import WordCache, resident, short_batches
 
 SPACE = "▁"  # how the piece vocabulary writes a space
@@ -59,14 +60,19 @@ class PairEncoder:
     """Ids of both tokenisers, unit by unit, and their byte tables."""
 
     def __init__(self, byte_file: str, piece_file: str, cache_units: int = 200_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.a = BytePairCodec(byte_file, special=False, cache_chunks=1000)
+        self.a = Tokenizer.from_file(byte_file)
+        self.a.encode_special_tokens = True  # their strings are plain text
+        self.a.no_padding()
+        self.a.no_truncation()
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         spelled = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.bytes_a, self.bytes_b = self.a.offsets, OffsetTable(spelled)
-        self.size_a, self.size_b = self.a.table.size, len(pieces)
+        self.bytes_a, self.bytes_b = OffsetTable(read_vocabulary(byte_file)), OffsetTable(spelled)
+        self.size_a, self.size_b = len(self.bytes_a.length), len(pieces)
         self.units = WordCache(self._encode, limit=cache_units)
         top = max(self.size_a, self.size_b)
         self.spelled = pa.array([f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(top)])
@@ -74,8 +80,9 @@ class PairEncoder:
 
     def _encode(self, units: list[str]) -> list[tuple[bytes, bytes]]:
         # a newline is no part of any piece: what follows it is encoded without an added space
-        pieces = self.sp.encode(["\n" + u for u in units])
-        return [(array("I", self.a.encode_chunk(u)).tobytes(), array("I", p[2:]).tobytes()) for u, p in zip(units, pieces, strict=True)]
+        pieces = self.sp.encode(["\n" + u for u in units], num_threads=1)
+        first = self.a.encode_batch_fast(units, add_special_tokens=False)
+        return [(array("I", e.ids).tobytes(), array("I", p[2:]).tobytes()) for e, p in zip(first, pieces, strict=True)]
 
     def encode(self, marked: str) -> tuple[bytes, bytes]:
         """Ids of a part that starts with the added space or with a space of the text."""
@@ -215,10 +222,8 @@ def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _vocabulary_sizes(byte_file: str, piece_file: str) -> tuple[int, int]:
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    ids = Tokenizer.from_file(byte_file).get_vocab(with_added_tokens=True).values()
-    return 1 + max(ids), sentencepiece.SentencePieceProcessor(model_file=piece_file).get_piece_size()
+    return len(read_vocabulary(byte_file)), sentencepiece.SentencePieceProcessor(model_file=piece_file).get_piece_size()
 
 
 def token_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
