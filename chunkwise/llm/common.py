@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
-from collections.abc import Callable, Hashable, Iterable
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,14 +37,28 @@ def short_batches(spark: SparkSession) -> None:
 _RESIDENT: dict[Hashable, object] = {}
 
 
+def give_back() -> None:
+    """Hand free memory of this Python worker back to the system. Workers outlive their
+    tasks; what the allocators keep would add up over the stages of a pipeline."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def clean_after(batches: Iterator) -> Iterator:
+    """The same items; memory is given back when they are through."""
+    yield from batches
+    give_back()
+
+
 def resident(key: Hashable, make: Callable[[], object]) -> object:
     """What a Python worker keeps from task to task: one object at a time. A worker that
     turns to another operator, or another model, gives up what it kept before."""
     found = _RESIDENT.get(key)
     if found is None:
         _RESIDENT.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         found = _RESIDENT[key] = make()
     return found
 
@@ -82,6 +98,11 @@ class WordCache:
 ID_BUCKETS = 1 << 20
 
 
+def out_of_buckets(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows that ``in_buckets`` leaves out."""
+    return _bucketed(docs, key, ids, "left_anti")
+
+
 def _bucketed(docs: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
     name = "__bucket"
     number = F.pmod(F.xxhash64(F.col(key)), F.lit(ID_BUCKETS)).cast("int")

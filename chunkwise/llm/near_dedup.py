@@ -45,11 +45,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chunkwise.config import materialize
 
-from .common import drop_ids, in_buckets, resident
+from .common import clean_after, drop_ids, in_buckets, resident
 from .components import connected_components, roots
 
 HASHES, TREES, FIRST_DEPTH = 128, 32, 4
@@ -103,7 +102,7 @@ def sketch(text: Column, shingle: int) -> Column:
     @F.arrow_udf("struct<n:bigint,key:binary,sig:binary>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         resident("near_dedup", dict)  # nothing is kept here, nor what came before
-        for batch in batches:
+        for batch in clean_after(batches):
             sizes, keys, sigs = [], [], []
             for value in batch:
                 elements = shingle_set(value.as_py() or "", shingle)
@@ -120,7 +119,7 @@ def keyed_set(text: Column, shingle: int) -> Column:
 
     @F.arrow_udf("struct<key:binary,elements:array<bigint>>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in clean_after(batches):
             keys, sets = [], []
             for value in batch:
                 elements = shingle_set(value.as_py() or "", shingle)
@@ -143,7 +142,7 @@ def regions(depth: int) -> Column:
     @F.arrow_udf("array<struct<tree:int,region:bigint>>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         trees = np.arange(TREES)
-        for batch in batches:
+        for batch in clean_after(batches):
             values = _matrix(batch).astype(np.uint64)
             h = np.broadcast_to(trees.astype(np.uint64) + np.uint64(depth << 8), (len(values), TREES)).copy()
             for k in range(depth):
@@ -161,8 +160,9 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     crowds (cell, nid): regions of depth FIRST_DEPTH that were too large)."""
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        sized = rows.withColumn("size", F.count("*").over(Window.partitionBy("region")))
-        return materialize(sized.where("size > 1"), name)
+        # counted apart and joined back: a region of very many nodes is split over tasks
+        sizes = materialize(rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"), f"{name}_sizes")
+        return materialize(rows.join(sizes, "region"), name)
 
     depth = FIRST_DEPTH
     rows = nodes.select("nid", F.explode(regions(depth)).alias("r")).select("nid", "r.tree", "r.region")
@@ -173,8 +173,9 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     while level.where(F.col("size") > REGION).head(1):
         large = level.where(F.col("size") > REGION)
         if depth == HASHES:
-            order = Window.partitionBy("region").orderBy("nid")
-            chains = large.where("tree = 0").withColumn("pred", F.lag("nid").over(order)).where("pred IS NOT NULL").select("nid", "pred")
+            same = large.where("tree = 0")
+            first = materialize(same.groupBy("region").agg(F.min("nid").alias("pred")), "first_nodes")
+            chains = same.join(first, "region").where("nid <> pred").select("nid", "pred")
             break
         depth *= 2
         deeper = F.element_at(regions(depth), F.col("tree") + 1)["region"]
@@ -370,6 +371,11 @@ def _sorted_cells(rows: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept. Documents are linked if
     100 * intersection >= threshold * union of their sets."""
+    return _components(docs, shingle, threshold, id_col, text_col).drop("key")
+
+
+def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with the key of each row's set (null: no words)."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(docs.select("doc_id", sketch(F.col("text"), shingle).alias("s")).select("doc_id", "s.*"), "sketches")
     nodes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
@@ -428,16 +434,25 @@ def _result(rows: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     by_key = materialize(named.join(smallest, "root").select("key", "component_id"), "components")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "key").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, less those that are near a document with a smaller id.
-    Of rows with the same id and text one stays; rows without an id stay."""
-    found = near_duplicates(docs, shingle, threshold, id_col, text_col)
-    dropped = materialize(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col)).distinct(), "dropped")
-    rest = drop_ids(docs, id_col, dropped)
-    twice = materialize(docs.groupBy(id_col).agg(F.count("*").alias("n")).where(F.col("n") > 1).where(F.col(id_col).isNotNull()).select(id_col), "repeated")
+    Where several rows have one id, each is judged by its own text: of those that are near
+    each other one stays (that with the least set key), the others as their texts say. Rows
+    without an id stay."""
+    found = materialize(_components(docs, shingle, threshold, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", "key", "kept"), "kept")
+    dropped = materialize(found.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct(), "dropped")
+    twice = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(id_col)), "repeated")
     if not twice.head(1):
-        return rest
-    return drop_ids(rest, id_col, twice).unionByName(rest.join(twice, id_col, "left_semi").dropDuplicates([id_col, text_col]).select(rest.columns))
+        return drop_ids(docs, id_col, dropped)
+    single = drop_ids(drop_ids(docs, id_col, twice), id_col, dropped)
+    # kept rows of one id that have words are all in that id's component
+    stay = found.where("kept AND key IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("key"))
+    stay = materialize(stay.select(F.col("doc_id").alias(id_col), F.col("key").alias("__stay")), "staying")
+    rows = in_buckets(docs, id_col, twice).join(twice, id_col, "left_semi").withColumn("__set", keyed_set(F.col(text_col), shingle))
+    rows = rows.withColumn("__key", F.when(F.size("__set.elements") > 0, F.col("__set.key"))).drop("__set")
+    rows = materialize(rows.join(stay, id_col, "left").where(F.col("__key").isNull() | (F.col("__key") == F.col("__stay"))), "repeated_rows")
+    one = F.coalesce(F.hex("__key"), F.concat(F.lit("="), F.col(text_col)), F.lit("-"))  # rows without words: equal texts once
+    return single.unionByName(rows.withColumn("__one", one).dropDuplicates([id_col, "__one"]).select(docs.columns))

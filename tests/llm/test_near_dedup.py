@@ -119,3 +119,14 @@ def test_connected_components_of_a_chain_and_a_star(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     want = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 131)} | {61: 60}
     assert got == want
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, "x"), (4, "x"), (5, ""), (5, None), (5, None), (6, a + " z"), (6, a + " y"), (None, a)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, key int")
+    kept = nd.one_of_each(docs, shingle=5, threshold=80)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (4, "x"), (5, ""), (5, None), (None, a)], key=str) and kept.columns == docs.columns
+    own = spark.createDataFrame([(6, a + " z"), (6, a + " y"), (7, b)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in nd.one_of_each(own).collect()) == [6, 7]
