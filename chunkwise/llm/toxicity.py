@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from chunkwise.config import materialize
 
 from .boosting import Trees, fit_isotonic, fit_trees
-from .common import WordCache, resident
+from .common import WordCache, clean_after, resident
 
 STEMS = (4, 5, 6)  # letters
 # Second-person pronouns of the languages at hand, and the
@@ -143,9 +143,12 @@ class Model:
 
 def learn_lexicon(sample: DataFrame, words_kept: int = 3000, least_docs: int = 3, least_odds: float = 1.0) -> tuple[dict, dict]:
     """Words and stems that toxic rows of the bounded sample use more than others do, with
-    the lower end of their log odds (1.64 standard errors down). Equal texts count once."""
+    the lower end of their log odds (1.64 standard errors down). Equal texts count once, as
+    toxic if any row is; where that leaves one class alone, the lexicons are empty."""
     sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        return {}, {}
     bare = F.regexp_replace(F.lower("text"), r"(?U)(?<=^|\s)[\W_]+|[\W_]+(?=\s|$)", " ")
     words = sample.select("toxic", F.monotonically_increasing_id().alias("doc"), F.explode(F.array_distinct(F.split(bare, r"\s+"))).alias("word"))
     words = words.where("word <> ''")
@@ -201,6 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows_per_class: int
     if len(set(y[held])) < 2:
         held = np.ones(len(y), dtype=bool)
     grown = f == 2 if apart else f != 0
+    if len(set(y[grown])) < 2:
+        grown = np.ones(len(y), dtype=bool)
     trees = fit_trees(x[grown], y[grown], weight[grown])
     raw = trees.raw(x)
     return Model(features, trees, fit_isotonic(raw[held], y[held], weight[held]), share)
@@ -212,7 +217,7 @@ def toxic_score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model.features = resident(("toxicity", model.features.key), lambda: model.features)
-        for batch in batches:
+        for batch in clean_after(batches):
             parts = [model.scores(batch.slice(k, 256).to_pylist()) for k in range(0, len(batch), 256)]  # few texts at a time
             yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 

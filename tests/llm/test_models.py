@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chunkwise.llm import ann, boosting, langid, toxicity
@@ -176,3 +177,11 @@ def test_bands_that_lose_most_for_their_size_are_searched_whole():
     assert ann.bands_searched_whole({0: {3: 4000}}, {0: 9000}, 64, 0.95) == set()
     assert ann.bands_searched_whole({0: {3: 20}}, {0: 21}, 64, 0.95) == {0}
     assert ann.bands_searched_whole({}, {0: 1}, 64, 0.95) == set()
+
+
+@pytest.mark.parametrize("texts", [["same"] * 40, [None] * 40, [""] * 40, ["same", None] * 20])
+def test_equal_texts_with_both_labels(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, learn=F.lit(True))
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score_documents(docs, model).collect())
