@@ -20,8 +20,10 @@ The benchmark is a stated query set: its index is made and broadcast in blocks o
 at most ``block_chars`` characters, and every block meets all rows. Whole texts are
 read, long ones in overlapping windows.
 
-Defined results: a null text, and items without a letter or digit or shorter in
-plain form than ``min_chars``, match nothing; items with equal text are found
+Items so short that no edit is allowed (under ten characters at a share of 0.1) are
+found exactly and only as whole words, except in scripts without spaces.
+
+Defined results: a null text, and items without a letter or digit, match nothing; items with equal text are found
 each; equal documents get equal rows; null ids stay null; an empty table on
 either side gives an empty result. Extra columns are never read.
 """
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
@@ -42,6 +45,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
+from .common import clean_after, resident
 from .ngrams import code_points
 
 LEAK = "struct<item_id:bigint,start:bigint,end:bigint,edits:int>"
@@ -52,6 +56,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
 _FINE_Q = 3
 _WINDOW = 1 << 19  # characters hashed at a time
+_PAIRS_AT_ONCE = 1 << 20  # pairs of equal q-grams counted at a time
+_NO_SPACES = 0x2E80  # scripts without spaces between words start here
 
 
 @lru_cache(maxsize=1)
@@ -117,6 +123,14 @@ def alignment(item: np.ndarray, region: np.ndarray, low: int, high: int) -> tupl
     return (int(cost[k]), int(start[k]), int(at[k] + len(item))) if cost[k] < far else None
 
 
+def at_borders(codes: np.ndarray, start: int, stop: int) -> bool:
+    """Whether no word goes on before ``start`` or after ``stop``. Scripts that are written
+    without spaces (from U+2E80 on) have no such border: there any place will do."""
+    left = start == 0 or codes[start - 1] == _SPACE or max(codes[start - 1], codes[start]) >= _NO_SPACES
+    right = stop == len(codes) or codes[stop] == _SPACE or max(codes[stop - 1], codes[stop]) >= _NO_SPACES
+    return bool(left and right)
+
+
 def largest_q(size: int, budget: int, max_q: int) -> int:
     """The longest q-gram length with a positive bound ``size + 1 - q * (budget + 1)``."""
     return min(max_q, size // (budget + 1))
@@ -153,9 +167,10 @@ class Index:
         self.bounds = self.sizes + 1 - self.q * (self.budgets + 1)
         self.reach = int((self.sizes + self.budgets).max())  # no occurrence is longer
 
-    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of every shared q-gram of the hashes ``h``, less those in
-        places with too few of them."""
+    def half_bands(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, count): shared q-grams of the hashes ``h`` by item and half a band of
+        diagonals, less those in places with too few of them. A gram that is common in
+        text and items makes many pairs; they are counted a bounded number at a time."""
         none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         at = np.flatnonzero(self.present[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
@@ -170,17 +185,29 @@ class Index:
         near = np.cumsum(mark)[:-1] > 0
         at, place = at[near], place[near]
         times = self.first[place + 1] - self.first[place]
-        entry = np.arange(times.sum()) + np.repeat(self.first[place] - (np.cumsum(times) - times), times)
-        return self.item[entry], np.repeat(at, times) - self.position[entry]
+        ends = np.cumsum(times)
+        keys, counts, start = [], [], 0
+        while start < len(at):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS_AT_ONCE, "right")))
+            n = times[start:stop]
+            entry = np.arange(n.sum()) + np.repeat(self.first[place[start:stop]] - (np.cumsum(n) - n), n)
+            item = self.item[entry]
+            diagonal = np.repeat(at[start:stop], n) - self.position[entry]
+            # a band is two neighbouring halves, so the half-bands' counts are added
+            key, count = np.unique(item.astype(np.int64) << 40 | (diagonal // (self.budgets[item] + 1) + (1 << 30)), return_counts=True)
+            keys.append(key)
+            counts.append(count)
+            start = stop
+        if len(keys) == 1:
+            return keys[0], counts[0]
+        every, place = np.unique(np.concatenate([*keys, none[0]]), return_inverse=True)
+        return every, np.bincount(place, weights=np.concatenate([*counts, none[0]]), minlength=len(every)).astype(np.int64)
 
     def regions(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, lowest diagonal, highest diagonal) of every band that meets its bound."""
-        item, diagonal = self.hits(h)
-        if not len(item):
+        key, count = self.half_bands(h)
+        if not len(key):
             return []
-        half = self.budgets[item] + 1
-        # a band is two neighbouring halves, so the half-bands' counts are added
-        key, count = np.unique(item.astype(np.int64) << 40 | (diagonal // half + (1 << 30)), return_counts=True)
         bands = np.unique(np.concatenate([key, key - 1]))
         total = np.zeros(len(bands), dtype=np.int64)
         total[np.searchsorted(bands, key)] += count
@@ -207,7 +234,10 @@ class Index:
         same = np.lib.stride_tricks.sliding_window_view(padded, len(item)) == item
         whole = np.flatnonzero(same.all(axis=1))
         if len(whole):
-            return 0, low + int(whole[0]), low + int(whole[0]) + len(item)
+            places = [low + int(w) for w in whole if budget or at_borders(codes, low + int(w), low + int(w) + len(item))]
+            return (0, places[0], places[0] + len(item)) if places else None
+        if not budget:
+            return None
         q = largest_q(len(item), budget, _FINE_Q)
         runs = same[:, : len(item) - q + 1].copy()
         for k in range(1, q):
@@ -271,22 +301,23 @@ class Block:
                                 found.setdefault((d, n, i), set()).add(got)
         for (d, n, i), spans in sorted(found.items()):
             places = forms[d][1]
-            kept: list[tuple[int, int, int]] = []
+            kept: list[tuple[int, int]] = []  # in order, not overlapping
             for edits, start, stop in sorted(spans):
-                if all(stop <= a or start >= b for _, a, b in kept):
-                    kept.append((edits, start, stop))
+                k = bisect_left(kept, (start, stop))
+                if (k == 0 or kept[k - 1][1] <= start) and (k == len(kept) or stop <= kept[k][0]):
+                    kept.insert(k, (start, stop))
                     out[d].append({"item_id": self.classes[n].ids[i], "start": int(places[start]), "end": int(places[stop - 1]) + 1, "edits": edits})
         for rows in out:
             rows.sort(key=lambda r: (r["start"], r["end"], r["item_id"] is None, r["item_id"]))
 
 
-def blocks_of(benchmark: DataFrame, error_share: float, max_q: int, min_chars: int, block_chars: int, id_col: str, text_col: str) -> Iterator[Block]:
+def blocks_of(benchmark: DataFrame, error_share: float, max_q: int, block_chars: int, id_col: str, text_col: str) -> Iterator[Block]:
     """The benchmark in blocks, one in memory at a time."""
     rows = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     held, chars = [], 0
     for r in rows.toLocalIterator():
         item = plain(r["text"])[0]
-        if len(item) < max(1, min_chars):
+        if not len(item):
             continue
         held.append((r["item_id"], item))
         chars += len(item)
@@ -303,7 +334,8 @@ def leaks_in(text: Column, block: Broadcast) -> Column:
     @F.arrow_udf(f"array<{LEAK}>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
-        for batch in batches:
+        resident(("decontamination",), object)  # what another operator kept goes
+        for batch in clean_after(batches):
             out = []
             for k in range(0, len(batch), 256):  # a few texts at a time are copied from the batch
                 out += block.value.leaks(batch.slice(k, 256).to_pylist())
@@ -317,7 +349,6 @@ def find_leaks(
     benchmark: DataFrame,
     error_share: float = 0.1,
     max_q: int = 8,
-    min_chars: int = 20,
     block_chars: int = 4_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -328,7 +359,7 @@ def find_leaks(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     parts, pending = [], None
-    for block in blocks_of(benchmark, error_share, max_q, min_chars, block_chars, item_id_col, item_text_col):
+    for block in blocks_of(benchmark, error_share, max_q, block_chars, item_id_col, item_text_col):
         if pending is not None:  # more than one block: each is searched, stored and given up in turn
             parts.append(materialize(pending[0], "leaks"))
             pending[1].unpersist()
@@ -343,7 +374,12 @@ def find_leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, all columns, in which no benchmark item occurs."""
     spark = docs.sparkSession
-    options = {"error_share": 0.1, "max_q": 8, "min_chars": 20, "block_chars": 4_000_000, **options}
+    options = {"error_share": 0.1, "max_q": 8, "block_chars": 4_000_000, **options}
+    shared = None
     for block in blocks_of(benchmark, **options, id_col="item_id", text_col="text"):
-        docs = docs.where(F.size(leaks_in(docs[text_col], spark.sparkContext.broadcast(block))) == 0)
+        if shared is not None:  # more than one block: its survivors are stored before the next
+            docs = materialize(docs, "unleaked")
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(block)
+        docs = docs.where(F.size(leaks_in(docs[text_col], shared)) == 0)
     return docs
