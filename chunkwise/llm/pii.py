@@ -6,14 +6,16 @@ pieces between matches come from ``split`` and the matches from
 ``regexp_extract_all``; running sums of their lengths are the positions.
 
 *Bootstrapping.* The base matches are seeds. A lexical pattern is the word, or the
-two words, in front of a token; an instance is a token that could belong to a
+two words, in front of a token, whatever they are; an instance is a token that could belong to a
 kind (``PLAUSIBLE``). Instances and patterns form a bipartite graph, scored in
 rounds: a pattern's score for a kind is the confidence-weighted share of all its
 occurrences in the corpus, whatever follows there, that precede instances of the
 kind; an instance's confidence is 1 for seeds, else that no pattern in front of it
 is wrong (noisy or). Patterns that reach ``min_score`` with at least
 ``min_instances`` different confident instances extract the unseen tokens behind
-them. Ordinary words precede ordinary words nearly always, so only contexts such as
+them. Rounds go on until none accepts a pattern that the one before did not; accepted
+patterns never fall out again, so there are at most as many rounds as patterns.
+Ordinary words precede ordinary words nearly always, so only contexts such as
 ``passport no.`` qualify.
 
 Everything is column expressions, joins and aggregations; the regular expressions
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
+from .common import in_buckets, out_of_buckets
+
 KINDS = ("email", "ip", "card", "phone")
 
 # Fixed formats. Possessive quantifiers and the look-behinds change no match: they
@@ -54,7 +58,6 @@ PLAUSIBLE = {
     "card": r"^[0-9](?:-?[0-9]){11,18}$",
     "phone": r"^\+?[0-9(][0-9().-]{5,18}[0-9]$",
 }
-_CONTEXT = 64  # code points in front of a token in which its two words are looked for
 _RUN = 256
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -111,30 +114,40 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """array<struct<start, end, value, left>> of the valid matches of one kind."""
-    found, gaps = located(text, FORMATS[kind])
-    return _placed(text.rlike(_HINTS[kind]), found, gaps, lambda x: valid(kind, x["value"]))
-
-
-def _placed(hint: Column, found: Column, gaps: Column, keep) -> Column:
+def _placed(found: Column, gaps: Column, keep) -> Column:
+    """array<struct<start, end, value, left>> of the matches that ``keep`` holds for; ``left``
+    ends with the two words in front."""
+    # they lie in the gap before the match, the match before that, or the gap and match before
+    # those; of a gap its end is enough
+    shifted = lambda values, k: F.concat(F.array_repeat(F.lit(""), k), values)
+    ends = F.transform(gaps, lambda g: F.substring_index(F.regexp_replace(g, r"\s+", " "), " ", -4))
     # lengths in turn: gap, match, gap, ...; the match after gap i starts at entry 2 i + 1
     lengths = F.flatten(F.zip_with(gaps, found, lambda g, m: F.array(F.length(g).cast("bigint"), F.coalesce(F.length(m), F.lit(0)).cast("bigint"))))
-    starts = running_starts(lengths)
+    starts = F.filter(running_starts(lengths), lambda s, i: i % 2 == 1)
+    zipped = F.arrays_zip(found.alias("m"), starts.alias("s"), shifted(found, 2).alias("m2"), shifted(ends, 1).alias("g1"), shifted(found, 1).alias("m1"), ends.alias("g0"))
     spots = F.transform(
-        F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"), F.filter(starts, lambda s, i: i % 2 == 1).alias("s")),
-        lambda x: F.struct(x["s"].alias("start"), (x["s"] + F.length(x["m"])).alias("end"), x["m"].alias("value"), F.substring(x["g"], -_CONTEXT, _CONTEXT).alias("left")),
+        F.filter(zipped, lambda x: x["m"].isNotNull()),
+        lambda x: F.struct(x["s"].alias("start"), (x["s"] + F.length(x["m"])).alias("end"), x["m"].alias("value"), F.concat(x["m2"], x["g1"], x["m1"], x["g0"]).alias("left")),
     )
-    spots = F.filter(spots, lambda x: x["value"].isNotNull())
     nothing = F.array().cast("array<struct<start:bigint,end:bigint,value:string,left:string>>")
-    return F.when(hint & (F.size(found) > 0), F.filter(spots, keep)).otherwise(nothing)
-
-
-def base_matches(docs: DataFrame, text: Column) -> DataFrame:
-    """The documents with one array of matches for each kind, and ``tokens``: the
-    tokens with a digit or an at sign."""
-    tokens, gaps = located(text, _TOKEN)
-    return docs.withColumns({k: _matches(text, k) for k in KINDS} | {"tokens": _placed(text.rlike("[0-9@]"), tokens, gaps, lambda x: F.lit(True))})
+    return F.when(F.size(found) > 0, F.filter(spots, keep)).otherwise(nothing)
+
+
+def base_matches(docs: DataFrame, text: Column, tokens: bool = True) -> DataFrame:
+    """The documents with one array of matches for each kind and, if asked for, ``tokens``:
+    the tokens with a digit or an at sign."""
+    keep = lambda kind: lambda x: valid(kind, x["value"])
+    formats = {k: (_HINTS[k], FORMATS[k], keep(k)) for k in KINDS}
+    if tokens:
+        formats["tokens"] = ("[0-9@]", _TOKEN, lambda x: F.lit(True))
+    cut = {}
+    for name, (hint, pattern, _) in formats.items():
+        found, gaps = located(text, pattern)
+        none = F.array().cast("array<string>")
+        cut[f"__{name}_found"] = F.when(text.rlike(hint), found).otherwise(none)
+        cut[f"__{name}_gaps"] = F.when(text.rlike(hint), gaps).otherwise(none)
+    docs = docs.withColumns(cut)
+    return docs.withColumns({k: _placed(F.col(f"__{k}_found"), F.col(f"__{k}_gaps"), keep) for k, (_, _, keep) in formats.items()}).drop(*cut)
 
 
 def words_before(left: Column) -> Column:
@@ -175,8 +188,8 @@ def pattern_counts(text: DataFrame, patterns: DataFrame) -> DataFrame:
     return said.join(patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
-def learned_patterns(found: DataFrame, text: DataFrame, rounds: int = 3, min_score: float = 0.6, min_instances: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(instances, accepted patterns (kind, pattern, score)) after ``rounds`` rounds."""
+def learned_patterns(found: DataFrame, text: DataFrame, min_score: float = 0.6, min_instances: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(instances, accepted patterns (kind, pattern, score)) after the last round."""
     instances = materialize(_instances(found), "pii_instances")
     edges = instances.groupBy("kind", "pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     # only patterns with enough different instances of a kind can ever qualify
@@ -185,27 +198,39 @@ def learned_patterns(found: DataFrame, text: DataFrame, rounds: int = 3, min_sco
     edges = materialize(edges.join(wide, ["kind", "pattern"]), "pii_edges")
     totals = materialize(pattern_counts(text, wide.select("pattern").distinct()), "pii_totals")
     trust = edges.select("kind", "value", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("seeded")).groupBy("kind", "value").agg(F.max("seeded").alias("trust"))
-    scores = None
-    for _ in range(rounds):
+    scores, accepted = None, 0
+    while True:
         known = edges.join(trust, ["kind", "value"]).join(totals, "pattern")
         scores = known.groupBy("kind", "pattern").agg(
             (F.sum(F.col("n") * F.col("trust")) / F.max("total")).alias("score"), F.count(F.when(F.col("trust") >= min_score, 1)).alias("confident")
         )
         scores = materialize(scores.where((F.col("score") >= min_score) & (F.col("confident") >= min_instances)).select("kind", "pattern", "score"), "pii_scores")
+        # trust only grows, and with it scores and the set of accepted patterns
+        before, accepted = accepted, scores.count()
+        if accepted == before:
+            return instances, scores
         doubt = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.coalesce("score", F.lit(0.0))))))
         trust = edges.join(scores, ["kind", "pattern"], "left").groupBy("kind", "value").agg(F.max("seed").alias("s"), (1 - doubt).alias("t"))
         trust = materialize(trust.select("kind", "value", F.when(F.col("s"), 1.0).otherwise(F.col("t")).alias("trust")), "pii_trust")
-    return instances, scores
 
 
 def _spans(kind: str) -> Column:
     return F.transform(F.col(kind), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bootstrap: bool = True, rows_kept: DataFrame | None = None) -> DataFrame:
+def _learned_spans(found: DataFrame, text: DataFrame) -> DataFrame | None:
+    """(row_id, new_email, ...): the spans that learned patterns add; None without patterns."""
+    instances, patterns = learned_patterns(found, text)
+    if not patterns.head(1):
+        return None
+    new = instances.where(~F.col("seed")).join(patterns, ["kind", "pattern"], "left_semi").groupBy("row_id")
+    return new.agg(*[F.collect_set(F.when(F.col("kind") == k, F.struct("start", "end"))).alias(f"new_{k}") for k in KINDS])
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bootstrap: bool = True) -> DataFrame:
     """Per row: doc_id, base (struct with one array of spans for each kind), found (the same with
     the spans that learned patterns add) and row_id, a number of the row in this result."""
-    source = rows_kept if rows_kept is not None else docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("row_id", F.monotonically_increasing_id())
+    source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("row_id", F.monotonically_increasing_id())
     text = source.select("text")
     # written once: the numbers of rows are fixed from here on, and the texts stay behind
     found = materialize(base_matches(source, F.col("text")).drop("text"), "pii_base")
@@ -213,9 +238,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bo
     result = found.select("row_id", "doc_id", base.alias("base"))
     if not bootstrap:
         return result.withColumn("found", F.col("base"))
-    instances, patterns = learned_patterns(found, text)
-    new = instances.where(~F.col("seed")).join(patterns, ["kind", "pattern"], "left_semi").groupBy("row_id")
-    picked = new.agg(*[F.collect_set(F.when(F.col("kind") == k, F.struct("start", "end"))).alias(f"new_{k}") for k in KINDS])
+    picked = _learned_spans(found, text)
+    if picked is None:
+        return result.withColumn("found", F.col("base"))
     joined = result.join(picked, "row_id", "left")
     more = [F.array_sort(F.concat(F.col(f"base.{k}"), F.coalesce(F.col(f"new_{k}"), F.array().cast(SPANS)))).alias(k) for k in KINDS]
     return joined.select("row_id", "doc_id", "base", F.struct(*more).alias("found"))
@@ -250,13 +275,27 @@ def redacted(text: Column, found: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, with personal data replaced by its kind. The rows are
-    written with a number first, so that spans meet the row that they come from."""
-    row, spans = "__pii_row", "__pii_found"
-    kept = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "pii_docs")
-    source = kept.select(F.lit(None).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(row).alias("row_id"))
-    found = find_pii(kept, rows_kept=source)
-    found = found.where(reduce(Column.__or__, [F.size(f"found.{k}") > 0 for k in KINDS])).select(F.col("row_id").alias(row), F.col("found").alias(spans))
-    joined = kept.join(found, row, "left")
-    new_text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col(spans)))
-    return joined.withColumn(text_col, new_text).select(docs.columns)
+    """The documents, all columns, with personal data replaced by its kind. Base spans follow
+    from a row's own text; spans that learned patterns add are known by the text's digest, so
+    only rows that have some are joined, and no text is stored again."""
+    name, inner = "__pii_text", "__pii_in"
+
+    def masked(rows: DataFrame, learned: str | None) -> DataFrame:
+        # the other columns travel in a struct: their names can't clash
+        rows = rows.select(F.struct(*docs.columns).alias(inner), *([f"{learned}{k}" for k in KINDS] if learned else []))
+        rows = base_matches(rows, F.coalesce(F.col(inner)[text_col], F.lit("")), tokens=False)
+        more = {k: F.coalesce(F.col(f"{learned}{k}"), F.array().cast(SPANS)) if learned else F.array().cast(SPANS) for k in KINDS}
+        found = F.struct(*[F.concat(_spans(k), more[k]).alias(k) for k in KINDS])
+        return rows.select(*[(redacted(F.col(inner)[c], found) if c == text_col else F.col(inner)[c]).alias(c) for c in docs.columns])
+
+    digest = F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256)
+    source = docs.select(F.lit(None).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), digest.alias("row_id"))
+    found = materialize(base_matches(source, F.col("text")).drop("text"), "pii_base")
+    picked = _learned_spans(found, source.select("text"))
+    if picked is not None:
+        picked = materialize(picked.withColumnRenamed("row_id", name), "pii_learned")
+    if picked is None or not picked.head(1):
+        return masked(docs, None)
+    named = docs.withColumn(name, digest)
+    rest = masked(out_of_buckets(named, name, picked), None)
+    return rest.unionAll(masked(in_buckets(named, name, picked).join(picked, name, "left"), "new_"))

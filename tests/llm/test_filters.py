@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from chunkwise.llm import decontamination as dc
-from chunkwise.llm import pii
+from chunkwise.llm import decontamination, pii
 from chunkwise.llm import url_filter as uf
 
 
@@ -62,10 +63,12 @@ def test_leaks_are_those_within_the_edit_budget(spark):
             p = plain(item)
             if sellers(p, plain(t or "")) <= int(len(p) * 0.1):
                 want.add((d, i))
+        if " ab " in f" {plain(t or '')} ":  # too short for edits: a whole word
+            want.add((d, 99))
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
     for r in got:
         span = plain(texts[r["doc_id"]][r["start"] : r["end"]])
-        p = plain(items[r["item_id"]])
+        p = plain({**dict(enumerate(items)), 99: "ab"}[r["item_id"]])
         assert sellers(p, span) == r["edits"] <= int(len(p) * 0.1)
     assert sum(r["doc_id"] == len(texts) - 1 and r["item_id"] == 3 for r in got) == 5
     left = dc.without_leaks(docs, bench)
@@ -205,3 +208,69 @@ def test_url_rules_and_learned_verdicts(spark):
     none = uf.train(uf.labelled_by_rules(pages.limit(0), RULES))
     assert {r["verdict"] for r in uf.judge(pages.where("page_id < 3"), RULES, none).collect()} == {"allow"}
     assert uf.judge(pages.limit(0), RULES, model).count() == 0
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "What is 2 plus 2?"), (2, "Yes!"), (3, "日本の首都はどこですか"), (4, "首都"), (5, "?!")]
+    docs = [(1, "He asked: what is 2  plus 2? A: four"), (2, "yesterday"), (3, "oh yes, sure"), (4, "問題:日本の首都はどこですか。"), (5, ""), (6, None), (7, "what iss 2 plus 2")]
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert got == {(1, 1), (3, 2), (4, 3), (4, 4), (7, 1)}
+
+
+def test_repetitive_texts_take_bounded_memory(spark):
+    import tracemalloc
+
+    from chunkwise.llm.decontamination import Block, plain
+
+    block = Block.build([(1, plain("a" * 300)[0]), (2, plain("ab " * 90)[0])], 0.1, 8)
+    tracemalloc.start()
+    found = block.leaks(["a" * 1_000_000])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6 and len(found) > 3000 and {f["item_id"] for f in found} == {1}
+
+
+def test_blocks_of_the_benchmark_give_the_same(spark):
+    rows = [(i, f"{w} " * 9 + "end") for i, w in enumerate(["alpha", "beta", "gamma", "delta"])]
+    docs = spark.createDataFrame([(i, t) for i, t in rows] + [(9, "clean words only")], "doc_id long, text string")
+    items = spark.createDataFrame(rows[:3], "item_id long, text string")
+    for block_chars in (10, 4_000_000):
+        assert {r["doc_id"] for r in decontamination.without_leaks(docs, items, block_chars=block_chars).collect()} == {3, 9}
+        assert {r["doc_id"] for r in decontamination.find_leaks(docs, items, block_chars=block_chars).collect()} == {0, 1, 2}
+    assert decontamination.without_leaks(docs.limit(0), items).count() == 0
+
+
+def test_words_with_digits_are_contexts_too(spark):
+    rng = random.Random(8)
+    seeds = [(i, f"call tel2: +1 555 {rng.randint(1000000, 9999999)} now") for i in range(12)]
+    docs = spark.createDataFrame([*seeds, (50, "his tel2: 555-010-1000 is new"), (51, "room 555-010-1001 is free")], "doc_id long, text string")
+    spans = {r["doc_id"]: r["s"] for r in pii.find_pii(docs).select("doc_id", pii.span_text(F.col("found")).alias("s")).collect()}
+    assert spans[50] == "phone:10:22" and spans[51] == ""
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert masked[50] == "his tel2: <PHONE> is new" and masked[0] == "call tel2: <PHONE> now" and masked[51] == "room 555-010-1001 is free"
+    assert pii.redact(docs.limit(0)).count() == 0
+
+
+def test_patterns_are_found_over_many_rounds(spark):
+    """Each round's patterns find the identifiers that the next one's patterns are learned from."""
+    rows, n = [], 0
+
+    def add(word, value):
+        nonlocal n
+        rows.append((n, f"a b {word} {value}"))
+        n += 1
+
+    words = [f"w{'x' * level}0" for level in range(6)]
+    for k in range(6):
+        for _ in range(4):
+            add(words[0], f"+1 555 010 {k:04d}")
+    for level in range(5):
+        for k in range(6):
+            number = f"555-{level:03d}-{k:04d}"
+            add(words[level], number)  # learned from what stands four times behind this word
+            for _ in range(4):
+                add(words[level + 1], number)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r["doc_id"]: r["s"] for r in pii.find_pii(docs).select("doc_id", pii.span_text(F.col("found")).alias("s")).collect()}
+    assert all(spans[i] for i, _ in rows)

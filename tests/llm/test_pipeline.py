@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import pytest
+
 import corpus_pipeline
 from chunkwise.config import work_dir
 from chunkwise.llm import packing, queries
@@ -63,3 +65,13 @@ def test_packing_gives_the_sequences(spark, monkeypatch):
     monkeypatch.setattr(packing, "pack", lambda docs, *a, keep_ids=True, **kw: asked.append(keep_ids) or docs.withColumn("ids", docs["text"]))
     monkeypatch.setattr(queries, "table", lambda *a: docs)
     assert "ids" not in queries.op7_packing(spark, "").columns and asked == [True]
+
+
+@pytest.mark.parametrize("texts", [[], [None] * 30, ["one text that comes again"] * 30])
+def test_plain_tables_go_through(spark, texts):
+    path = work_dir(spark, "corpus")
+    write(spark, path, "documents", [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    write(spark, path, "labels", [(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    write(spark, path, "benchmark", [(1, "some item that is nowhere")], "item_id long, text string")
+    rows = corpus_pipeline.run(spark, path).collect()
+    assert all(r["length"] >= 1 for r in rows) and len({r["doc_id"] for r in rows}) <= len(texts)
