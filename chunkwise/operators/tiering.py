@@ -1,8 +1,11 @@
 """Tiering (T1-T3) and the stored chunk layout.
 
 Stored layout of a sample table: Parquet partitioned by ``metric / chunk / node``
-where ``chunk`` names the start of the chunk's time range, so a chunk of any
-width is exactly one directory per node and partition pruning is chunk exclusion.
+where ``chunk`` names start and end of the chunk's time range, so a chunk of any
+width is exactly one directory per node, chunks of different widths never share one,
+and partition pruning is chunk exclusion. The folder names are the interval index of the
+layout: ``stored_chunks`` lists it without reading a row, and a move searches it for the
+folders that its time ranges touch.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import materialize
 from .chunks import largest_chunk_one
 from .layout import MAX_RECORDS_PER_FILE, ascending, masked_sort_keys
 
@@ -22,13 +26,26 @@ LAYOUT = ["metric", "chunk", "node"]
 # --- stored layout ------------------------------------------------------------------
 
 
-def chunk_label(range_start: Column) -> Column:
-    """Folder name of the chunk that starts at ``range_start``; text that no reader takes for a number or date."""
-    return F.date_format(range_start, "'c'yyyyMMdd'T'HHmmss")
+_STAMP = "yyyyMMdd'T'HHmmss"
+
+
+def chunk_label(range_start: Column, range_end: Column) -> Column:
+    """Folder name of the chunk with this time range; text that no reader takes for a number or date."""
+    return F.concat(F.lit("c"), F.date_format(range_start, _STAMP), F.lit("_"), F.date_format(range_end, _STAMP))
+
+
+def _stamp(label: Column, at: int) -> Column:
+    known = label.rlike(r"^c[0-9]{8}T[0-9]{6}_[0-9]{8}T[0-9]{6}$")
+    return F.when(known, F.to_timestamp_ntz(F.substring(label, at, 15), F.lit(_STAMP)))
 
 
 def chunk_start(label: Column) -> Column:
-    return F.to_timestamp_ntz(label, F.lit("'c'yyyyMMdd'T'HHmmss"))
+    """Start of a folder's time range; null for a name that tells none."""
+    return _stamp(label, 2)
+
+
+def chunk_end(label: Column) -> Column:
+    return _stamp(label, 18)
 
 
 def _write_layout(rows: DataFrame, path: str, compression: str) -> None:
@@ -51,7 +68,8 @@ def store_samples(samples: DataFrame, path: str, compression: str = "zstd", ever
     # writer parallelism = shuffle partitions (size it with session.cluster_conf);
     # adaptive coalescing could only merge them and would serialise small writes
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = samples.withColumn("chunk", chunk_label(F.window("ts", every)["start"]))
+    window = F.window("ts", every)
+    rows = samples.withColumn("chunk", chunk_label(window["start"], window["end"]))
     keys = [*LAYOUT, "ts", *[c for c in ("series_id",) if c in samples.columns]]
     _write_layout(rows.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys), path, compression)
 
@@ -73,6 +91,29 @@ def chunk_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def stored_chunks(spark: SparkSession, path: str) -> DataFrame | None:
+    """The interval index of a stored layout: ``metric, chunk, node, range_start, range_end,
+    n_files, file_bytes`` of every folder, from the file listing alone. None for rows that
+    aren't stored in such folders."""
+    if not set(LAYOUT) <= set(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).columns):
+        return None
+    return chunk_files(spark, path).withColumns({"range_start": chunk_start(F.col("chunk")), "range_end": chunk_end(F.col("chunk"))})
+
+
+def touched_chunks(index: DataFrame | None, plan: DataFrame) -> DataFrame:
+    """The stored folders (any, without an index) whose time range meets that of a planned chunk, of any width, with
+    the plan's range (``_from``, ``_to``), the folder that it gets and its reorder columns."""
+    wanted = plan.select(
+        F.col("hypertable_name").alias("metric"), F.col("node_name").alias("node"), F.col("range_start").alias("_from"), F.col("range_end").alias("_to"),
+        chunk_label(F.col("range_start"), F.col("range_end")).alias("_chunk"), ascending(F.col("reorder_columns")).alias("_order"),
+    )
+    if index is None:
+        return wanted
+    # a folder that tells no range may hold any row
+    meets = F.coalesce((F.col("range_start") < F.col("_to")) & (F.col("_from") < F.col("range_end")), F.lit(True))
+    return index.select(*LAYOUT, "range_start", "range_end").join(wanted, ["metric", "node"]).where(meets).drop("range_start", "range_end")
+
+
 # --- move plan ------------------------------------------------------------------------
 
 
@@ -134,15 +175,14 @@ def _checksum(columns: list[str]) -> Column:
     return F.sum(hashes).cast("string")
 
 
-def planned_rows(tier: DataFrame, plan: DataFrame) -> DataFrame:
+def planned_rows(tier: DataFrame, touched: DataFrame) -> DataFrame:
     """Rows of the planned chunks, by table, node and time range, whatever the width of the
-    tier's folders; with the folder that the plan's chunk gets and its reorder columns."""
-    keys = plan.select(
-        F.col("hypertable_name").alias("metric"), F.col("node_name").alias("node"), F.col("range_start").alias("_from"),
-        F.col("range_end").alias("_to"), chunk_label(F.col("range_start")).alias("_chunk"), ascending(F.col("reorder_columns")).alias("_order"),
-    )
+    tier's folders; with the folder that the plan's chunk gets and its reorder columns. The
+    join is on the partition columns: only the touched folders are read."""
     inside = (F.col("ts") >= F.col("_from")) & (F.col("ts") < F.col("_to"))
-    return tier.join(keys, ["metric", "node"]).where(inside).withColumn("chunk", F.col("_chunk")).drop("_from", "_to", "_chunk")
+    # always true; partitions are pruned at run time only against a side with a condition
+    touched = touched.where(F.col("_from") < F.col("_to"))
+    return tier.join(touched, [c for c in LAYOUT if c in touched.columns]).where(inside).withColumn("chunk", F.col("_chunk")).drop("_from", "_to", "_chunk")
 
 
 def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFrame, compression: str = "zstd") -> DataFrame:
@@ -157,7 +197,8 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
     """
     hot = spark.read.parquet(hot_path)
     data = [c for c in hot.columns if c != "chunk"]
-    picked = planned_rows(hot, plan)
+    touched = materialize(touched_chunks(stored_chunks(spark, hot_path), plan), "touched_chunks")
+    picked = planned_rows(hot, touched)
     keys = masked_sort_keys(plan.select(ascending(F.col("reorder_columns")).alias("o")), F.col("_order"), data)
     order = [*[F.col(c) for c in LAYOUT], *keys, F.col("ts"), *[F.col(c) for c in ("series_id",) if c in data]]
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -166,7 +207,7 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
     def tally(rows: DataFrame, side: str) -> DataFrame:
         return rows.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias(f"rows_{side}"), _checksum(data).alias(f"sum_{side}"))
 
-    wanted = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start")).alias("chunk"), F.col("node_name").alias("node"), F.col("n_rows").alias("rows_plan"))
+    wanted = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start"), F.col("range_end")).alias("chunk"), F.col("node_name").alias("node"), F.col("n_rows").alias("rows_plan"))
     cold = read_chunks(spark, cold_path, plan)
     joined = wanted.join(tally(picked, "hot"), LAYOUT, "left").join(tally(cold, "cold"), LAYOUT, "left")
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_plan", "rows_hot", "rows_cold")]
@@ -177,7 +218,7 @@ def move_chunks(spark: SparkSession, hot_path: str, cold_path: str, plan: DataFr
 def read_chunks(spark: SparkSession, path: str, plan: DataFrame) -> DataFrame:
     """Rows of the planned chunks on the tier that they were moved to (semi join on the
     partition columns; dynamic partition pruning applies when the plan is small)."""
-    keys = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start")).alias("chunk"), F.col("node_name").alias("node"))
+    keys = plan.select(F.col("hypertable_name").alias("metric"), chunk_label(F.col("range_start"), F.col("range_end")).alias("chunk"), F.col("node_name").alias("node"))
     schema = spark.read.parquet(path).schema if _has_files(spark, path) else None
     if schema is None:
         return spark.createDataFrame([], "metric string, chunk string, node string, ts timestamp_ntz")

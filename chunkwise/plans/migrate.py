@@ -17,6 +17,7 @@ from ..functions.labels import valid_labels
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
 from ..operators.series import get_or_create_series, id_map, rejected_labels, remap_with
+from ..sources.readers import path_exists
 from ..sources.sinks import PUSH_SCHEMA, Transport, failed_requests, push_jsonl, read_text, write_insert_sql, write_jsonl
 
 
@@ -69,14 +70,16 @@ class SqlMigration:
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
-    """The target cluster's stored (labels, series_id), with all ids created so far."""
-    return spark.read.schema("labels string, series_id long").parquet(path)
+    """The target cluster's stored (labels, series_id), with all ids created so far; empty
+    before the first run."""
+    schema = "labels string, series_id long"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def migrate_sql(
     samples: DataFrame,
     series: DataFrame,
-    target_series: DataFrame | str,
+    target_series: DataFrame | str | None,
     metrics: Iterable[str],
     size: int,
     schema: str,
@@ -87,7 +90,8 @@ def migrate_sql(
 
     ``target_series`` given as a path is the stored dictionary of the target: the ids
     that this run creates are added to it before any statement is written, so the next
-    run, of this or other metrics, finds them and none is given twice.
+    run, of this or other metrics, finds them and none is given twice. A path that
+    doesn't exist yet, and None, are a target without series.
     """
     spark = samples.sparkSession
     names = list(dict.fromkeys(metrics))
@@ -97,6 +101,8 @@ def migrate_sql(
     sel_series = materialize(series.filter(F.col("metric").isin(names)))
     bad = materialize(failed_metrics(sel_series), "bad_metrics")
     good_series = sel_series.join(bad.select("metric"), "metric", "left_anti")
+    if target_series is None:
+        target_series = spark.createDataFrame([], "labels string, series_id long")
     target = read_target(spark, target_series) if isinstance(target_series, str) else target_series
     mapping, _ = get_or_create_series(good_series.select("labels"), target)
     mapping = materialize(mapping, "mapping")

@@ -26,6 +26,7 @@ def plan_moves(samples: DataFrame, tables: Iterable[str], attachments: DataFrame
     """C1 (with the age cutoff pushed to the scan) -> C9 -> T1 -> index -> plan rows."""
     old = C.chunk_inventory(samples, every=params.every, schema=params.schema, chunk_schema=params.chunk_schema,
                             older_than=params.cutoff)
+    old = materialize(old, "old_chunks")  # listing and catalog come from one pass over the samples
     # only tables with an old chunk can get a plan row: their catalog comes from the same listing
     catalog = C.hypertable_catalog(old)
     return T.move_plan(old, catalog, indexes, attachments, tables, params.schema, params.tier, params.index_tier)

@@ -236,6 +236,36 @@ def q_moved_rows_6h(spark, sf_dir):
     return _move(spark, sf_dir, "6 hours")
 
 
+def _two_widths_sql() -> str:
+    columns = "metric, series_id, user_id, ts, value, node, labels, payload"
+    week = _moved_sql("7 days").replace("SELECT p.metric,", "SELECT c.range_start, p.metric,")
+    return f"WITH week AS ({week}) SELECT '7 days' AS width, {columns} FROM week UNION ALL SELECT '1 day' AS width, {columns} FROM week WHERE ts < range_start + INTERVAL '1 day'"
+
+
+@register("moved_rows_two_widths", _two_widths_sql())
+def q_moved_rows_two_widths(spark, sf_dir):
+    """A week's chunk, then the day's chunk that starts with it, moved to one cold tier: each
+    keeps its own folder and all of its rows."""
+    samples = load_samples(spark, sf_dir)
+    cold, found = work_dir(spark, "cold"), []
+    attachments, indexes, week = attachments_df(spark, ATTACHMENTS), indexes_df(spark, INDEXES), None
+    for every in ("7 days", "1 day"):
+        params, hot = replace(PRM, every=every), work_dir(spark, "hot")
+        T.store_samples(samples, hot, every=every)
+        rows = spark.read.parquet(hot)
+        if week is not None:  # the days that the moved weeks start with
+            first = (F.col("ts") >= F.col("range_start")) & (F.col("ts") < F.col("range_start") + F.expr("INTERVAL 1 DAY"))
+            starts = week.select(F.col("hypertable_name").alias("metric"), F.col("node_name").alias("node"), "range_start")
+            rows = rows.join(starts, ["metric", "node"]).where(first).drop("range_start")
+        plan = materialize(M.plan_moves(rows, MOVE_TABLES, attachments, indexes, params), "move_plan")
+        week = plan if week is None else week
+        found.append((every, plan, T.move_chunks(spark, hot, cold, plan)))
+    if any(status.filter(~F.col("ok")).head(1) for _, _, status in found):
+        raise RuntimeError("chunks differ between plan and tiers")
+    parts = [T.read_chunks(spark, cold, plan).select(F.lit(every).alias("width"), *samples.columns) for every, plan, _ in found]
+    return parts[0].unionByName(parts[1])
+
+
 @register(
     "chunk_files",
     S.with_ctes(S.SAMPLES_CTE) + "SELECT metric, date_trunc('day', ts) AS range_start, node, count(*)::BIGINT AS n_rows, "

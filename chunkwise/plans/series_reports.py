@@ -10,16 +10,18 @@ from ..functions.scalar import epoch_ms, nan_to_null
 from ..model import load_samples, samples_from_lineitem, series_dictionary, table
 from ..operators import batches as B
 from ..operators import series as J
+from ..operators.stored_series import store_by_series, stored_remapped_samples, stored_samples_with_labels
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
 from ..sources.sinks import StubTransport, read_text, write_insert_sql
 from . import migrate as W
 from . import sql_common as S
 from .fixtures import MIGRATION_METRICS, target_series
-from .registry import register
+from .registry import REGISTRY, register
 
 PRM = Params()
 METRIC = "click"
 SIZE = PRM.batch_size
+ROWS_PER_SLOT = 1000  # small, so that the driver's tables have series in several slots
 FILTER_NAMES = ["click", "purchase", "nosuch"]
 
 SERIES_CTE = "series AS (SELECT DISTINCT series_id, metric, labels FROM samples)"
@@ -105,11 +107,22 @@ def q_series_snapshot(spark, sf_dir):
 def q_samples_with_labels(spark, sf_dir):
     """A dictionary with some series twice, their keys in another order, and some missing:
     the join doubles no sample and drops those without labels."""
+    samples, some = _some_labels(spark, sf_dir)
+    return J.samples_with_labels(samples, some).select("ts", "series_id", "metric", "value", "labels")
+
+
+def _some_labels(spark, sf_dir):
     samples, series = _series(spark, sf_dir, reused=False)
     user = F.get_json_object("labels", "$.user").cast("long")
     again = series.where(user % 2 == 1).withColumn("labels", _reversed_keys("labels"))
-    some = series.unionByName(again).where(user % 5 != 0)
-    return J.samples_with_labels(samples, some).select("ts", "series_id", "metric", "value", "labels")
+    return samples, series.unionByName(again).where(user % 5 != 0)
+
+
+@register("samples_with_labels_stored", REGISTRY["samples_with_labels"].sql)
+def q_samples_with_labels_stored(spark, sf_dir):
+    """The same from tables stored by series: the join shuffles no sample."""
+    stored = store_by_series(*_some_labels(spark, sf_dir), rows_per_slot=ROWS_PER_SLOT)
+    return stored_samples_with_labels(stored).select("ts", "series_id", "metric", "value", "labels")
 
 
 @register("distinct_series", S.with_ctes(S.SAMPLES_CTE) + f"SELECT DISTINCT series_id FROM samples WHERE metric = '{METRIC}'")
@@ -139,6 +152,13 @@ def q_remapped_samples(spark, sf_dir):
     return J.remap_samples(samples, series, mapping).select("ts", "new_series_id", "metric", "value")
 
 
+@register("remapped_samples_stored", REGISTRY["remapped_samples"].sql)
+def q_remapped_samples_stored(spark, sf_dir):
+    samples, series, mapping = _mapping(spark, sf_dir)
+    stored = store_by_series(samples, series, rows_per_slot=ROWS_PER_SLOT)
+    return stored_remapped_samples(stored, mapping).select("ts", "new_series_id", "metric", "value")
+
+
 def _created_sql(metric: str, target: str) -> str:
     """Ids above the target's largest for the metric's label sets that it lacks."""
     return (

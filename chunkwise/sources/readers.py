@@ -129,7 +129,7 @@ def metric_filter(samples: DataFrame, metrics: DataFrame, names: Iterable[str])
     return selected, status
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -146,7 +146,7 @@ def _metric_folder(spark: SparkSession, path: str, metric: str) -> str:
 
 def metric_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the ``metric=`` folders under a path, which may be missing."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return []
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)

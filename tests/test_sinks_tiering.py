@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from chunkwise.config import work_dir
+from chunkwise.config import materialize, work_dir
 from chunkwise.model import attachments_df, indexes_df, load_samples, series_dictionary
 from chunkwise.operators import chunks as C
 from chunkwise.operators import tiering as T
@@ -13,6 +13,7 @@ from chunkwise.sources.sinks import StubTransport
 from chunkwise.sources.readers import metric_filter, metrics_dictionary, read_nodes, read_table, snapshot_series
 
 from conftest import SF_SMALL
+from helpers import SAMPLE_SCHEMA
 
 CUT = dt.datetime(2024, 1, 21)
 
@@ -211,7 +212,7 @@ def test_move_of_many_planned_chunks(spark):
     rows.withColumn("chunk", F.lit("all")).write.parquet(hot)  # any folders serve: chunks are found by time
     import chunkwise.operators.tiering as tiering
 
-    tally = tiering.planned_rows(spark.read.parquet(hot), plan)
+    tally = tiering.planned_rows(spark.read.parquet(hot), tiering.touched_chunks(tiering.stored_chunks(spark, hot), plan))
     assert tally.count() == n and tally.select("metric", "chunk").distinct().count() == n
     few = plan.where("hypertable_name IN ('m1', 'm2', 'm9999')")
     status = T.move_chunks(spark, hot, cold, few).collect()
@@ -229,3 +230,44 @@ def test_incomplete_move_is_not_ok(spark):
     short = plan.withColumn("n_rows", F.col("n_rows") + 1)
     assert [r.ok for r in T.move_chunks(spark, hot, cold, short).collect()] == [False]
     assert [r.ok for r in T.move_chunks(spark, hot, cold, plan).collect()] == [True]
+
+
+def test_two_widths_keep_their_folders(spark, tmp_dir):
+    """A week's and a day's chunk that start together share no folder on the cold tier."""
+    start = dt.datetime(2024, 1, 4)
+    s = spark.createDataFrame([("click", 1, 1, start + dt.timedelta(hours=16 * i), float(i), "dn1", "{}", "p") for i in range(10)], SAMPLE_SCHEMA)
+    plans = {}
+    for days in (7, 1):
+        hot = f"{tmp_dir}/hot{days}"
+        T.store_samples(s, hot, every=f"{days} days")
+        n = s.where(F.col("ts") < F.lit(start + dt.timedelta(days=days))).count()
+        row = ("prom_data", "click", "dn1", start, start + dt.timedelta(days=days), n, None)
+        plans[days] = spark.createDataFrame([row], "hypertable_schema string, hypertable_name string, node_name string, range_start timestamp_ntz, range_end timestamp_ntz, n_rows long, reorder_columns array<string>")
+        assert T.move_chunks(spark, hot, f"{tmp_dir}/cold", plans[days]).first()["ok"]
+    assert T.read_chunks(spark, f"{tmp_dir}/cold", plans[7]).count() == 10 and T.read_chunks(spark, f"{tmp_dir}/cold", plans[1]).count() == 2
+    index = T.stored_chunks(spark, f"{tmp_dir}/cold").collect()
+    assert sorted((r["range_end"] - r["range_start"]).days for r in index) == [1, 7]
+
+
+def test_a_move_reads_only_the_folders_it_touches(spark, tmp_dir):
+    start = dt.datetime(2024, 1, 1)
+    s = spark.createDataFrame([("click", 1, 1, start + dt.timedelta(hours=6 * i), float(i), f"dn{i % 2}", "{}", "p") for i in range(80)], SAMPLE_SCHEMA)
+    T.store_samples(s, f"{tmp_dir}/hot", every="1 day")
+    row = ("prom_data", "click", "dn1", start + dt.timedelta(days=3), start + dt.timedelta(days=5), 4, None)
+    plan = spark.createDataFrame([row], "hypertable_schema string, hypertable_name string, node_name string, range_start timestamp_ntz, range_end timestamp_ntz, n_rows long, reorder_columns array<string>")
+    touched = T.touched_chunks(T.stored_chunks(spark, f"{tmp_dir}/hot"), plan)
+    assert sorted(r["chunk"] for r in touched.collect()) == ["c20240104T000000_20240105T000000", "c20240105T000000_20240106T000000"]
+    rows = T.planned_rows(spark.read.parquet(f"{tmp_dir}/hot"), materialize(touched, "touched"))
+    assert rows.count() == 4
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_first_run_against_an_empty_target(spark, tmp_dir):
+    s = load_samples(spark, SF_SMALL)
+    series = series_dictionary(s)
+    for target in (f"{tmp_dir}/target", None):
+        run = W.migrate_sql(s, series, target, ["click"], 50, "prom_data")
+        ids = [r["series_id"] for r in run.new_target.collect()]
+        assert sorted(ids) == list(range(1, len(ids) + 1)) and run.status.first()["state"] == "ok"
+    again = W.migrate_sql(s, series, f"{tmp_dir}/target", ["click"], 50, "prom_data")
+    assert not again.mapping.filter("created").head(1)
