@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, resident
+from .common import WordCache, resident, short_batches
 
 # White space of Unicode, and the word rule of byte-level vocabularies.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -329,6 +329,7 @@ def ids_digest(ids: Column) -> Column:
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", special: bool = True) -> DataFrame:
     """Per document: doc_id, ids."""
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.select("doc_id", encode(F.col("text"), tokenizer_file, special).alias("ids"))
 
