@@ -11,37 +11,80 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import materialize
 from ..functions.scalar import double_text, epoch_ms, nan_to_null, sql_quote
 from .series import one_label_set
+from .slices import ROWS_PER_SLICE, slice_bounds, slice_number
 
 
-def with_batches(df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, out: str = "batch") -> DataFrame:
-    """B1: ``batch = (row_number() over (partition by key order by order) - 1) div size``.
+def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, rows_per_slice: int) -> tuple[DataFrame, bool]:
+    """``df`` with ``_slice``, ``_n`` (the row's number in its key, from 0) and, if the rows
+    take more than one slice (the second result), the run's ``_start``, ``_end`` and
+    ``_total`` (rows of the key before the run, up to its end, in all).
 
-    The rows are written once, range-partitioned and sorted on (key, order), with their
-    number in the partition; so a huge key spreads over many tasks, however its rows
-    lie in time. Counts per (key, partition) give each run of a key its offset, and
-    batch numbers follow by arithmetic. ``order`` should make the order total; rows with
-    a null key form a group like any other, null order values come first.
+    A run is the part of a key in one slice of (key, order). Runs are counted from the key
+    and order columns alone; each count enters the shuffle of the rows as one marker row in
+    front of its run, so a running sum numbers the rows where they are: no join, and the
+    rows are shuffled once, by (key, slice).
     """
     if size < 1:
         raise ValueError("size must be >= 1")
     if not order:
         raise ValueError("order must name a column")
     key, columns = list(key), list(dict.fromkeys([*key, *order]))
-    rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("_m", F.monotonically_increasing_id())
-    # the number's upper bits are the partition, its lower 33 the row in it
-    rows = materialize(rows.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m"), "sorted_rows")
-    runs = rows.groupBy(*key, "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
-    before = Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    runs = runs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], F.col("_p").alias("_q"), offset.alias("_off"))
-    same = F.col("_p") == F.col("_q")
-    for i, c in enumerate(key):
-        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    number = F.floor((F.col("_off") + F.col("_i")) / F.lit(size)).cast("long")
-    return rows.join(runs, same).withColumn(out, number).select(*df.columns, out)
+    bounds = slice_bounds(df, columns, rows_per_slice)
+    rows = df.withColumn("_slice", slice_number(df, columns, bounds))
+    running = Window.partitionBy(*key, "_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if bounds is None:  # every key is one run that starts at 0
+        return rows.withColumn("_n", F.sum(F.lit(1)).over(running.orderBy(*order)) - 1), False
+    runs = rows.groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    of_key = Window.partitionBy(*key)
+    upto = of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum("_rows").over(upto)
+    markers = runs.select(
+        *key, "_slice", (end - F.col("_rows") - 1).alias("_w"), (end - F.col("_rows")).alias("_start"),
+        end.alias("_end"), F.sum("_rows").over(of_key).alias("_total"),
+    ).withColumn("_row", F.lit(False))
+    both = rows.withColumn("_w", F.lit(1).cast("long")).withColumn("_row", F.lit(True)).unionByName(markers, allowMissingColumns=True)
+    running = running.orderBy("_row", *order)
+    numbered = both.withColumns(
+        {"_n": F.sum("_w").over(running), **{c: F.max(c).over(running) for c in ("_start", "_end", "_total")}}
+    )
+    return numbered.where("_row").drop("_w", "_row"), True
+
+
+def with_batches(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, out: str = "batch", rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """B1: ``batch = (row_number() over (partition by key order by order) - 1) div size``.
+
+    A huge key spreads over as many tasks as it has slices, however its rows lie in time.
+    ``order`` should make the order total: rows that agree in all of it share a slice. Rows
+    with a null key form a group like any other, null order values come first.
+    """
+    numbered, _ = _numbered(df, key, order, size, rows_per_slice)
+    return numbered.select(*df.columns, F.floor(F.col("_n") / F.lit(size)).cast("long").alias(out))
+
+
+def batch_groups(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """(key, batch, rows): each batch's rows as an array of ``order`` structs in that order.
+
+    Batches that lie inside one run are complete where the rows were sorted. Only the first
+    and last batch of a run that was cut from its key go through a second, small shuffle,
+    where the parts of neighbouring runs meet: at most ``size`` rows a batch, two a run.
+    """
+    key = list(key)
+    numbered, cut = _numbered(df.select(*dict.fromkeys([*key, *order])), key, order, size, rows_per_slice)
+    numbered = numbered.withColumn("batch", F.floor(F.col("_n") / F.lit(size)).cast("long"))
+    rows = F.array_sort(F.collect_list(F.struct(*order))).alias("rows")
+    if not cut:
+        return numbered.groupBy(*key, "_slice", "batch").agg(rows).drop("_slice")
+    last = F.least((F.col("batch") + 1) * size, F.col("_total"))
+    whole = (F.col("batch") * size >= F.col("_start")) & (last <= F.col("_end"))
+    inside = numbered.where(whole).groupBy(*key, "_slice", "batch").agg(rows).drop("_slice")
+    border = numbered.where(~whole).groupBy(*key, "batch").agg(rows)
+    return inside.unionByName(border)
 
 
 def batch_plan(samples: DataFrame, size: int, key: str = "metric") -> DataFrame:
@@ -51,23 +94,18 @@ def batch_plan(samples: DataFrame, size: int, key: str = "metric") -> DataFrame:
     )
 
 
-def batch_records(samples: DataFrame, series: DataFrame, size: int) -> DataFrame:
+def batch_records(samples: DataFrame, series: DataFrame, size: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Per (series, batch) the labels and parallel arrays of values and
     millisecond timestamps in time order.
 
     Labels are joined after grouping, on the much smaller batch table; that
     inner join also drops the batches of series without labels.
     """
-    rows = samples.select("series_id", "ts", "value")
-    batched = with_batches(rows, ["series_id"], ["ts", "value"], size)
-    grouped = batched.groupBy("series_id", "batch").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("ts").alias("t"), F.col("value").alias("v")))).alias("_p")
-    )
-    recs = grouped.select(
+    recs = batch_groups(samples, ["series_id"], ["ts", "value"], size, rows_per_slice).select(
         "series_id",
         "batch",
-        F.transform("_p", lambda p: nan_to_null(p["v"])).alias("values"),
-        F.transform("_p", lambda p: epoch_ms(p["t"])).alias("timestamps"),
+        F.transform("rows", lambda r: nan_to_null(r["value"])).alias("values"),
+        F.transform("rows", lambda r: epoch_ms(r["ts"])).alias("timestamps"),
     )
     return recs.join(one_label_set(series), "series_id")
 
@@ -96,20 +134,17 @@ def sql_tuple(ts: Column, value: Column, series_id: Column) -> Column:
     )
 
 
-def insert_statements(rows: DataFrame, size: int, schema: str, id_col: str = "new_series_id") -> DataFrame:
+def insert_statements(
+    rows: DataFrame, size: int, schema: str, id_col: str = "new_series_id", rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """S9 body: ``INSERT INTO schema."metric" values (...), (...);`` per (metric, batch)
     of at most ``size`` rows, tuples in time order."""
-    batched = with_batches(rows, ["metric"], ["ts", "value", id_col], size)
-    grouped = batched.groupBy("metric", "batch").agg(
-        F.array_sort(
-            F.collect_list(F.struct("ts", "value", id_col, sql_tuple(F.col("ts"), F.col("value"), F.col(id_col)).alias("txt")))
-        ).alias("_r")
-    )
+    grouped = batch_groups(rows, ["metric"], ["ts", "value", id_col], size, rows_per_slice)
     target = F.concat(
         F.lit(schema + '."'), F.replace(F.col("metric"), F.lit('"'), F.lit('""')), F.lit('"')
     )
     stmt = F.concat(
         F.lit("INSERT INTO "), target, F.lit(" values "),
-        F.array_join(F.transform("_r", lambda r: r["txt"]), ", "), F.lit(";"),
+        F.array_join(F.transform("rows", lambda r: sql_tuple(r["ts"], r["value"], r[id_col])), ", "), F.lit(";"),
     )
-    return grouped.select("metric", "batch", F.size("_r").cast("long").alias("n"), stmt.alias("statement"))
+    return grouped.select("metric", "batch", F.size("rows").cast("long").alias("n"), stmt.alias("statement"))

@@ -22,6 +22,7 @@ PRM = Params()
 METRIC = "click"
 SIZE = PRM.batch_size
 ROWS_PER_SLOT = 1000  # small, so that the driver's tables have series in several slots
+ROWS_PER_SLICE = 2000  # likewise: keys cut into several runs
 FILTER_NAMES = ["click", "purchase", "nosuch"]
 
 SERIES_CTE = "series AS (SELECT DISTINCT series_id, metric, labels FROM samples)"
@@ -200,9 +201,9 @@ def q_series_batches(spark, sf_dir):
     "(PARTITION BY metric ORDER BY ts, value, series_id) - 1) // 1000 AS batch FROM li_samples",
 )
 def q_lineitem_batches(spark, sf_dir):
-    """One metric whose times are all midnights."""
+    """One metric whose times are all midnights, cut into many slices."""
     samples = samples_from_lineitem(table(spark, sf_dir, "lineitem")).select("metric", "ts", "value", "series_id")
-    return B.with_batches(samples, ["metric"], ["ts", "value", "series_id"], 1000)
+    return B.with_batches(samples, ["metric"], ["ts", "value", "series_id"], 1000, rows_per_slice=ROWS_PER_SLICE)
 
 
 @register(
@@ -214,15 +215,14 @@ def q_batch_plan(spark, sf_dir):
     return B.batch_plan(load_samples(spark, sf_dir), SIZE)
 
 
-@register(
-    "batch_records",
+_RECORDS_SQL = (
     SERIES_BASE + BATCHED_CTE + RECORDS_CTE + " SELECT r.series_id, r.batch, r.n, r.first_ms, r.last_ms, to_json(r.vals)::VARCHAR AS values_text, d.labels "
-    "FROM records r JOIN series d USING (series_id)",
+    "FROM records r JOIN series d USING (series_id)"
 )
-def q_batch_records(spark, sf_dir):
-    samples, series = _series(spark, sf_dir, reused=False)
-    recs = B.batch_records(samples, series, SIZE)
-    return recs.select(
+
+
+def _record_columns(records):
+    return records.select(
         "series_id",
         "batch",
         F.size("timestamps").cast("long").alias("n"),
@@ -233,6 +233,19 @@ def q_batch_records(spark, sf_dir):
     )
 
 
+@register("batch_records", _RECORDS_SQL)
+def q_batch_records(spark, sf_dir):
+    samples, series = _series(spark, sf_dir, reused=False)
+    return _record_columns(B.batch_records(samples, series, SIZE))
+
+
+@register("batch_records_stitched", _RECORDS_SQL)
+def q_batch_records_stitched(spark, sf_dir):
+    """Series cut by many slices: batches that cross a border are put together from parts."""
+    samples, series = _series(spark, sf_dir, reused=False)
+    return _record_columns(B.batch_records(samples, series, SIZE, rows_per_slice=ROWS_PER_SLICE // 10))
+
+
 @register(
     "jsonl_export",
     SERIES_BASE + BATCHED_CTE + RECORDS_CTE + " SELECT r.series_id, r.batch, '{\"metric\":' || d.labels || "
