@@ -24,7 +24,7 @@ from .operators import placement as P
 
 COMMANDS = [
     "inventory", "stream-inventory", "distribution", "sizes", "old-chunks", "new-chunks", "largest-old", "placement",
-    "alignment", "move", "migrate-sql", "migrate-jsonl",
+    "alignment", "move", "migrate-sql", "migrate-jsonl", "push",
 ]
 
 
@@ -69,7 +69,8 @@ def main(argv=None) -> None:
     ap.add_argument("--batch", type=int, default=10_000)
     ap.add_argument("--metric", action="append", default=[], help="metric / table name (repeatable)")
     ap.add_argument("--target-series", help="Parquet folder of the target cluster's (labels, series_id); created ids are added to it")
-    ap.add_argument("--transport", help="module:callable that sends lines to the metrics store (migrate-jsonl)")
+    ap.add_argument("--transport", help="module:callable that sends lines to the metrics store (migrate-jsonl, push)")
+    ap.add_argument("--resume", action="store_true", help="do only what an earlier run into --out left undone (migrate-sql, migrate-jsonl)")
     ap.add_argument("--hot", help="stored hot tier (move)")
     ap.add_argument("--cold", help="cold tier folder (move)")
     ap.add_argument("--attachments", help="JSON list of [table, tier]")
@@ -94,6 +95,15 @@ def main(argv=None) -> None:
         _write(run.plan, f"{args.out}/plan")
         _write(run.status, f"{args.out}/status")
         return
+    if args.command == "push":  # lines that migrate-jsonl wrote into --out, without the export
+        from .sources.ledger import push_pending
+        from .sources.sinks import read_text
+
+        if not args.transport:
+            raise SystemExit("push needs --transport")
+        lines = read_text(spark, f"{args.out}/lines", args.metric or None).select("metric", F.col("value").alias("line"))
+        _write(push_pending(lines, _transport(args.transport), f"{args.out}/lines_push_ledger"), f"{args.out}/push_status")
+        return
     if args.command == "alignment":
         from .operators.compression import compression_ddl
         from .plans.alignment import align_compression
@@ -135,12 +145,12 @@ def main(argv=None) -> None:
     elif args.command == "migrate-sql":
         from .plans.migrate import migrate_sql
 
-        run = migrate_sql(samples, series_dictionary(samples), args.target_series, args.metric, prm.batch_size, prm.schema, f"{args.out}/statements")
+        run = migrate_sql(samples, series_dictionary(samples), args.target_series, args.metric, prm.batch_size, prm.schema, f"{args.out}/statements", resume=args.resume)
         _write(run.status, f"{args.out}/status")
     elif args.command == "migrate-jsonl":
         from .plans.migrate import migrate_jsonl
 
-        run = migrate_jsonl(samples, series_dictionary(samples), args.metric, prm.batch_size, f"{args.out}/lines", _transport(args.transport))
+        run = migrate_jsonl(samples, series_dictionary(samples), args.metric, prm.batch_size, f"{args.out}/lines", _transport(args.transport), resume=args.resume)
         _write(run.status, f"{args.out}/status")
 
 

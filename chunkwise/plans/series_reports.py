@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ..config import Params, materialize, work_dir
@@ -12,7 +14,9 @@ from ..operators import batches as B
 from ..operators import series as J
 from ..operators.stored_series import store_by_series, stored_remapped_samples, stored_samples_with_labels
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
+from ..sources.ledger import METRIC_LEDGER, push_pending, read_ledger
 from ..sources.sinks import StubTransport, read_text, write_insert_sql
+from ..sources.target_store import allocate_series, read_target
 from . import migrate as W
 from . import sql_common as S
 from .fixtures import MIGRATION_METRICS, target_series
@@ -183,7 +187,27 @@ def q_get_or_create_two_runs(spark, sf_dir):
     target_series(series).write.parquet(path)
     for metric in ("click", "view"):
         W.migrate_sql(samples, series, path, [metric], SIZE, PRM.schema)
-    return W.read_target(spark, path)
+    return read_target(spark, path)
+
+
+@register(
+    "get_or_create_at_once",
+    MAPPING_BASE.rstrip() + ", wanted_now AS (SELECT DISTINCT labels FROM series WHERE metric IN ('click', 'view')), "
+    "known AS (SELECT labels FROM target UNION SELECT labels FROM wanted_now) "
+    "SELECT (SELECT count(*) FROM known)::BIGINT AS n_labels, (SELECT count(*) FROM known)::BIGINT AS n_ids, "
+    "((SELECT max(series_id) FROM target) + (SELECT count(*) FROM wanted_now WHERE labels NOT IN (SELECT labels FROM target)))::BIGINT AS last_id",
+)
+def q_get_or_create_at_once(spark, sf_dir):
+    """Two runs allocate ids in one stored target at the same time: every label set has one
+    id, no id is given twice and none is left out."""
+    _, series = _series(spark, sf_dir)
+    path = work_dir(spark, "target")
+    target_series(series).write.parquet(path)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda m: allocate_series(spark, series.where(F.col("metric") == m), path), ("click", "view")))
+    return read_target(spark, path).agg(
+        F.countDistinct("labels").alias("n_labels"), F.countDistinct("series_id").alias("n_ids"), F.max("series_id").alias("last_id")
+    )
 
 
 # --- batches and exports -----------------------------------------------------------------
@@ -356,6 +380,42 @@ def q_push_status(spark, sf_dir):
     return sent.join(keys, "metric")
 
 
+@register(
+    "push_two_runs",
+    SERIES_BASE.rstrip() + _FLOW_CTES + f" SELECT metric, n_lines AS sent_first, CASE WHEN metric = '{_REJECTED}' THEN n_lines ELSE 0 END::BIGINT "
+    f"AS refused_first, CASE WHEN metric = '{_REJECTED}' THEN n_lines ELSE 0 END::BIGINT AS sent_second FROM lines JOIN names USING (metric)",
+)
+def q_push_two_runs(spark, sf_dir):
+    """The store refuses a metric at first; the second push sends exactly the refused lines."""
+    samples, series = _flow(spark, sf_dir)
+    path, ledger = work_dir(spark, "jsonl"), work_dir(spark, "push_ledger")
+    lines = W.migrate_jsonl(samples, series, MIGRATION_METRICS, SIZE, path).lines
+    first = push_pending(lines, _refuse, ledger, lines_per_request=100)
+    second = push_pending(lines, StubTransport(), ledger, lines_per_request=100)
+    refused = F.when(F.col("status").between(200, 299), 0).otherwise(F.col("n_lines"))
+    sums = first.groupBy("metric").agg(F.sum("n_lines").alias("sent_first"), F.sum(refused).cast("long").alias("refused_first"))
+    again = second.groupBy("metric").agg(F.sum("n_lines").alias("sent_second"))
+    return sums.join(again, "metric", "left").select("metric", "sent_first", "refused_first", F.coalesce("sent_second", F.lit(0)).cast("long").alias("sent_second"))
+
+
+@register(
+    "migration_resumed",
+    SERIES_BASE.rstrip() + _FLOW_CTES + f" SELECT n.metric, CASE WHEN n.metric = '{_REJECTED}' THEN 'failed' ELSE 'ok' END AS state_first, 'ok' AS state_second, "
+    f"coalesce(o.rows_out, 0)::BIGINT AS rows_out, CASE WHEN n.metric = '{_REJECTED}' THEN 2 ELSE 1 END::BIGINT AS n_writes FROM names n LEFT JOIN outs o USING (metric)",
+)
+def q_migration_resumed(spark, sf_dir):
+    """One metric's values can't be read in the first run; the second writes that metric only."""
+    samples, series = _flow(spark, sf_dir)
+    path, target = work_dir(spark, "statements"), work_dir(spark, "target")
+    broken = F.when(F.col("metric") == _REJECTED, F.raise_error(F.lit("unreadable")).cast("double")).otherwise(F.col("value"))
+    first = W.migrate_sql(samples.withColumn("value", broken), series, target, MIGRATION_METRICS, SIZE, PRM.schema, path)
+    state_first = materialize(first.status.select("metric", F.col("state").alias("state_first")), "first")
+    second = W.migrate_sql(samples, series, target, MIGRATION_METRICS, SIZE, PRM.schema, path, resume=True)
+    entries = read_ledger(spark, f"{path}/_ledger", METRIC_LEDGER).groupBy("metric").agg(F.count(F.lit(1)).alias("n_writes"))
+    status = second.status.select("metric", F.col("state").alias("state_second"), "rows_out")
+    return state_first.join(status, "metric").join(entries, "metric")
+
+
 # --- scalar functions over the samples ------------------------------------------------
 
 
