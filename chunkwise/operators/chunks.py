@@ -70,10 +70,11 @@ def chunk_inventory(
     return chunks
 
 
-def chunk_groups(rows: DataFrame, every: str) -> DataFrame:
+def chunk_groups(rows: DataFrame, every: str, *more: str) -> DataFrame:
     """(metric, node, bucket ``w``) -> n_rows, toast_bytes: the aggregate under C1
-    (also used by the streaming inventory, where it is the stateful part)."""
-    return rows.groupBy("metric", "node", F.window("ts", every).alias("w")).agg(
+    (also used by the streaming inventory, where it is the stateful part); ``more`` keys
+    split the groups further (by file, for the refreshed catalog)."""
+    return rows.groupBy(*more, "metric", "node", F.window("ts", every).alias("w")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).cast("long").alias("toast_bytes"),
     )

@@ -15,24 +15,19 @@ from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import materialize
 from ..operators.series import get_or_create_series
 from .readers import drop_folder, path_exists
+from .versions import claim_version, list_versions, version_number
 
 TARGET_SCHEMA = "labels string, series_id long"
 
 
 def target_versions(spark: SparkSession, path: str) -> list[str]:
     """Folders of the committed versions, oldest first."""
-    added = f"{path.rstrip('/')}/_added"
-    if not path_exists(spark, added):
-        return []
-    folder = spark._jvm.org.apache.hadoop.fs.Path(added)
-    entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-    return sorted(e.getPath().toString() for e in entries if e.getPath().getName().isdigit())
+    return list_versions(spark, f"{path.rstrip('/')}/_added")
 
 
 def read_target(spark: SparkSession, path: str, versions: list[str] | None = None) -> DataFrame:
@@ -47,21 +42,7 @@ def read_target(spark: SparkSession, path: str, versions: list[str] | None = Non
 
 def _claim(spark: SparkSession, aside: str, path: str, version: int) -> bool:
     """Make the rows written aside version ``version``; False if another run has it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    added = hadoop.Path(f"{path.rstrip('/')}/_added")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    added.getFileSystem(conf).mkdirs(added)
-    context = hadoop.FileContext.getFileContext(added.toUri(), conf)
-    flags = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    flags[0] = getattr(hadoop, "Options$Rename").NONE
-    try:
-        context.rename(hadoop.Path(aside), hadoop.Path(added, f"{version:012d}"), flags)
-    except Py4JJavaError as e:
-        name = e.java_exception.getClass().getSimpleName()
-        if name == "FileAlreadyExistsException" or path_exists(spark, f"{added.toString()}/{version:012d}"):
-            return False
-        raise
-    return True
+    return claim_version(spark, aside, f"{path.rstrip('/')}/_added", version)
 
 
 def _publish(created: DataFrame, path: str) -> None:
@@ -97,8 +78,7 @@ def allocate_series(spark: SparkSession, labels: DataFrame, path: str, attempts:
             return mapping
         aside = f"{path.rstrip('/')}/_aside_{uuid.uuid4().hex}"
         created.write.parquet(aside)
-        last = int(versions[-1].rsplit("/", 1)[-1]) if versions else 0
-        if _claim(spark, aside, path, last + 1):
+        if _claim(spark, aside, path, version_number(versions) + 1):
             _publish(created, path)
             return mapping
         drop_folder(spark, aside)
