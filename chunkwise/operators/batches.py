@@ -134,17 +134,19 @@ def sql_tuple(ts: Column, value: Column, series_id: Column) -> Column:
     )
 
 
+def insert_opening(schema: str, metric: Column) -> Column:
+    """What a statement for the metric's table starts with."""
+    return F.concat(F.lit("INSERT INTO " + schema + '."'), F.replace(metric, F.lit('"'), F.lit('""')), F.lit('" values '))
+
+
 def insert_statements(
     rows: DataFrame, size: int, schema: str, id_col: str = "new_series_id", rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """S9 body: ``INSERT INTO schema."metric" values (...), (...);`` per (metric, batch)
     of at most ``size`` rows, tuples in time order."""
     grouped = batch_groups(rows, ["metric"], ["ts", "value", id_col], size, rows_per_slice)
-    target = F.concat(
-        F.lit(schema + '."'), F.replace(F.col("metric"), F.lit('"'), F.lit('""')), F.lit('"')
-    )
     stmt = F.concat(
-        F.lit("INSERT INTO "), target, F.lit(" values "),
+        insert_opening(schema, F.col("metric")),
         F.array_join(F.transform("rows", lambda r: sql_tuple(r["ts"], r["value"], r[id_col])), ", "), F.lit(";"),
     )
     return grouped.select("metric", "batch", F.size("rows").cast("long").alias("n"), stmt.alias("statement"))

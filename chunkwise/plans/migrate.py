@@ -19,6 +19,7 @@ from ..functions.labels import valid_labels
 from ..functions.scalar import is_non_finite
 from ..operators.batches import batch_records, insert_statements, json_lines
 from ..operators.series import get_or_create_series, id_map, rejected_labels, remap_with
+from ..operators.statements import rows_checksum, statement_tally
 from ..sources.ledger import enter_metrics, finished_metrics, push_pending
 from ..sources.sinks import PUSH_SCHEMA, Transport, failed_requests, push_jsonl, read_text, write_insert_sql, write_jsonl
 from ..sources.target_store import TARGET_SCHEMA, allocate_series, read_target
@@ -74,22 +75,32 @@ def migration_status(
     (``written``: metric, rows_out, more counts); samples whose series has no labels;
     non-finite values (sent as NaN text / null); bad label texts; and ``state``: failed for
     a metric with bad labels or rows neither written nor accounted for, else ok. A metric
-    in ``errors`` failed while it was written: its counts are 0, its values aren't read."""
+    in ``errors`` failed while it was written: its counts are 0, its values aren't read.
+
+    With the target ids in ``known`` (``new_series_id``) and a ``checksum`` of what was
+    written, the rows' contents are compared as well, in the same pass over the samples:
+    a metric whose times, values or ids differ is failed, and so is one with
+    ``n_damaged`` texts that aren't fully read."""
     errors = list(errors)
     if errors:
         selected = selected.where(~F.col("metric").isin(errors))
-    j = selected.select("metric", "series_id", "value").join(known.select("series_id", F.lit(True).alias("_k")), "series_id", "left")
+    ids = [c for c in ("new_series_id",) if c in known.columns]
+    j = selected.select("metric", "series_id", "ts", "value").join(known.select("series_id", F.lit(True).alias("_k"), *ids), "series_id", "left")
+    sums = [rows_checksum(F.col("ts"), F.col("value"), F.col(c), F.col(c).isNotNull()).alias("checksum_in") for c in ids]
     stats = j.groupBy("metric").agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count(F.when(F.col("_k").isNull(), F.lit(1))).alias("n_missing_labels"),
         F.count(F.when(is_non_finite("value"), F.lit(1))).alias("n_non_finite"),
+        *sums,
     )
-    more = [c for c in written.columns if c not in ("metric", "rows_out")]
+    more = [c for c in written.columns if c not in ("metric", "rows_out", "checksum")]
     out = _names_df(selected, names).join(stats, "metric", "left").join(written, "metric", "left").join(bad, "metric", "left")
-    out = out.select("metric", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (*COUNTS, *more)])
-    done = (F.col("n_bad_labels") == 0) & (F.col("rows_out") + F.col("n_missing_labels") == F.col("rows_in"))
+    equal = F.col("checksum_in").eqNullSafe(F.col("checksum")) if ids and "checksum" in written.columns else F.lit(True)
+    out = out.select("metric", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (*COUNTS, *more)], equal.alias("_equal"))
+    done = F.col("_equal") & (F.col("n_bad_labels") == 0) & (F.col("rows_out") + F.col("n_missing_labels") == F.col("rows_in"))
+    done = done & (F.col("n_damaged") == 0) if "n_damaged" in more else done
     done = done & ~F.col("metric").isin(errors) if errors else done
-    return out.withColumn("state", F.when(done, "ok").otherwise("failed"))
+    return out.withColumn("state", F.when(done, "ok").otherwise("failed")).drop("_equal")
 
 
 @dataclass
@@ -130,7 +141,9 @@ def migrate_sql(
 
     A metric that fails while it is written is reported (``errors``, state failed) and the
     others go on; with ``resume``, metrics that an earlier run into ``path`` finished stay
-    as they are and only the rest is written.
+    as they are and only the rest is written. The status reads all listed metrics' files
+    back and compares every row in them with the samples, so files that were damaged after
+    an earlier run show as failed too; a run without ``resume`` writes them anew.
     """
     spark = samples.sparkSession
     names = list(dict.fromkeys(metrics))
@@ -157,12 +170,12 @@ def migrate_sql(
             spark, names, f"{path.rstrip('/')}/_ledger", resume,
             lambda part: write_insert_sql(insert_statements(remapped.where(F.col("metric").isin(part)), size, schema), path, part),
         )
-        # one tuple per row; quotes inside a tuple's texts are doubled, so its opening is unique
-        rows = (F.length("value") - F.length(F.replace("value", F.lit("(TIMESTAMPTZ '"), F.lit("")))) / F.lit(len("(TIMESTAMPTZ '"))
-        written = read_text(spark, path, names).groupBy("metric").agg(F.sum(rows).cast("long").alias("rows_out"), F.count(F.lit(1)).alias("n_statements"))
+        written = statement_tally(read_text(spark, path, names), schema)
+        known = sel_series.select("series_id").distinct().join(ids, "series_id", "left")
     else:
         written = remapped.groupBy("metric").agg(F.count(F.lit(1)).alias("rows_out"))
-    run.status = migration_status(selected, sel_series, bad, names, written, run.errors)
+        known = sel_series
+    run.status = migration_status(selected, known, bad, names, written, run.errors)
     return run
 
 

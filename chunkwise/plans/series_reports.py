@@ -12,6 +12,7 @@ from ..functions.scalar import epoch_ms, nan_to_null
 from ..model import load_samples, samples_from_lineitem, series_dictionary, table
 from ..operators import batches as B
 from ..operators import series as J
+from ..operators.statements import rows_checksum, statement_rows, statement_tally
 from ..operators.stored_series import store_by_series, stored_remapped_samples, stored_samples_with_labels
 from ..sources.readers import metric_filter, metrics_dictionary, snapshot_series
 from ..sources.ledger import METRIC_LEDGER, push_pending, read_ledger
@@ -317,6 +318,36 @@ def q_insert_sql_files(spark, sf_dir):
     return read_text(spark, path).groupBy("metric").agg(F.count(F.lit(1)).alias("n_statements"), F.sum(tuples).cast("long").alias("n_rows"))
 
 
+@register("insert_sql_values", REGISTRY["remapped_samples"].sql)
+def q_insert_sql_values(spark, sf_dir):
+    """The rows that the written statements insert, parsed from the files."""
+    samples, series, mapping = _mapping(spark, sf_dir)
+    path = work_dir(spark, "sql")
+    write_insert_sql(B.insert_statements(J.remap_samples(samples, series, mapping), SIZE, PRM.schema), path)
+    return statement_rows(read_text(spark, path)).select("ts", "new_series_id", "metric", "value")
+
+
+@register(
+    "statements_checked",
+    MAPPING_BASE + f"SELECT metric, count(*)::BIGINT AS rows_out, 0::BIGINT AS n_damaged, metric <> '{METRIC}' AS same_rows "
+    "FROM samples JOIN mapping USING (labels) GROUP BY metric",
+)
+def q_statements_checked(spark, sf_dir):
+    """Written statements against the samples, after two rows of one metric have changed ids
+    with each other: the counts stay as they were, the contents don't."""
+    samples, series, mapping = _mapping(spark, sf_dir)
+    rows = J.remap_samples(samples, series, mapping)
+    path = work_dir(spark, "sql")
+    ends = rows.where(F.col("metric") == METRIC).agg(F.min("new_series_id").alias("lo"), F.max("new_series_id").alias("hi")).first()
+    given = F.col("new_series_id")
+    swapped = F.when(given == ends["lo"], ends["hi"]).when(given == ends["hi"], ends["lo"]).otherwise(given)
+    changed = rows.withColumn("new_series_id", F.when(F.col("metric") == METRIC, swapped).otherwise(given))
+    write_insert_sql(B.insert_statements(changed, SIZE, PRM.schema), path)
+    expected = rows.groupBy("metric").agg(rows_checksum(F.col("ts"), F.col("value"), given).alias("expected"))
+    found = statement_tally(read_text(spark, path), PRM.schema).join(expected, "metric")
+    return found.select("metric", "rows_out", "n_damaged", F.col("checksum").eqNullSafe(F.col("expected")).alias("same_rows"))
+
+
 # the flows below run with a dictionary that lacks some series
 _LACKING = "user_id % 7 <> 0"
 _FLOW_CTES = (
@@ -348,7 +379,7 @@ _refuse = StubTransport(failing_metrics=[_REJECTED])
 def q_migration_status(spark, sf_dir):
     samples, series = _flow(spark, sf_dir)
     run = W.migrate_sql(samples, series, target_series(series), MIGRATION_METRICS, SIZE, PRM.schema, work_dir(spark, "sql"))
-    return run.status.drop("n_statements")
+    return run.status.drop("n_statements", "n_damaged")
 
 
 @register(
