@@ -38,7 +38,7 @@ Extra columns of the input are never read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import materialize
 
-from .common import clean_after, drop_ids, in_buckets, resident
+from .common import clean_after, drop_ids, give_back, in_buckets, resident
 from .components import connected_components, roots
 
 HASHES, TREES, FIRST_DEPTH = 128, 32, 4
@@ -114,47 +114,76 @@ def sketch(text: Column, shingle: int) -> Column:
     return make(F.coalesce(text, F.lit("")))
 
 
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets])))
+
+
 def keyed_set(text: Column, shingle: int) -> Column:
     """struct(key, elements) of the set, in full."""
 
     @F.arrow_udf("struct<key:binary,elements:array<bigint>>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in clean_after(batches):
-            keys, sets = [], []
-            for value in batch:
-                elements = shingle_set(value.as_py() or "", shingle)
-                keys.append(_key(elements))
-                sets.append(elements.astype(np.int64))
-            offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets])))
-            yield pa.StructArray.from_arrays([pa.array(keys, pa.binary()), lists], ["key", "elements"])
+            sets = [shingle_set(value.as_py() or "", shingle) for value in batch]
+            keys = pa.array([_key(elements) for elements in sets], pa.binary())
+            yield pa.StructArray.from_arrays([keys, _lists([elements.astype(np.int64) for elements in sets])], ["key", "elements"])
 
     return make(F.coalesce(text, F.lit("")))
 
 
+def set_of_key(text: Column, key: Column, shingle: int) -> Column:
+    """The elements of the set, in full; empty if its key isn't ``key``. Needs a column from
+    each side of a join, so it is computed for the joined rows alone."""
+
+    @F.arrow_udf("array<bigint>")
+    def make(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, keys in clean_after(batches):
+            sets = [shingle_set(value.as_py() or "", shingle) for value in texts]
+            yield _lists([(e if _key(e) == k else e[:0]).astype(np.int64) for e, k in zip(sets, keys.to_pylist(), strict=True)])
+
+    return make(F.coalesce(text, F.lit("")), key)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
 
 
+def _region_hashes(sig: pa.Array, trees: np.ndarray, depth: int) -> np.ndarray:
+    """For each node (a row) and each of its ``trees`` the hash of the first ``depth`` values."""
+    values = _matrix(sig).astype(np.uint64)
+    h = trees.astype(np.uint64) + np.uint64(depth << 8)
+    for k in range(depth):
+        h = (h ^ (h >> np.uint64(29))) * _MIX + np.take_along_axis(values, (trees * FIRST_DEPTH + k) % HASHES, axis=1)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h.astype(np.int64)
+
+
 def regions(depth: int) -> Column:
     """array<struct<tree, region>>: for each tree the hash of the first ``depth`` values of ``sig``."""
 
     @F.arrow_udf("array<struct<tree:int,region:bigint>>")
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        trees = np.arange(TREES)
         for batch in clean_after(batches):
-            values = _matrix(batch).astype(np.uint64)
-            h = np.broadcast_to(trees.astype(np.uint64) + np.uint64(depth << 8), (len(values), TREES)).copy()
-            for k in range(depth):
-                h = (h ^ (h >> np.uint64(29))) * _MIX + values[:, (trees * FIRST_DEPTH + k) % HASHES]
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0xD6E8FEB86659FD93)
-            rows = pa.StructArray.from_arrays([pa.array(np.tile(trees, len(values)), pa.int32()), pa.array(h.astype(np.int64).ravel())], ["tree", "region"])
-            yield pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * TREES, pa.int32()), rows)
+            trees = np.tile(np.arange(TREES), (len(batch), 1))
+            rows = pa.StructArray.from_arrays([pa.array(trees.ravel(), pa.int32()), pa.array(_region_hashes(batch, trees, depth).ravel())], ["tree", "region"])
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * TREES, pa.int32()), rows)
 
     return make("sig")
 
 
+def region_of_tree(depth: int) -> Column:
+    """The region of ``sig`` in the one tree of the row."""
+
+    @F.arrow_udf("bigint")
+    def make(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for sig, tree in clean_after(batches):
+            yield pa.array(_region_hashes(sig, tree.to_numpy(zero_copy_only=False).astype(np.int64)[:, None], depth).ravel())
+
+    return make("sig", "tree")
+
+
 def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells (cell, nid) of 2 to REGION nodes, chains (nid, pred) of equal signatures,
     crowds (cell, nid): regions of depth FIRST_DEPTH that were too large)."""
@@ -178,8 +207,9 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             chains = same.join(first, "region").where("nid <> pred").select("nid", "pred")
             break
         depth *= 2
-        deeper = F.element_at(regions(depth), F.col("tree") + 1)["region"]
-        level = counted(large.select("nid", "tree").join(nodes.select("nid", "sig"), "nid").select("nid", "tree", deeper.alias("region")), "regions")
+        # only the nodes of large regions move, and with their signature alone
+        deeper = large.select("nid", "tree").join(in_buckets(nodes.select("nid", "sig"), "nid", large), "nid")
+        level = counted(materialize(deeper.select("nid", "tree", region_of_tree(depth).alias("region")), "deeper"), "regions")
         cells.append(level.where(F.col("size") <= REGION))
     every = cells[0]
     for c in cells[1:]:
@@ -253,13 +283,25 @@ def best_predecessors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             )
 
 
-ASK = pa.schema([("block", pa.int32()), ("x", pa.int64()), ("ys", pa.list_(pa.int64()))])
+ASKED = pa.struct([("y", pa.int64()), ("root", pa.int64())])
+ASK = pa.schema([("block", pa.int32()), ("x", pa.int64()), ("ys", pa.list_(ASKED))])
+ASK_TYPE = "block int, x bigint, ys array<struct<y:bigint,root:bigint>>"
+
+
+def _tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work``, with the memory of the Python worker given back after the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
 
 
 def crossing_asks(blocks: int):
     """Rows (cell, nid, root, asks, sig) sorted by cell -> (block, x, ys): nodes ``ys`` of
-    one block (``nid % blocks``) that are similar to ``x`` by estimate but in other
-    components, where one side asks. ``x`` is on the side that the cell has less of."""
+    one block (``nid % blocks``), with their roots, that are similar to ``x`` by estimate but
+    in other components, where one side asks. ``x`` is on the side that the cell has less of."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_cells(batches):
@@ -275,18 +317,19 @@ def crossing_asks(blocks: int):
                 if not len(i):
                     continue
                 swap = size[i] > size[j]
-                x, y = nid[np.where(swap, j, i)], nid[np.where(swap, i, j)]
+                a, b = np.where(swap, j, i), np.where(swap, i, j)
+                x, y, of_y = nid[a], nid[b], root[b]
                 order = np.lexsort((y, y % blocks, x))
-                x, y = x[order], y[order]
+                x, y, of_y = x[order], y[order], of_y[order]
                 first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] % blocks != y[:-1] % blocks)))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(y)), pa.int32()), pa.array(y))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(y)), pa.int32()), pa.StructArray.from_arrays([pa.array(y), pa.array(of_y)], fields=list(ASKED)))
                 yield pa.RecordBatch.from_arrays([pa.array((y[first] % blocks).astype(np.int32)), pa.array(x[first]), lists], schema=ASK)
 
     return find
 
 
 def answered(threshold: int):
-    """Rows (block, nid, root, elements, ys) sorted by block, those without ``ys`` first: the
+    """Rows (block, nid, elements, ys) sorted by block, those without ``ys`` first: the
     block's nodes, then the nodes that ask, with the nodes they ask. Gives (a, b): of every
     asking node one link to each component that it is linked with, checked on full sets."""
 
@@ -294,16 +337,18 @@ def answered(threshold: int):
         block, held = None, {}
         for batch in batches:
             links = []
-            blocks, nids, roots_ = (batch.column(c).to_pylist() for c in ("block", "nid", "root"))
+            blocks, nids = (batch.column(c).to_pylist() for c in ("block", "nid"))
             elements, asked = batch.column("elements"), batch.column("ys")
             for k, own in enumerate(blocks):
                 if own != block:
                     block, held = own, {}
                 x = np.sort(elements[k].values.to_numpy())
                 if not asked[k].is_valid:
-                    held[nids[k]] = (x, roots_[k])
+                    held[nids[k]] = x
                     continue
-                found = [(y, *held[y]) for y in asked[k].as_py() if y in held]
+                ys = asked[k].values
+                ys = zip(ys.field("y").to_pylist(), ys.field("root").to_pylist(), strict=True)
+                found = [(y, held[y], root) for y, root in ys if y in held]
                 if not found:
                     continue
                 sizes = np.array([len(e) for _, e, _ in found])
@@ -325,7 +370,8 @@ def _similar(threshold: int) -> Column:
 
 
 class _Sets:
-    """Full sets of the nodes that need checking, fetched from the documents once each."""
+    """Full sets of the nodes that need checking, fetched from the documents once each.
+    ``docs``: (code, text); ``nodes`` have the code of one document with their set."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, shingle: int, threshold: int):
         self.docs, self.nodes, self.shingle, self.threshold, self.have = docs, nodes, shingle, threshold, None
@@ -333,13 +379,12 @@ class _Sets:
     def fetch(self, nids: DataFrame) -> None:
         """``nids``: (nid), distinct."""
         wanted = nids if self.have is None else nids.join(self.have.select("nid"), "nid", "left_anti")
-        wanted = materialize(wanted.join(self.nodes.select("nid", "rep", "key"), "nid"), "wanted")
+        wanted = materialize(wanted.join(self.nodes.select("nid", "code", "key"), "nid"), "wanted")
         if self.have is not None and not wanted.head(1):
             return
-        rows = in_buckets(self.docs, "doc_id", wanted.select(F.col("rep").alias("doc_id")))
-        rows = rows.select(keyed_set(F.col("text"), self.shingle).alias("s")).select("s.key", "s.elements")
-        rows = rows.join(wanted.select("nid", "key"), "key").select("nid", "elements").dropDuplicates(["nid"])
-        rows = materialize(rows, "sets")
+        # texts move, which are smaller than their sets, and sets are made of wanted texts alone
+        rows = in_buckets(self.docs, "code", wanted).dropDuplicates(["code"]).join(wanted, "code")
+        rows = materialize(rows.select("nid", set_of_key(F.col("text"), F.col("key"), self.shingle).alias("elements")), "sets").where(F.size("elements") > 0)
         self.have = rows if self.have is None else self.have.unionAll(rows)
 
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -352,16 +397,15 @@ class _Sets:
         """So many blocks that the sets of one take about BLOCK_ELEMENTS elements."""
         return max(1, -(-(self.have.agg(F.sum(F.size("elements").cast("bigint"))).first()[0] or 0) // BLOCK_ELEMENTS))
 
-    def answers(self, asks: DataFrame, trees: DataFrame, blocks: int) -> DataFrame:
+    def answers(self, asks: DataFrame, blocks: int) -> DataFrame:
         """``asks``: (block, x, ys) with one row for each block and x. Links (a, b) between components."""
-        rooted = self.have.join(trees.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-        no_one = F.lit(None).cast("array<bigint>")
-        members = rooted.select((F.col("nid") % blocks).cast("int").alias("block"), "nid", "root", "elements", no_one.alias("ys"))
-        asking = asks.withColumnRenamed("x", "nid").join(rooted, "nid").select("block", "nid", "root", "elements", "ys")
-        # only blocks that someone asks
-        rows = members.join(asks.select("block").distinct(), "block", "left_semi").unionAll(asking)
-        rows = rows.repartition("block").sortWithinPartitions("block", F.col("ys").isNotNull(), "nid")
-        return materialize(rows.mapInArrow(answered(self.threshold), "a bigint, b bigint"), "links")
+        block = (F.col("nid") % blocks).cast("int").alias("block")
+        # only sets that are asked or ask move; a few more by their bucket
+        members = in_buckets(self.have, "nid", asks.select(F.explode("ys.y").alias("nid"))).select(block, "nid", "elements", F.lit(None).cast(asks.schema["ys"].dataType).alias("ys"))
+        asking = asks.withColumnRenamed("x", "nid")
+        asking = asking.join(in_buckets(self.have, "nid", asking), "nid").select("block", "nid", "elements", "ys")
+        rows = members.unionAll(asking).repartition("block").sortWithinPartitions("block", F.col("ys").isNotNull(), "nid")
+        return materialize(rows.mapInArrow(_tidy(answered(self.threshold)), "a bigint, b bigint"), "links")
 
 
 def _sorted_cells(rows: DataFrame) -> DataFrame:
@@ -377,17 +421,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_c
 def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """``near_duplicates`` with the key of each row's set (null: no words)."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = materialize(docs.select("doc_id", sketch(F.col("text"), shingle).alias("s")).select("doc_id", "s.*"), "sketches")
-    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    docs = docs.withColumn("code", F.xxhash64("doc_id", "text"))  # tells rows apart that share an id, or a text
+    rows = materialize(docs.select("doc_id", "code", sketch(F.col("text"), shingle).alias("s")).select("doc_id", "code", "s.*"), "sketches")
+    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("code").alias("code"), F.first("sig").alias("sig"))
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     sigs = nodes.select("nid", "sig")
     cells, chains, crowds = forest(nodes)
 
-    found = _sorted_cells(cells.join(sigs, "nid").select("cell", "nid", "sig")).mapInArrow(best_predecessors, "nid bigint, pred bigint, estimate double")
+    found = _sorted_cells(cells.join(sigs, "nid").select("cell", "nid", "sig")).mapInArrow(_tidy(best_predecessors), "nid bigint, pred bigint, estimate double")
     found = found.unionAll(chains.select("nid", "pred", F.lit(1.0).alias("estimate"))).unionAll(chains.select(F.col("pred").alias("nid"), F.lit(None).cast("bigint").alias("pred"), F.lit(0.0).alias("estimate")))
     best = found.groupBy("nid").agg(F.max(F.when(F.col("pred").isNotNull(), F.struct("estimate", (-F.col("pred")).alias("lowest")))).alias("m"))
     best = materialize(best.select("nid", (-F.col("m.lowest")).alias("pred")), "best")
-    sets = _Sets(docs, nodes, shingle, threshold)
+    sets = _Sets(docs.select("code", "text"), nodes, shingle, threshold)
     if not best.head(1) and not crowds.head(1):
         return _result(rows, nodes, rows.sparkSession.createDataFrame([], "node bigint, root bigint"))
     sets.fetch(best.select("nid"))
@@ -412,10 +457,11 @@ def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str, text
     crowded = materialize(crowded.select(F.xxhash64("cell", "block").alias("cell"), "nid", "root", "asks"), "crowded")
     sets.fetch(crowded.select("nid").distinct())
     blocks = sets.blocks()
-    both = open_cells.select("cell", "nid", "root", "asks").unionAll(crowded).join(sigs, "nid")
-    asks = _sorted_cells(both).mapInArrow(crossing_asks(blocks), "block int, x bigint, ys array<bigint>")
+    both = materialize(open_cells.select("cell", "nid", "root", "asks").unionAll(crowded), "open")
+    both = both.join(in_buckets(sigs, "nid", both), "nid")
+    asks = _sorted_cells(both).mapInArrow(_tidy(crossing_asks(blocks)), ASK_TYPE)
     asks = asks.groupBy("block", "x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))  # at most the block's nodes
-    late = sets.answers(materialize(asks, "asks"), trees, blocks)
+    late = sets.answers(materialize(asks, "asks"), blocks)
     ends = late
     for c in "ab":
         ends = ends.join(trees.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left")

@@ -130,3 +130,22 @@ def test_rows_that_share_an_id_are_judged_apart(spark):
     assert got == sorted([(1, a), (2, b), (4, "x"), (5, ""), (5, None), (None, a)], key=str) and kept.columns == docs.columns
     own = spark.createDataFrame([(6, a + " z"), (6, a + " y"), (7, b)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in nd.one_of_each(own).collect()) == [6, 7]
+
+
+def test_only_wanted_sets_and_signatures_are_computed_and_moved(spark, monkeypatch):
+    monkeypatch.setattr(nd, "REGION", 8)
+    plans, keep = {}, nd.materialize
+
+    def noted(df, name="table"):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(nd, "materialize", noted)
+    base = [f"w{k}" for k in range(90)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(30)] + [(100 + i, " ".join(f"y{i}w{k}" for k in range(60))) for i in range(30)]
+    rows += [(None, " ".join([*base, "no id"])), (None, "y0w1"), (7, " ".join([*base, "same id"])), (7, "other words")]
+    assert run(spark, rows, 2) == brute(rows, 2)
+    # sets and regions of greater depth are made above the joins that pick their rows
+    assert plans["sets"] and plans["deeper"]
+    for plan in plans["sets"] + plans["deeper"]:
+        assert "ArrowEvalPython" in plan and "ArrowEvalPython" not in plan[plan.index("Join"):]
