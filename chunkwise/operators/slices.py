@@ -8,6 +8,7 @@ jobs over the same rows, or a task that runs again, give the same slices.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,11 +52,15 @@ def slice_number(df: DataFrame, columns: Sequence[str], bounds: str | None) -> C
     fields = [T.StructField(f"_{i}", df.schema[c].dataType) for i, c in enumerate(columns)]
     # parsed and sorted once, as a constant; texts that round a value stay valid bounds
     known = F.sort_array(F.from_json(F.lit(bounds), T.ArrayType(T.StructType(fields))))
-    row = _ordered(df, columns)
-    steps = [1 << k for k in reversed(range(MAX_SLICES.bit_length()))]
+    steps = [1 << k for k in reversed(range(len(json.loads(bounds)).bit_length()))]
 
-    def further(low: Column, step: Column) -> Column:
-        # beyond the last bound get() is null, which is no step forward
-        return F.when(F.get(known, low + step - 1) <= row, low + step).otherwise(low)
+    def slice_of(row: Column) -> Column:
+        def further(low: Column, step: Column) -> Column:
+            # beyond the last bound get() is null, which is no step forward
+            return F.when(F.get(known, low + step - 1) <= row, low + step).otherwise(low)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+    # bound to a variable: written into the search, the columns' expressions would be
+    # computed anew for each of its steps
+    return F.get(F.transform(F.array(_ordered(df, columns)), slice_of), F.lit(0))

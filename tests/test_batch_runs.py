@@ -95,3 +95,17 @@ def test_empty_table_and_bad_parameters(spark):
             bad()
     with pytest.raises(ValueError):
         slice_bounds(empty, ORDER, 0)
+
+
+def test_order_columns_are_computed_once_a_row(spark):
+    df = spark.range(300).select(F.md5(F.to_json(F.struct("id"))).alias("k"), (F.col("id") % 7).alias("v"))
+    bounds = slice_bounds(df, ["v", "k"], 10)
+    cut = df.groupBy(slice_number(df, ["v", "k"], bounds).alias("s")).count()
+    plan = cut._jdf.queryExecution().optimizedPlan()
+    # md5 of the row stands before the search, not inside it
+    before, search = plan.toString().split("aggregate([", 1)
+    assert "md5" in before and "md5" not in search
+    got = {r["s"]: r["count"] for r in cut.collect()}
+    assert sum(got.values()) == 300 and len(got) > 10
+    ordered = [r["s"] for r in df.withColumn("s", slice_number(df, ["v", "k"], bounds)).orderBy("v", "k").collect()]
+    assert ordered == sorted(ordered)
