@@ -19,13 +19,15 @@ regions that were cut are completed from depth 4.
 best predecessor (in order of node number) among those with an estimate of at
 least ``LEAST_ESTIMATE`` (five standard errors under 0.8) is its candidate. The
 candidates of all trees give one link per node at most, checked on the full
-sets. What that leaves apart is completed: nodes of one region in different
-components that are similar by estimate are all checked; in regions of depth 4 that
-had to be cut the nodes outside the largest component are compared with the
-whole region, block by block. For the check the full sets are dealt into blocks, and
-a node visits each block with the list of those it asks there; only links come out.
-So no pair that shares a region of depth 4 is left out, while neither copies of one
-text nor the members of a loose group are ever expanded into rows of pairs.
+sets. What that leaves apart is completed in the regions of depth 4 that
+hold several components: nodes outside a region's largest component ask all its nodes.
+A region is dealt into cells of bounded nodes and elements so that each asking node meets
+each other node in one of them. There a pair that is similar by estimate marks its two
+nodes, in the first tree that brings it together; the full sets of a cell's marked nodes
+are then compared with each other where they meet, and of the links found a spanning
+forest comes out. So no pair that shares a region of depth 4 is left out, while neither
+copies of one text nor the members of a loose group are ever expanded into rows or lists
+of pairs: a cell gives as many rows as it has nodes, at most.
 
 *Components* are found by contraction (``components``).
 
@@ -186,7 +188,7 @@ def region_of_tree(depth: int) -> Column:
 
 def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells (cell, nid) of 2 to REGION nodes, chains (nid, pred) of equal signatures,
-    crowds (cell, nid): regions of depth FIRST_DEPTH that were too large)."""
+    first (cell, tree, nid, size): the regions of depth FIRST_DEPTH, cut or not)."""
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
         # counted apart and joined back: a region of very many nodes is split over tasks
@@ -196,15 +198,15 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     depth = FIRST_DEPTH
     rows = nodes.select("nid", F.explode(regions(depth)).alias("r")).select("nid", "r.tree", "r.region")
     level = counted(rows, "regions")
+    first = level
     cells = [level.where(F.col("size") <= REGION)]
-    crowds = level.where(F.col("size") > REGION)
     chains = level.limit(0).select("nid", F.lit(0).cast("bigint").alias("pred"))
     while level.where(F.col("size") > REGION).head(1):
         large = level.where(F.col("size") > REGION)
         if depth == HASHES:
             same = large.where("tree = 0")
-            first = materialize(same.groupBy("region").agg(F.min("nid").alias("pred")), "first_nodes")
-            chains = same.join(first, "region").where("nid <> pred").select("nid", "pred")
+            least = materialize(same.groupBy("region").agg(F.min("nid").alias("pred")), "first_nodes")
+            chains = same.join(least, "region").where("nid <> pred").select("nid", "pred")
             break
         depth *= 2
         # only the nodes of large regions move, and with their signature alone
@@ -215,7 +217,7 @@ def forest(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     for c in cells[1:]:
         every = every.unionAll(c)
     name = F.col("region").alias("cell")
-    return every.select(name, "nid"), chains, crowds.select(name, "nid")
+    return every.select(name, "nid"), chains, first.select(name, "tree", "nid", "size")
 
 
 def _estimates(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -283,11 +285,6 @@ def best_predecessors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             )
 
 
-ASKED = pa.struct([("y", pa.int64()), ("root", pa.int64())])
-ASK = pa.schema([("block", pa.int32()), ("x", pa.int64()), ("ys", pa.list_(ASKED))])
-ASK_TYPE = "block int, x bigint, ys array<struct<y:bigint,root:bigint>>"
-
-
 def _tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``work``, with the memory of the Python worker given back after the task."""
 
@@ -298,65 +295,101 @@ def _tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return run
 
 
-def crossing_asks(blocks: int):
-    """Rows (cell, nid, root, asks, sig) sorted by cell -> (block, x, ys): nodes ``ys`` of
-    one block (``nid % blocks``), with their roots, that are similar to ``x`` by estimate but
-    in other components, where one side asks. ``x`` is on the side that the cell has less of."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_cells(batches):
-            cell, nid, root, asks = (rows.column(c).to_numpy() for c in ("cell", "nid", "root", "asks"))
-            sig = _matrix(rows.column("sig").combine_chunks())
-            _, member, sizes = np.unique(np.stack([cell, root]), axis=1, return_inverse=True, return_counts=True)
-            size = sizes[member.ravel()]
-            for i, j in _pairs_in_cells(rows):
-                apart = (root[i] != root[j]) & (asks[i] | asks[j])
-                i, j = i[apart], j[apart]
-                good = _estimates(sig, i, j) >= LEAST_ESTIMATE
-                i, j = i[good], j[good]
-                if not len(i):
-                    continue
-                swap = size[i] > size[j]
-                a, b = np.where(swap, j, i), np.where(swap, i, j)
-                x, y, of_y = nid[a], nid[b], root[b]
-                order = np.lexsort((y, y % blocks, x))
-                x, y, of_y = x[order], y[order], of_y[order]
-                first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] % blocks != y[:-1] % blocks)))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(y)), pa.int32()), pa.StructArray.from_arrays([pa.array(y), pa.array(of_y)], fields=list(ASKED)))
-                yield pa.RecordBatch.from_arrays([pa.array((y[first] % blocks).astype(np.int32)), pa.array(x[first]), lists], schema=ASK)
-
-    return find
-
-
-def answered(threshold: int):
-    """Rows (block, nid, elements, ys) sorted by block, those without ``ys`` first: the
-    block's nodes, then the nodes that ask, with the nodes they ask. Gives (a, b): of every
-    asking node one link to each component that it is linked with, checked on full sets."""
+def dealt(rooted: DataFrame) -> DataFrame:
+    """Rows (cell, tree, nid, n, root) -> (cell, tree, nid, root, member, asks), for cells of
+    several components. A cell becomes a grid: its nodes are dealt into parts, those that
+    ask (outside its largest component) into parts too, and each pair of parts is a cell of
+    about BLOCK nodes or BLOCK_ELEMENTS elements from either side."""
+    apart = F.col("root") != F.col("main")
+    shares = rooted.groupBy("cell", "root").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
+    cells = shares.groupBy("cell").agg(
+        F.max(F.struct("c", "root", "e")).alias("m"), F.sum("c").alias("c"), F.sum("e").alias("e"), F.count("*").alias("components")
+    ).where("components > 1")
+
+    def parts(nodes: Column, elements: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(nodes / BLOCK), F.ceil(elements / BLOCK_ELEMENTS)).cast("int")
+
+    cells = cells.select("cell", F.col("m.root").alias("main"), parts(F.col("c"), F.col("e")).alias("p"), parts(F.col("c") - F.col("m.c"), F.col("e") - F.col("m.e")).alias("q"))
+    number = F.xxhash64("nid")
+    rows = rooted.join(cells, "cell").withColumn("asks", apart).withColumn("own", F.pmod(number, "p").cast("int")).withColumn("ask", F.pmod(number, "q").cast("int"))
+    held = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda k: F.col("own").cast("bigint") * F.col("q") + k)
+    asking = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda k: k.cast("bigint") * F.col("q") + F.col("ask"))
+    rows = rows.withColumn("block", F.explode(F.when(F.col("asks"), F.array_union(held, asking)).otherwise(held)))
+    member = F.floor(F.col("block") / F.col("q")) == F.col("own")
+    return rows.select(F.xxhash64("cell", "block").alias("cell"), "tree", "nid", "root", member.alias("member"), (F.col("asks") & (F.col("block") % F.col("q") == F.col("ask"))).alias("asks"))
+
+
+def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, tree, nid, root, member, asks, sig) sorted by cell -> (cell, nid, root): the
+    nodes that are similar by estimate to one of another component, of which one asks and the
+    other is a member, and that no earlier tree brings together with it."""
+    for rows in _whole_cells(batches):
+        tree, root, member, asks = (rows.column(c).to_numpy() for c in ("tree", "root", "member", "asks"))
+        sig, mark = _matrix(rows.column("sig").combine_chunks()), np.zeros(rows.num_rows, dtype=bool)
+        for i, j in _pairs_in_cells(rows):
+            meet = (root[i] != root[j]) & ((asks[i] & member[j]) | (asks[j] & member[i]))
+            i, j = i[meet], j[meet]
+            for k in range(0, len(i), 50_000):
+                a, b = i[k : k + 50_000], j[k : k + 50_000]
+                equal = sig[a] == sig[b]
+                near = equal.mean(axis=1) >= LEAST_ESTIMATE
+                a, b, equal = a[near], b[near], equal[near]
+                # a tree's first values are those columns that no other tree starts with
+                here = equal.reshape(-1, TREES, FIRST_DEPTH).all(axis=2).argmax(axis=1) == tree[a]
+                mark[a[here]] = mark[b[here]] = True
+        if mark.any():
+            yield from rows.select(["cell", "nid", "root"]).filter(pa.array(mark)).combine_chunks().to_batches()
+
+
+def _spanning(linked: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Of the links (a symmetric matrix) between nodes of different components, so many that
+    they connect what all of them connect."""
+    left, linked = np.ones(len(root), dtype=bool), linked | (root[:, None] == root)
+    for start in range(len(root)):
+        todo, left[start] = [start] if left[start] else [], False
+        while todo:
+            i = todo.pop()
+            found = np.flatnonzero(linked[i] & left)
+            left[found] = False
+            todo += found.tolist()
+            yield from ((i, j) for j in found.tolist() if root[i] != root[j])
+
+
+def common_elements(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two of the sets share, as a matrix."""
+    sizes = np.array([len(e) for e in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = times[code] > 1
+    code, owner = code[shared], owner[shared]
+    _, code = np.unique(code, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    both = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, 2048):
+        part = slice(*np.searchsorted(code, [low, low + 2048]))
+        holds = np.zeros((len(sets), 2048), dtype=np.float32)
+        holds[owner[part], code[part] - low] = 1
+        both += holds @ holds.T
+    return both
+
+
+def checked(threshold: int):
+    """Rows (cell, nid, root, elements) sorted by cell -> (a, b): links between components,
+    checked on full sets; of each cell a spanning forest."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, {}
-        for batch in batches:
+        for rows in _whole_cells(batches):
+            cell, nid, root = (rows.column(c).to_numpy() for c in ("cell", "nid", "root"))
+            lists = rows.column("elements").combine_chunks()
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            begin = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             links = []
-            blocks, nids = (batch.column(c).to_pylist() for c in ("block", "nid"))
-            elements, asked = batch.column("elements"), batch.column("ys")
-            for k, own in enumerate(blocks):
-                if own != block:
-                    block, held = own, {}
-                x = np.sort(elements[k].values.to_numpy())
-                if not asked[k].is_valid:
-                    held[nids[k]] = x
-                    continue
-                ys = asked[k].values
-                ys = zip(ys.field("y").to_pylist(), ys.field("root").to_pylist(), strict=True)
-                found = [(y, held[y], root) for y, root in ys if y in held]
-                if not found:
-                    continue
-                sizes = np.array([len(e) for _, e, _ in found])
-                every = np.concatenate([e for _, e, _ in found])
-                place = np.minimum(np.searchsorted(x, every), len(x) - 1)
-                both = np.add.reduceat((x[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
-                near = np.flatnonzero(100 * both >= threshold * (len(x) + sizes - both))
-                links += [(nids[k], y) for y in {found[n][2]: found[n][0] for n in near}.values()]
+            for start, stop in zip(begin, np.append(begin[1:], len(cell)), strict=True):
+                sets = [values[offsets[k] : offsets[k + 1]] for k in range(start, stop)]
+                sizes, both = np.array([len(e) for e in sets]), common_elements(sets)
+                linked = 100 * both >= threshold * (sizes[:, None] + sizes - both)
+                links += [(nid[start + i], nid[start + j]) for i, j in _spanning(linked, root[start:stop])]
             a, b = zip(*links, strict=True) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -393,19 +426,10 @@ class _Sets:
         y = self.have.select(F.col("nid").alias("b"), F.col("elements").alias("y"))
         return materialize(pairs.join(x, "a").join(y, "b").where(_similar(self.threshold)).select("a", "b"), "links")
 
-    def blocks(self) -> int:
-        """So many blocks that the sets of one take about BLOCK_ELEMENTS elements."""
-        return max(1, -(-(self.have.agg(F.sum(F.size("elements").cast("bigint"))).first()[0] or 0) // BLOCK_ELEMENTS))
-
-    def answers(self, asks: DataFrame, blocks: int) -> DataFrame:
-        """``asks``: (block, x, ys) with one row for each block and x. Links (a, b) between components."""
-        block = (F.col("nid") % blocks).cast("int").alias("block")
-        # only sets that are asked or ask move; a few more by their bucket
-        members = in_buckets(self.have, "nid", asks.select(F.explode("ys.y").alias("nid"))).select(block, "nid", "elements", F.lit(None).cast(asks.schema["ys"].dataType).alias("ys"))
-        asking = asks.withColumnRenamed("x", "nid")
-        asking = asking.join(in_buckets(self.have, "nid", asking), "nid").select("block", "nid", "elements", "ys")
-        rows = members.unionAll(asking).repartition("block").sortWithinPartitions("block", F.col("ys").isNotNull(), "nid")
-        return materialize(rows.mapInArrow(_tidy(answered(self.threshold)), "a bigint, b bigint"), "links")
+    def links_in(self, cells: DataFrame) -> DataFrame:
+        """``cells``: (cell, nid, root). Links (a, b) between components inside the cells."""
+        rows = cells.join(in_buckets(self.have, "nid", cells), "nid").select("cell", "nid", "root", "elements")
+        return materialize(_sorted_cells(rows).mapInArrow(_tidy(checked(self.threshold)), "a bigint, b bigint"), "links")
 
 
 def _sorted_cells(rows: DataFrame) -> DataFrame:
@@ -423,17 +447,18 @@ def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str, text
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("code", F.xxhash64("doc_id", "text"))  # tells rows apart that share an id, or a text
     rows = materialize(docs.select("doc_id", "code", sketch(F.col("text"), shingle).alias("s")).select("doc_id", "code", "s.*"), "sketches")
-    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("code").alias("code"), F.first("sig").alias("sig"))
+    nodes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("code").alias("code"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     sigs = nodes.select("nid", "sig")
-    cells, chains, crowds = forest(nodes)
+    cells, chains, first = forest(nodes)
 
     found = _sorted_cells(cells.join(sigs, "nid").select("cell", "nid", "sig")).mapInArrow(_tidy(best_predecessors), "nid bigint, pred bigint, estimate double")
     found = found.unionAll(chains.select("nid", "pred", F.lit(1.0).alias("estimate"))).unionAll(chains.select(F.col("pred").alias("nid"), F.lit(None).cast("bigint").alias("pred"), F.lit(0.0).alias("estimate")))
     best = found.groupBy("nid").agg(F.max(F.when(F.col("pred").isNotNull(), F.struct("estimate", (-F.col("pred")).alias("lowest")))).alias("m"))
     best = materialize(best.select("nid", (-F.col("m.lowest")).alias("pred")), "best")
     sets = _Sets(docs.select("code", "text"), nodes, shingle, threshold)
-    if not best.head(1) and not crowds.head(1):
+    large = F.col("size") > REGION
+    if not best.head(1) and not first.where(large).head(1):
         return _result(rows, nodes, rows.sparkSession.createDataFrame([], "node bigint, root bigint"))
     sets.fetch(best.select("nid"))
     tried = best.where("pred IS NOT NULL").select(F.col("pred").alias("a"), F.col("nid").alias("b"))
@@ -441,27 +466,15 @@ def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str, text
     trees = roots(links.select(F.col("b").alias("node"), F.col("a").alias("parent")))
 
     # what is left: pairs of one region in different components
-    def rooted(part: DataFrame) -> DataFrame:
-        return part.join(trees.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-
-    open_cells = rooted(cells.join(best.select("nid"), "nid", "left_semi"))
-    mixed = open_cells.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("cell")
-    open_cells = open_cells.join(mixed, "cell", "left_semi").withColumn("asks", F.lit(True))
-    crowded = rooted(crowds)
-    shares = crowded.groupBy("cell", "root").agg(F.count("*").alias("n")).groupBy("cell")
-    main = shares.agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("total"), F.count("*").alias("parts")).where("parts > 1")
-    crowded = crowded.join(main, "cell").withColumn("asks", F.col("root") != F.col("main"))
-    parts = F.ceil(F.col("total") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("nid"), parts).cast("int")
-    crowded = crowded.withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(own))))
-    crowded = materialize(crowded.select(F.xxhash64("cell", "block").alias("cell"), "nid", "root", "asks"), "crowded")
-    sets.fetch(crowded.select("nid").distinct())
-    blocks = sets.blocks()
-    both = materialize(open_cells.select("cell", "nid", "root", "asks").unionAll(crowded), "open")
-    both = both.join(in_buckets(sigs, "nid", both), "nid")
-    asks = _sorted_cells(both).mapInArrow(_tidy(crossing_asks(blocks)), ASK_TYPE)
-    asks = asks.groupBy("block", "x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))  # at most the block's nodes
-    late = sets.answers(materialize(asks, "asks"), blocks)
+    rooted = nodes.select("nid", "n").join(trees.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    # in regions that weren't cut the nodes without a candidate are like no other
+    left = first.where(~large).join(best.select("nid"), "nid", "left_semi").unionAll(first.where(large).select("nid", "cell", "tree", "size"))
+    left = materialize(left.select("cell", "tree", "nid").join(rooted, "nid"), "left")
+    open_cells = materialize(dealt(left), "open")
+    open_cells = open_cells.join(in_buckets(sigs, "nid", open_cells), "nid").select("cell", "tree", "nid", "root", "member", "asks", "sig")
+    near = materialize(_sorted_cells(open_cells).mapInArrow(_tidy(marked), "cell bigint, nid bigint, root bigint"), "marked")
+    sets.fetch(near.select("nid").distinct())
+    late = sets.links_in(near)
     ends = late
     for c in "ab":
         ends = ends.join(trees.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left")

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from chunkwise.llm import near_dedup as nd
 from chunkwise.llm.components import connected_components
 
@@ -149,3 +152,64 @@ def test_only_wanted_sets_and_signatures_are_computed_and_moved(spark, monkeypat
     assert plans["sets"] and plans["deeper"]
     for plan in plans["sets"] + plans["deeper"]:
         assert "ArrowEvalPython" in plan and "ArrowEvalPython" not in plan[plan.index("Join"):]
+
+
+def loose_group(n, seed):
+    """Texts of one group that are similar by estimate, of which hardly any are linked."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for k in rng.sample(range(120), 12):
+            copy[k] = f"x{i}w{k}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_loose_groups_never_become_rows_or_lists_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(nd, "REGION", 32)
+    kept, keep = [], nd.materialize
+
+    def noted(df, name="table"):
+        kept.append((name, keep(df, name)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(nd, "materialize", noted)
+    n = 300
+    rows = loose_group(n, 3)
+    rows += [(1000 + i, rows[i][1] + " y") for i in range(0, 20)]  # each linked with one of the group
+    assert run(spark, rows, 1) == brute(rows, 1)
+    for name, df in kept:
+        lists = [c for c, t in df.dtypes if t.startswith("array") and c != "elements"]
+        sizes = sum((F.size(c) for c in lists), F.lit(1))
+        assert (df.agg(F.sum(sizes)).first()[0] or 0) < n * nd.TREES * 2, name
+
+
+def test_links_in_a_grid_of_cells(spark, monkeypatch):
+    """Members and asking nodes in several parts, cut by elements as well as by nodes."""
+    monkeypatch.setattr(nd, "REGION", 16)
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    monkeypatch.setattr(nd, "BLOCK_ELEMENTS", 700)
+    rows = loose_group(90, 5)
+    rng = random.Random(9)
+    for i in range(60):  # near the threshold, on both sides
+        words = rows[rng.randrange(90)][1].split()
+        for k in rng.sample(range(120), rng.randint(8, 16)):
+            words[k] = f"z{i}w{k}"
+        rows.append((200 + i, " ".join(words)))
+    assert run(spark, rows, 1) == brute(rows, 1)
+
+
+def test_common_elements_and_spanning_links():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000))) for _ in range(9)] + [np.array([-5]), np.array([-5])]
+    both = nd.common_elements(sets)
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert all(both[i][j] == want[i][j] for i in range(11) for j in range(11) if i != j)
+    linked = np.zeros((6, 6), dtype=bool)
+    for i, j in [(0, 1), (1, 2), (0, 2), (3, 4), (2, 5)]:
+        linked[i, j] = linked[j, i] = True
+    # 0 and 5 are one component, 3 and 4 another: two links connect the rest
+    found = list(nd._spanning(linked, np.array([0, 1, 2, 3, 3, 0])))
+    assert len(found) == 2 and {n for link in found for n in link} & {1, 2} == {1, 2} and all(linked[i, j] for i, j in found)
