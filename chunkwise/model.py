@@ -90,11 +90,13 @@ def load_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_dictionary(samples: DataFrame) -> DataFrame:
     """``series(series_id, metric, labels)``: one row per series id, labels in canonical
-    form (invalid text as it is). The distinct collapses every series map-side, so a
+    form (invalid text as it is). The first grouping collapses every series map-side, so a
     hot series costs one row per task in the shuffle; what follows has dictionary
     size. Ids whose labels truly differ get the smallest (see :func:`label_conflicts`).
     """
-    rows = samples.select("series_id", "metric", "labels").distinct()
+    # a plain distinct below min() is taken out by the optimizer, and every sample's labels
+    # would be parsed and sorted; the condition on the count keeps the grouping
+    rows = samples.groupBy("series_id", "metric", "labels").agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
     labels = F.coalesce(canonical_labels("labels"), F.col("labels"))
     return rows.groupBy("series_id").agg(F.min("metric").alias("metric"), F.min(labels).alias("labels"))
 

@@ -6,7 +6,7 @@ holds an unbounded series.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +16,10 @@ from .series import one_label_set
 from .slices import ROWS_PER_SLICE, slice_bounds, slice_number
 
 
-def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, rows_per_slice: int) -> tuple[DataFrame, bool]:
-    """``df`` with ``_slice``, ``_n`` (the row's number in its key, from 0) and, if the rows
+def _numbered(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, rows_per_slice: int, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, bool]:
+    """``df`` (or ``prepare(df)``, see :func:`slice_bounds`) with ``_slice``, ``_n`` (the row's number in its key, from 0) and, if the rows
     take more than one slice (the second result), the run's ``_start``, ``_end`` and
     ``_total`` (rows of the key before the run, up to its end, in all).
 
@@ -31,7 +33,8 @@ def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str], size: int
     if not order:
         raise ValueError("order must name a column")
     key, columns = list(key), list(dict.fromkeys([*key, *order]))
-    bounds = slice_bounds(df, columns, rows_per_slice)
+    bounds = slice_bounds(df, columns, rows_per_slice, prepare)
+    df = df if prepare is None else prepare(df)
     rows = df.withColumn("_slice", slice_number(df, columns, bounds))
     running = Window.partitionBy(*key, "_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if bounds is None:  # every key is one run that starts at 0
@@ -66,16 +69,27 @@ def with_batches(
 
 
 def batch_groups(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    size: int,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(key, batch, rows): each batch's rows as an array of ``order`` structs in that order.
+    With ``prepare``, the rows are those of ``prepare(df)`` (see :func:`slice_bounds`).
 
     Batches that lie inside one run are complete where the rows were sorted. Only the first
     and last batch of a run that was cut from its key go through a second, small shuffle,
     where the parts of neighbouring runs meet: at most ``size`` rows a batch, two a run.
     """
     key = list(key)
-    numbered, cut = _numbered(df.select(*dict.fromkeys([*key, *order])), key, order, size, rows_per_slice)
+    columns = list(dict.fromkeys([*key, *order]))
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        return (rows if prepare is None else prepare(rows)).select(*columns)
+
+    numbered, cut = _numbered(df, key, order, size, rows_per_slice, narrow)
     numbered = numbered.withColumn("batch", F.floor(F.col("_n") / F.lit(size)).cast("long"))
     rows = F.array_sort(F.collect_list(F.struct(*order))).alias("rows")
     if not cut:
@@ -140,11 +154,17 @@ def insert_opening(schema: str, metric: Column) -> Column:
 
 
 def insert_statements(
-    rows: DataFrame, size: int, schema: str, id_col: str = "new_series_id", rows_per_slice: int = ROWS_PER_SLICE
+    rows: DataFrame,
+    size: int,
+    schema: str,
+    id_col: str = "new_series_id",
+    rows_per_slice: int = ROWS_PER_SLICE,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """S9 body: ``INSERT INTO schema."metric" values (...), (...);`` per (metric, batch)
-    of at most ``size`` rows, tuples in time order."""
-    grouped = batch_groups(rows, ["metric"], ["ts", "value", id_col], size, rows_per_slice)
+    of at most ``size`` rows, tuples in time order. With ``prepare``, of ``prepare(rows)``
+    (see :func:`slice_bounds`)."""
+    grouped = batch_groups(rows, ["metric"], ["ts", "value", id_col], size, rows_per_slice, prepare)
     stmt = F.concat(
         insert_opening(schema, F.col("metric")),
         F.array_join(F.transform("rows", lambda r: sql_tuple(r["ts"], r["value"], r[id_col])), ", "), F.lit(";"),

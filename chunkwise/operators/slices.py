@@ -9,7 +9,7 @@ jobs over the same rows, or a task that runs again, give the same slices.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +25,15 @@ def _ordered(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
 
 
-def slice_bounds(df: DataFrame, columns: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> str | None:
+def slice_bounds(
+    df: DataFrame, columns: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> str | None:
     """Bounds as JSON text, at most ``MAX_SLICES`` of them; None if one slice holds all rows.
 
     Rows are counted, then a sample of about eight a slice is sorted and every eighth is a
-    bound. Bounds steer only how evenly rows are spread; any would give right results.
+    bound. Bounds steer only how evenly rows are spread; any would give right results. With
+    ``prepare``, the columns are those of ``prepare(df)``, which turns each row into one or
+    none: the rows are counted as they are and only sampled ones are prepared.
     """
     if rows_per_slice < 1:
         raise ValueError("rows_per_slice must be >= 1")
@@ -38,7 +42,9 @@ def slice_bounds(df: DataFrame, columns: Sequence[str], rows_per_slice: int = RO
     if n_slices <= 1:
         return None
     fraction = min(1.0, n_slices * _SAMPLED_PER_SLICE / n_rows)
-    sample = df.select(_ordered(df, columns).alias("_r")).sample(False, fraction, seed=7)
+    sample = df.sample(False, fraction, seed=7)
+    sample = sample if prepare is None else prepare(sample)
+    sample = sample.select(_ordered(sample, columns).alias("_r"))
     ranked = F.sort_array(F.collect_list("_r"))
     step = max(1, round(n_rows * fraction / n_slices))
     keep = F.filter(ranked, lambda r, i: i % step == step - 1)

@@ -166,9 +166,13 @@ def migrate_sql(
     remapped = remap_with(selected, ids)
     run = SqlMigration(remapped, None, new_target, mapping, rejected_labels(sel_series), size, schema)
     if path is not None:
+
+        def statements_of(part: list[str]) -> DataFrame:
+            # target ids are looked up for the rows written, not to count them and only for sampled ones
+            return insert_statements(selected.where(F.col("metric").isin(part)), size, schema, prepare=lambda rows: remap_with(rows, ids))
+
         run.errors = write_metrics(
-            spark, names, f"{path.rstrip('/')}/_ledger", resume,
-            lambda part: write_insert_sql(insert_statements(remapped.where(F.col("metric").isin(part)), size, schema), path, part),
+            spark, names, f"{path.rstrip('/')}/_ledger", resume, lambda part: write_insert_sql(statements_of(part), path, part)
         )
         written = statement_tally(read_text(spark, path, names), schema)
         known = sel_series.select("series_id").distinct().join(ids, "series_id", "left")

@@ -109,3 +109,18 @@ def test_order_columns_are_computed_once_a_row(spark):
     assert sum(got.values()) == 300 and len(got) > 10
     ordered = [r["s"] for r in df.withColumn("s", slice_number(df, ["v", "k"], bounds)).orderBy("v", "k").collect()]
     assert ordered == sorted(ordered)
+
+
+def test_rows_are_prepared_after_they_are_counted_and_sampled(spark):
+    df = _rows(spark)
+    known = spark.range(0, 3000, 1, 3).where("id % 11 <> 4").select(F.col("id").cast("int").alias("extra"))
+    seen = []
+
+    def prepare(rows):  # a look-up that leaves some rows out
+        seen.append(rows.count())
+        return rows.join(known, "extra")
+
+    got = B.batch_groups(df, ["k"], ORDER, 7, 60, prepare).collect()
+    assert len(seen) == 2 and seen[0] < 1000 and seen[1] == 3000
+    want = _by_window(df.where("extra % 11 <> 4"), 7).groupBy("k", "batch")
+    assert _text(got) == _text(want.agg(F.array_sort(F.collect_list(F.struct(*ORDER))).alias("rows")).collect())

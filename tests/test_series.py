@@ -8,6 +8,7 @@ from chunkwise.operators.numbering import hash_ordered_ids, md5_bucket
 from chunkwise.plans.fixtures import target_series
 
 from conftest import SF_SMALL
+from helpers import samples_df
 
 
 def test_hash_ids_equal_one_level(spark):
@@ -131,3 +132,13 @@ def test_dictionary_has_one_row_per_id(spark):
     assert got == {1: '{"a":"1","b":"2"}', 2: '{"a":"2"}', 3: "broken"}
     assert [tuple(r) for r in label_conflicts(s).collect()] == [(2, 2)]
     assert J.samples_with_labels(s.select("series_id", "metric"), s).count() == len(rows)
+
+
+def test_samples_are_collapsed_before_their_labels_are_parsed(spark):
+    s = samples_df(spark, [("m", "dn1", 1, 0, 3, "x")]).unionAll(samples_df(spark, [("m", "dn1", 1, 1, 3, "y")]))
+    series = series_dictionary(s)
+    plan = series._jdf.queryExecution().optimizedPlan().toString()
+    # one grouping of the samples by what they hold, and one of its rows
+    assert plan.count("Aggregate [") == 2, plan
+    assert "from_json" not in plan.split("Aggregate [")[2].lower() and "JsonToStructs" not in plan.split("Aggregate [")[2]
+    assert sorted(r["series_id"] for r in series.collect()) == [1000, 1001, 1002]

@@ -91,3 +91,30 @@ def test_lines_without_tuples_and_no_lines(spark):
     assert got["n"] == (0, 1, 1, None)
     assert statement_tally(lines.limit(0), "prom_data").collect() == []
     assert statement_rows(lines).collect() == []
+
+
+def _line(middle, value="1.5"):
+    first, second = (f"(TIMESTAMPTZ '2024-01-01 00:00:0{i}+00', '{value}', '{i}')" for i in (1, 2))
+    return f'INSERT INTO prom_data."m" values {first}{middle}{second};'
+
+
+def test_a_changed_separator_of_the_same_length_is_damage(spark):
+    lines = spark.createDataFrame([(_line(", "), "m"), (_line(",,"), "n")], "value string, metric string")
+    lines = lines.withColumn("value", F.replace("value", F.lit('"m"'), F.concat(F.lit('"'), "metric", F.lit('"'))))
+    got = {r.metric: (r.rows_out, r.n_damaged) for r in statement_tally(lines, "prom_data").collect()}
+    assert got == {"m": (2, 0), "n": (2, 1)}
+
+
+def test_texts_with_doubled_quotes_and_brackets_are_one_text(spark):
+    lines = spark.createDataFrame([(_line(", ", text), "m") for text in ("1''5", "2.5'', (''x", "", "-Infinity")], "value string, metric string")
+    got = sorted((r.new_series_id, repr(r.value), r.ts.second) for r in statement_rows(lines).collect())
+    assert got == sorted((i, v, i) for i in (1, 2) for v in ("None", "None", "None", "-inf"))
+    assert [(r.rows_out, r.n_damaged) for r in statement_tally(lines, "prom_data").collect()] == [(8, 0)]
+
+
+def test_the_statement_pattern_runs_once_a_statement_and_sums_need_no_decimals(spark):
+    lines = spark.createDataFrame([(_line(", "), "m")], "value string, metric string")
+    plan = statement_tally(lines, "prom_data")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "decimal" not in plan
+    # tuples without a doubled quote are cut, not matched again
+    assert plan.count("split(") == 1
